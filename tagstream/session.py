@@ -11,8 +11,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set what the operators rely on: a repeated JSON key keeps its last value."""
+    """Set what the operators rely on.
+
+    A repeated JSON key keeps its last value, and timestamps are stored in the
+    Parquet type that has statistics, so that scans can skip expired entries.
+    """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

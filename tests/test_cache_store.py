@@ -1,0 +1,98 @@
+import pytest
+
+from tagstream.sinks.batch_store import BASE, DELTA
+from tagstream.sinks.cache_store import CacheStore
+from tests.test_keyed import ENTRY, at, entry
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return CacheStore(spark, str(tmp_path / "cache"))
+
+
+def put(store, batch_id, *entries):
+    store.write(store.batches.spark.createDataFrame(list(entries), ENTRY), batch_id)
+
+
+def values(store, second, db=None):
+    return {(r.db, r.key): r.value for r in store.view(at(second), db).collect()}
+
+
+def test_empty_store(store):
+    assert values(store, 0) == {}
+    assert store.compact(at(0)) is None
+    assert store.purge(at(0)) == 0
+
+
+def test_namespaces_are_separate(store):
+    put(store, 0, entry(1, "k", 0, 1, 600), entry(2, "k", 0, 2, 600))
+    assert values(store, 1) == {(1, "k"): "v1", (2, "k"): "v2"}
+    assert values(store, 1, db=2) == {(2, "k"): "v2"}
+
+
+def test_replayed_batch_replaces_itself(store):
+    put(store, 0, entry(1, "a", 0, 1, 600))
+    put(store, 1, entry(1, "a", 3, 2, 600), entry(1, "b", 3, 3, 600))
+    before = values(store, 5)
+    put(store, 1, entry(1, "a", 3, 2, 600), entry(1, "b", 3, 3, 600))
+    assert values(store, 5) == before == {(1, "a"): "v2", (1, "b"): "v3"}
+    assert store.batches.read().count() == 3
+
+
+def test_batches_out_of_order_keep_the_highest_version(store):
+    put(store, 0, entry(1, "a", 0, 9, 600))
+    put(store, 1, entry(1, "a", 3, 2, 600))
+    assert values(store, 5) == {(1, "a"): "v9"}
+
+
+def test_compaction_changes_no_view(store):
+    put(store, 0, entry(1, "a", 0, 9, 10), entry(1, "b", 0, 1, 600), entry(2, "a", 0, 2, 600))
+    put(store, 1, entry(1, "a", 3, 2, 600))
+    put(store, 2, entry(1, "b", 6, 5, 600))
+    seconds = (6, 9, 10, 599, 600, 603, 606)
+    before = [values(store, s) for s in seconds]
+    assert store.compact(at(6), upto=1) == 0
+    assert store.batches.batches(DELTA) == [2] and store.batches.batches(BASE) == [0]
+    assert [values(store, s) for s in seconds] == before
+    assert store.compact(at(6), full=True) == 1
+    assert store.batches.batches(DELTA) == [] and store.batches.batches(BASE) == [1]
+    assert [values(store, s) for s in seconds] == before
+    assert store.compact(at(6), full=True) is None
+
+
+def test_compaction_keeps_writes_of_a_clock_ahead(store):
+    put(store, 0, entry(1, "a", 100, 1, 600))
+    store.compact(at(50))
+    assert store.purge(at(50)) == 0
+    assert values(store, 100) == {(1, "a"): "v1"}
+
+
+def test_compaction_that_died_before_deleting(store, monkeypatch):
+    put(store, 0, entry(1, "a", 0, 1, 600))
+    put(store, 1, entry(1, "a", 3, 2, 600))
+    before = values(store, 5)
+    with monkeypatch.context() as m:
+        m.setattr(store.batches, "drop", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            store.compact(at(5))
+    assert store.batches.batches(DELTA) == [0, 1] and store.batches.batches(BASE) == [0]
+    assert values(store, 5) == before
+    store.compact(at(5), full=True)
+    assert store.batches.read().count() == 1 and values(store, 5) == before
+
+
+def test_purge_drops_expired_directories_only(store):
+    put(store, 0, entry(1, "a", 0, 1, 10))
+    put(store, 1, entry(1, "b", 5, 2, 10), entry(1, "c", 5, 3, None))
+    put(store, 2, entry(1, "d", 8, 4, 10))
+    assert store.purge(at(9)) == 0
+    assert store.purge(at(18)) == 2
+    assert store.batches.batches() == [1]
+    assert values(store, 18) == {(1, "c"): "v3"}
+
+
+def test_view_pushes_the_expiry_into_the_scan(store):
+    put(store, 0, entry(1, "a", 0, 1, 10))
+    plan = store.view(at(5), db=1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(db" in plan
+    assert "GreaterThan(expires_at" in plan.split("PushedFilters")[1]

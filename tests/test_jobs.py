@@ -1,0 +1,212 @@
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagstream.operators.keyed import first_write_wins, version
+from tagstream.operators.messages import latest_entries, parse_readings, usable
+from tagstream.operators.tableschema import conform
+from tagstream.sinks.cache_store import CacheStore
+from tagstream.sinks.key_value import KeyValueTarget
+from tagstream.sinks.offset_log import OffsetLog
+from tagstream.sinks.table import ParquetTable
+from tagstream.sources.message_log import stream_message_log
+from tagstream.streaming.jobs import CacheJob, TableJob, quarantine_store, reject_store
+from tests.messages import START, frame, message
+from tests.test_key_value import file_writer, files
+from tests.test_keyed import at
+
+
+def body(second, value, tag="v.a"):
+    return json.dumps({"time": f"2024-01-01 00:00:{second:02d}", tag: value})
+
+
+LOG = [
+    message(body(i % 7, i) if i % 10 != 9 else "sfhd", partition=i % 3, offset=i // 3, at=i) for i in range(60)
+]
+
+
+def write_files(spark, path, messages, size=10):
+    for i in range(0, len(messages), size):
+        frame(spark, messages[i:i + size]).coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_files(spark, path, LOG)
+    return path
+
+
+def run(job, spark, path, files_per_batch=2):
+    query = job.start(stream_message_log(spark, path, files_per_batch), available_now=True)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def cached(store, second=0):
+    return {r.key: json.loads(r.value) for r in store.view(at(second)).collect()}
+
+
+def forget_last_commit(checkpoint):
+    """As if the job had died between its sink write and the commit."""
+    commits = Path(checkpoint) / "commits"
+    last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        (commits / name).unlink(missing_ok=True)
+    return last
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 100])
+def test_cache_stream_equals_batch(spark, source, tmp_path, files_per_batch):
+    store = CacheStore(spark, str(tmp_path / "cache"))
+    job = CacheJob(
+        spark=spark, checkpoint=str(tmp_path / "c"), target=store, clock=lambda: START, compact_every=2)
+    run(job, spark, source, files_per_batch)
+    want = latest_entries(usable(parse_readings(frame(spark, LOG))), START, 600).collect()
+    assert cached(store) == {r.key: json.loads(r.value) for r in want}
+    assert len(want) == 7 and cached(store, 600) == {}
+
+
+@pytest.mark.parametrize("keep", ["event", "arrival"])
+def test_table_stream_equals_batch(spark, source, tmp_path, keep):
+    table = ParquetTable(spark, str(tmp_path / "table"), keep)
+    run(TableJob(spark=spark, checkpoint=str(tmp_path / "c"), target=table), spark, source)
+    rows = conform(usable(parse_readings(frame(spark, LOG))), ["v.a"])
+    want = first_write_wins(rows, ["time"], F.col("_ver")).select("time", "`v.a`").collect()
+    assert sorted(map(tuple, table.view().collect())) == sorted(map(tuple, want))
+
+
+def test_restart_resumes_and_replay_changes_nothing(spark, source, tmp_path):
+    store = CacheStore(spark, str(tmp_path / "cache"))
+    table = ParquetTable(spark, str(tmp_path / "table"))
+    bad = quarantine_store(spark, str(tmp_path / "bad"))
+    seen = []
+    jobs = [
+        CacheJob(spark=spark, checkpoint=str(tmp_path / "c1"), target=store, clock=lambda: START,
+                 quarantine=bad, on_report=seen.append),
+        TableJob(spark=spark, checkpoint=str(tmp_path / "c2"), target=table),
+    ]
+    for job in jobs:
+        run(job, spark, source)
+    before = cached(store), sorted(map(tuple, table.view().collect())), bad.read().count()
+    assert [r.batch_id for r in seen] == [0, 1, 2]
+    run(jobs[0], spark, source)
+    assert len(seen) == 3
+    for job in jobs:
+        forget_last_commit(job.checkpoint)
+        run(job, spark, source)
+    assert [r.batch_id for r in seen] == [0, 1, 2, 2]
+    assert (cached(store), sorted(map(tuple, table.view().collect())), bad.read().count()) == before
+    write_files(spark, source, [message(body(50, 1.5), offset=99, at=99)])
+    for job in jobs:
+        run(job, spark, source)
+    assert seen[-1].batch_id == 3 and seen[-1].n_in == 1
+    assert len(cached(store)) == 8 and table.view().count() == 8
+
+
+def test_sink_failure_replays_the_whole_batch(spark, source, tmp_path):
+    class Flaky(CacheStore):
+        broken = True
+
+        def write(self, entries, batch_id):
+            super().write(entries, batch_id)
+            if self.broken and batch_id == 1:
+                raise OSError("lost after the write")
+
+    store = Flaky(spark, str(tmp_path / "cache"))
+    job = CacheJob(spark=spark, checkpoint=str(tmp_path / "c"), target=store, clock=lambda: START)
+    with pytest.raises(Exception, match="lost after the write"):
+        run(job, spark, source)
+    store.broken = False
+    run(job, spark, source)
+    want = latest_entries(usable(parse_readings(frame(spark, LOG))), START).collect()
+    assert cached(store) == {r.key: json.loads(r.value) for r in want}
+
+
+def test_reports_quarantine_and_offsets(spark, source, tmp_path):
+    seen = []
+    bad = quarantine_store(spark, str(tmp_path / "bad"))
+    audit = OffsetLog(spark, str(tmp_path / "offsets"), "g")
+    job = CacheJob(
+        spark=spark, checkpoint=str(tmp_path / "c"), target=CacheStore(spark, str(tmp_path / "cache")),
+        quarantine=bad, offsets=audit, on_report=seen.append, clock=lambda: START)
+    run(job, spark, source)
+    assert [(r.n_in, r.n_good, r.n_bad, r.n_keys) for r in seen] == [(20, 18, 2, 7)] * 3
+    assert {(r.value, r.reason) for r in bad.read().collect()} == {("sfhd", "not_json")}
+    assert {(r.partition, r.offset) for r in bad.read().collect()} == {
+        (i % 3, i // 3) for i in range(60) if i % 10 == 9}
+    assert {(r.partition, r.next_offset) for r in audit.positions().collect()} == {(0, 20), (1, 20), (2, 20)}
+
+
+def test_no_quarantine_pass_without_bad_messages(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_files(spark, path, [message(body(1, 1))])
+    bad = quarantine_store(spark, str(tmp_path / "bad"))
+    job = CacheJob(spark=spark, checkpoint=str(tmp_path / "c"),
+                   target=CacheStore(spark, str(tmp_path / "cache")), quarantine=bad)
+    run(job, spark, path)
+    assert bad.batches() == []
+
+
+def test_failfast_stops_the_stream(spark, source, tmp_path):
+    job = CacheJob(spark=spark, checkpoint=str(tmp_path / "c"), mode="FAILFAST",
+                   target=CacheStore(spark, str(tmp_path / "cache")))
+    with pytest.raises(Exception, match="unusable message"):
+        run(job, spark, source)
+
+
+def test_unknown_tags_keep_the_row(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = [message("sfhd", at=0), message(body(1, 1.0), offset=1, at=1), message(body(2, 2.0, "late"), offset=2, at=2),
+           message(body(3, "x"), offset=3, at=3)]
+    write_files(spark, path, log, size=1)
+    seen = []
+    table = ParquetTable(spark, str(tmp_path / "table"))
+    rejects = reject_store(spark, str(tmp_path / "rejects"))
+    job = TableJob(spark=spark, checkpoint=str(tmp_path / "c"), target=table, rejects=rejects, on_report=seen.append)
+    run(job, spark, path, files_per_batch=1)
+    rows = {r["time"] % 60: r["v.a"] for r in table.view().collect()}
+    assert rows == {1: 1.0, 2: None, 3: None}
+    assert {(r.tag, r.reason) for r in rejects.read().collect()} == {
+        ("late", "unknown_column"), ("v.a", "non_numeric")}
+    assert sum(r.n_rejected for r in seen) == 2 and sum(r.n_bad for r in seen) == 1
+
+
+def test_union_of_the_first_batch_decides(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_files(spark, path, [message(body(1, 1.0), at=1), message(body(2, 2.0, "b"), offset=1, at=2)])
+    table = ParquetTable(spark, str(tmp_path / "table"))
+    run(TableJob(spark=spark, checkpoint=str(tmp_path / "c"), target=table, columns="union"), spark, path)
+    assert {(r["time"] % 60, r["v.a"], r["b"]) for r in table.view().collect()} == {(1, 1.0, None), (2, None, 2.0)}
+
+
+def test_key_value_target(spark, source, tmp_path):
+    folder = tmp_path / "server"
+    folder.mkdir()
+    seen = []
+    job = CacheJob(spark=spark, checkpoint=str(tmp_path / "c"), target=KeyValueTarget(file_writer(str(folder))),
+                   on_report=seen.append, ttl_seconds=60, db=4)
+    run(job, spark, source, files_per_batch=100)
+    sent = [e for n, lines in files(folder).items() for line in lines[:-1] for e in json.loads(line)]
+    want = latest_entries(usable(parse_readings(frame(spark, LOG)))).collect()
+    assert {k: json.loads(v) for k, v, _ in sent} == {r.key: json.loads(r.value) for r in want}
+    assert {ttl for _, _, ttl in sent} == {60} and all(n.startswith("4-") for n in files(folder))
+    assert seen[0].n_keys == 7
+
+
+def test_interval_trigger(spark, source, tmp_path):
+    store = CacheStore(spark, str(tmp_path / "cache"))
+    job = CacheJob(spark=spark, checkpoint=str(tmp_path / "c"), target=store, clock=lambda: START, name="by_interval")
+    query = job.start(stream_message_log(spark, source), batch_seconds=0.2)
+    try:
+        query.processAllAvailable()
+        assert query.name == "by_interval" and len(cached(store)) == 7
+    finally:
+        query.stop()
+
+
+def test_version_is_the_message_order(spark):
+    log = frame(spark, [message("a", 1, 0, 5), message("b", 0, 9, 5), message("c", 0, 10, 4)])
+    assert [r.value for r in log.orderBy(version()).select(F.col("value").cast("string")).collect()] == ["c", "b", "a"]
