@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagstream.constants import TIME_FIELD
+from tagstream.functions.plan import quoted
 
 TAG_MAP = "map<string,variant>"
 
@@ -29,6 +30,15 @@ def get_tag(body: Column, tag: str, data_type: str) -> Column:
     return F.try_variant_get(F.try_element_at(tag_map(body), F.lit(tag)), "$", data_type)
 
 
+def get_tags(body: Column, tags: list[str], data_type: str) -> Column:
+    """Several fields as one struct, NULL where absent or not castable.
+
+    One cast of the object; for wide readings much cheaper than reading tag by tag.
+    """
+    fields = ", ".join(f"{quoted(t)}: {data_type}" for t in tags)
+    return F.try_variant_get(body, "$", f"struct<{fields}>")
+
+
 def tag_names(body: Column) -> Column:
     """Field names, sorted."""
     return F.map_keys(tag_map(body))

@@ -1,19 +1,31 @@
-"""Numbers as the table stores them."""
+"""Numbers as the table stores them.
 
-from __future__ import annotations
+As SQL text, because a table may have thousands of columns: handing over one list of
+texts is far quicker than building each column from Python, batch after batch.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from tagstream.constants import NUMBER_LIMIT, NUMBER_SCALE
 
 
-def table_number(value: Column) -> Column:
-    """Clamp to the column's range and round to its three decimals; NULL stays NULL."""
-    clamped = F.greatest(F.least(value, F.lit(NUMBER_LIMIT)), F.lit(-NUMBER_LIMIT))
-    return F.when(value.isNotNull(), F.round(clamped, NUMBER_SCALE))
+def clamped(number: str) -> str:
+    """Within the column's range; NULL for NaN and the infinities, which texts can cast to."""
+    limit = f"{NUMBER_LIMIT}D"
+    return (
+        f"CASE WHEN abs({number}) < double('infinity') "
+        f"THEN greatest(least({number}, {limit}), -{limit}) END"
+    )
+
 
+def rounded(number: str) -> str:
+    """To the column's three decimals.
 
-def finite(value: Column) -> Column:
-    """NULL for NaN and the infinities, which a text such as "NaN" casts to."""
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    A number that already has at most three decimals is its own nearest multiple
+    of a thousandth, and skips the decimal arithmetic of ``round``.
+    """
+    unit = f"{10.0**NUMBER_SCALE}D"
+    return (
+        f"CASE WHEN {number} = rint({number} * {unit}) / {unit} THEN {number} "
+        f"ELSE round({number}, {NUMBER_SCALE}) END"
+    )

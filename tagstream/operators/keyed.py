@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagstream.functions.plan import quoted
 from tagstream.functions.time import instant
 
 
@@ -34,16 +35,10 @@ def first_write_wins(df: DataFrame, keys: list[str], ver: Column) -> DataFrame:
 
 
 def _pick(df: DataFrame, keys: list[str], by, ver: Column) -> DataFrame:
-    rest = [quoted(c) for c in df.columns if c not in keys]
-    winner = by(F.struct(*rest), ver).alias("_winner")
-    return df.groupBy(*[quoted(k) for k in keys]).agg(winner).select(
-        *[quoted(k) for k in keys], "_winner.*"
-    )
-
-
-def quoted(name: str) -> Column:
-    """The column of exactly that name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    rest = ", ".join(quoted(c) for c in df.columns if c not in keys)
+    key_columns = [quoted(k) for k in keys]
+    winner = by(F.expr(f"struct({rest})"), ver).alias("_winner")
+    return df.groupBy(*key_columns).agg(winner).select(*key_columns, "_winner.*")
 
 
 def insert_ignore(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

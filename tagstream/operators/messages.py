@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagstream.constants import CACHE_DB, CACHE_PREFIX, TIME_FIELD
 from tagstream.functions import json as J
-from tagstream.functions.plan import with_columns_once
+from tagstream.functions.plan import with_column_once
 from tagstream.functions.time import epoch_seconds, instant
 from tagstream.operators.keyed import last_write_wins, version, with_expiry
 
@@ -40,12 +40,11 @@ def parse_readings(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    bodies = with_columns_once(
-        project_messages(messages, handler), body=J.parse_body(F.col("value"))
-    )
-    body = F.col("body")
-    text = J.get_tag(body, TIME_FIELD, "string")
-    epoch = epoch_seconds(text, zone, lenient)
+    body, text, epoch = F.col("body"), F.col("time_text"), F.col("time")
+    readings = project_messages(messages, handler)
+    readings = with_column_once(readings, "body", J.parse_body(F.col("value")))
+    readings = with_column_once(readings, "time_text", J.get_tag(body, TIME_FIELD, "string"))
+    readings = with_column_once(readings, "time", epoch_seconds(text, zone, lenient))
     reason = (
         F.when(epoch.isNotNull(), F.lit(None).cast("string"))
         .when(body.isNull(), "not_json")
@@ -53,7 +52,7 @@ def parse_readings(
         .when(text.isNull(), "missing_time")
         .otherwise("bad_time")
     )
-    readings = with_columns_once(bodies, time_text=text, time=epoch, reason=reason)
+    readings = readings.withColumn("reason", reason)
     if mode == "FAILFAST":
         place = F.concat_ws(" ", "reason", "topic", F.col("partition"), F.col("offset"))
         failure = F.raise_error(F.concat(F.lit("unusable message: "), place)).cast("boolean")

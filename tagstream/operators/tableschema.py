@@ -8,14 +8,15 @@ from pyspark.sql import types as T
 
 from tagstream.constants import TIME_FIELD
 from tagstream.functions import json as J
-from tagstream.functions.number import finite, table_number
-from tagstream.operators.keyed import quoted, version
+from tagstream.functions.number import clamped, rounded
+from tagstream.functions.plan import each_column, quoted, with_column_once
+from tagstream.operators.keyed import version
 from tagstream.operators.messages import MODES
 
 TIME_TYPE = "bigint"
 NUMBER_TYPE = "double"
 # Names the stored table uses itself; a tag so called gets no column.
-RESERVED = ("_batch_id", "_day", "_kind", "_rejected", "_present", "_ver")
+RESERVED = ("_batch_id", "_day", "_kind", "_rejected", "_tags", "_ver", "_body")
 # A table wider than this is a data error, not a schema to learn.
 MAX_COLUMNS = 10_000
 
@@ -68,40 +69,42 @@ def conform(readings: DataFrame, tags: list[str], mode: str = "PERMISSIVE") -> D
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    body = F.col("body")
-    names = [quoted(t) for t in tags]
-    wide = readings.select(
-        version().alias("_ver"),
-        "time",
-        *[_number(J.get_tag(body, t, "double")).alias(t) for t in tags],
-        F.size(J.present_tags(body)).alias("_present"),
+    wide = readings.select(version().alias("_ver"), "time", F.col("body").alias("_body"))
+    stored = F.lit(0)
+    if tags:
+        numbers = with_column_once(wide, "_raw", J.get_tags(F.col("_body"), tags, "double"))
+        numbers = numbers.select("_ver", "time", "_body", "_raw.*")
+        # Two projections, as each expression names its argument more than once.
+        wide = each_column(each_column(numbers, tags, clamped), tags, rounded)
+        stored = F.expr(f"size(array_compact(array({', '.join(quoted(t) for t in tags)})))")
+    wide = wide.withColumn("_tags", F.size(J.tag_map(F.col("_body"))))
+    # Looking for null tags one by one is needed only where something is missing.
+    rejected = F.when(F.col("_tags") - 1 == stored, 0).otherwise(
+        F.size(J.present_tags(F.col("_body"))) - stored
     )
-    stored = F.size(F.array_compact(F.array(*names))) if tags else F.lit(0)
-    rejected = F.col("_present") - stored
     if mode == "FAILFAST":
         place = F.concat_ws(" ", F.col("_ver.partition"), F.col("_ver.offset"))
         failure = F.raise_error(F.concat(F.lit("tag without a numeric column: "), place))
         rejected = F.when(rejected > 0, failure.cast("int")).otherwise(rejected)
-    return wide.select("_ver", "time", *names, rejected.alias("_rejected"))
+    return wide.withColumn("_rejected", rejected).drop("_body", "_tags")
 
 
 def rejected_tags(readings: DataFrame, tags: list[str]) -> DataFrame:
     """One row per tag ``conform`` could not store, with the reason."""
     entries = readings.select(
         "topic", "partition", "offset", "time",
-        F.explode(J.present_tags(F.col("body"))).alias("tag", "_v"),
-    )
-    known = F.col("tag").isin(*tags) if tags else F.lit(False)
-    reason = F.when(~known, "unknown_column").when(
-        _number(F.try_variant_get("_v", "$", "double")).isNull(), "non_numeric"
+        F.explode(J.tag_map(F.col("body"))).alias("tag", "_v"),
+    ).filter(F.col("tag") != TIME_FIELD)
+    entries = with_column_once(entries, "_number", F.try_variant_get("_v", "$", "double"))
+    known = F.lit(False)
+    if tags:
+        names = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tags)
+        known = F.expr(f"tag IN ({names})")
+    reason = F.when(F.is_variant_null("_v"), F.lit(None)).when(~known, "unknown_column").when(
+        F.expr(f"{clamped('_number')} IS NULL"), "non_numeric"
     )
     return (
-        entries.withColumn("reason", reason)
+        with_column_once(entries, "reason", reason)
         .filter(F.col("reason").isNotNull())
-        .withColumn("value", F.to_json("_v"))
-        .drop("_v")
+        .select("topic", "partition", "offset", "time", "tag", F.to_json("_v").alias("value"), "reason")
     )
-
-
-def _number(value: Column) -> Column:
-    return table_number(finite(value))

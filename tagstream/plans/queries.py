@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tagstream.constants import CACHE_PREFIX, LEGACY_CACHE_PREFIX
 from tagstream.functions.json import get_tag, parse_body
-from tagstream.functions.number import table_number
+from tagstream.functions.number import clamped, rounded
+from tagstream.functions.plan import each_column
 from tagstream.operators.keyed import (
     first_write_wins,
     insert_ignore,
@@ -181,12 +182,11 @@ def infer_columns_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_double_10_3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.col("value")
-    return logs.events(spark, sf_dir).select(
-        "event_id",
-        table_number(value / 7).alias("rounded"),
-        table_number(value * 100_000 - 10_000_000).alias("clamped"),
+    numbers = logs.events(spark, sf_dir).selectExpr(
+        "event_id", "value / 7 AS rounded", "value * 100000 - 10000000 AS clamped"
     )
+    columns = ["rounded", "clamped"]
+    return each_column(each_column(numbers, columns, clamped), columns, rounded)
 
 
 def conform_to_table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:

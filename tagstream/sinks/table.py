@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagstream.constants import NUMBER_SCALE, TIME_FIELD
-from tagstream.operators.keyed import first_write_wins, insert_ignore, quoted
+from tagstream.functions.plan import quoted
+from tagstream.operators.keyed import first_write_wins, insert_ignore
 from tagstream.sinks.batch_store import BASE, BATCH, KIND, BatchStore
 
 KEY = [TIME_FIELD]
@@ -75,8 +76,8 @@ class ParquetTable:
 
     def view(self) -> DataFrame:
         names = [quoted(f.name) for f in self.schema().fields]
-        rows = self._store().read().select(*names, "_ver")
-        return first_write_wins(rows, KEY, F.col("_ver")).select(*names)
+        rows = self._store().read().selectExpr(*names, "_ver")
+        return first_write_wins(rows, KEY, F.col("_ver")).selectExpr(*names)
 
     def compact(self, upto: int | None = None, full: bool = False):
         return self._store().fold(
@@ -84,7 +85,7 @@ class ParquetTable:
         )
 
     def _store(self) -> BatchStore:
-        columns = ["`{}` {}".format(f.name.replace("`", "``"), f.dataType.simpleString()) for f in self.schema().fields]
+        columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.schema().fields]
         data = ", ".join([*columns, f"_ver {VERSION_TYPE}"])
         return BatchStore(self.spark, f"{self.root}/data", data, {"_day": "BIGINT"})
 
@@ -144,7 +145,7 @@ class JdbcTable:
             numPartitions=str(self.parallelism),
         ).filter(F.col(TIME_FIELD).between(lo, hi))
         new = insert_ignore(rows.drop("_ver"), stored, KEY)
-        named = new.select(*[quoted(c).alias(column_name(c)) for c in new.columns])
+        named = new.selectExpr(*[f"{quoted(c)} AS {column_name(c)}" for c in new.columns])
         named.write.format("jdbc").mode("append").options(
             **self.options,
             dbtable=self.table,
