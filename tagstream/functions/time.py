@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,12 +14,19 @@ from tagstream.constants import TIME_PATTERN
 _LENIENT = r"^\s*(\d{1,4})-(\d{1,4})-(\d{1,4})\s+(\d{1,4}):(\d{1,4}):(\d{1,4})"
 
 
+def check_zone(zone: str) -> None:
+    """An unknown zone would make every time text unreadable, so it is refused early."""
+    if not re.fullmatch(r"[+-]\d\d:\d\d", zone):
+        ZoneInfo(zone)
+
+
 def parse_time(text: Column, zone: str = "UTC", lenient: bool = False) -> Column:
     """Instant of a wall-clock text in ``zone``; NULL where the text does not fit.
 
     ``lenient`` rolls over fields out of range (month 13, hour 25), accepts short
     fields and leading blanks, and ignores what follows the seconds.
     """
+    check_zone(zone)
     if lenient:
         text = _rolled_over(text)
     return F.try_to_timestamp(

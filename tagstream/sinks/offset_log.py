@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagstream.operators.offsets import commit_offsets
 from tagstream.sinks.batch_store import BATCH, KIND, BatchStore
 
-RANGE_SCHEMA = "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT, n BIGINT"
+RANGE_SCHEMA = "batch_id BIGINT, topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT, n BIGINT"
 
 
 class OffsetLog:
@@ -18,10 +19,15 @@ class OffsetLog:
         self.batches = BatchStore(spark, root, RANGE_SCHEMA)
 
     def append(self, ranges: DataFrame, batch_id: int) -> None:
-        self.batches.write(ranges.select("topic", "partition", "from_offset", "until_offset", "n"), batch_id)
+        columns = ("topic", "partition", "from_offset", "until_offset", "n")
+        self.batches.write(ranges.select(F.lit(batch_id).cast("bigint").alias("batch_id"), *columns), batch_id)
 
     def ranges(self) -> DataFrame:
-        return self.batches.read().drop(KIND).withColumnRenamed(BATCH, "batch_id")
+        return self.batches.read().drop(KIND, BATCH).distinct()
+
+    def compact(self, upto: int | None = None) -> int | None:
+        """Fold the small batches together; no range is lost."""
+        return self.batches.fold(lambda rows: rows.distinct(), upto)
 
     def positions(self) -> DataFrame:
         """The next offset per partition; a replayed or repeated range changes nothing."""
@@ -40,5 +46,5 @@ def ranges_from_progress(spark: SparkSession, start: str | None, end: str) -> Da
         for topic, of_topic in json.loads(end).items()
         for p, until in of_topic.items()
     ]
-    rows = [(t, p, f, u, None if f is None else u - f) for t, p, f, u in rows]
+    rows = [(None, t, p, f, u, None if f is None else u - f) for t, p, f, u in rows]
     return spark.createDataFrame(rows, RANGE_SCHEMA)

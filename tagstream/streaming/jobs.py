@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagstream.constants import BATCH_SECONDS, CACHE_DB, CACHE_PREFIX, CACHE_TTL_SECONDS
+from tagstream.functions.time import check_zone
 from tagstream.operators.keyed import first_write_wins
-from tagstream.operators.messages import latest_entries, parse_readings, quarantined, usable
+from tagstream.operators.messages import (
+    MODES,
+    latest_entries,
+    parse_readings,
+    quarantined,
+    usable,
+)
 from tagstream.operators.offsets import offset_ranges
 from tagstream.operators.report import reading_counts
 from tagstream.operators.tableschema import (
@@ -63,6 +70,14 @@ class _Job:
     clock: Callable[[], datetime] = _now
     on_report: OnReport = log_report
     name: str | None = None
+    compact_every: int | None = None
+
+    def __post_init__(self):
+        check_zone(self.zone)
+        if self.mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
+        if self.compact_every is not None and self.compact_every < 1:
+            raise ValueError("compact_every must be positive")
 
     def start(
         self,
@@ -71,6 +86,8 @@ class _Job:
         available_now: bool = False,
     ) -> StreamingQuery:
         """Start the stream: a batch every few seconds, or all that is there and stop."""
+        if batch_seconds <= 0:
+            raise ValueError("batch_seconds must be positive")
         configure(self.spark)
         writer = messages.writeStream.foreachBatch(self.write_batch)
         writer = writer.option("checkpointLocation", self.checkpoint)
@@ -91,11 +108,17 @@ class _Job:
             self.quarantine.write(quarantined(readings), batch_id)
         if self.offsets:
             self.offsets.append(offset_ranges(batch), batch_id)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self._compact(written_at)
         self.on_report(BatchReport(batch_id=batch_id, written_at=written_at, **counts))
 
     def _write(self, readings: DataFrame, batch_id: int, written_at: datetime) -> dict[str, int]:
         raise NotImplementedError
 
+    def _compact(self, written_at: datetime) -> None:
+        if self.offsets:
+            self.offsets.compact()
+
 
 def _observe(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
     seen = Observation()
@@ -114,7 +137,11 @@ class CacheJob(_Job):
     prefix: str = CACHE_PREFIX
     db: int | str = CACHE_DB
     ttl_seconds: int | None = CACHE_TTL_SECONDS
-    compact_every: int | None = None
+
+    def __post_init__(self):
+        super().__post_init__()
+        if self.ttl_seconds is not None and self.ttl_seconds <= 0:
+            raise ValueError("ttl_seconds must be positive, or None to keep entries")
 
     def _write(self, readings: DataFrame, batch_id: int, written_at: datetime) -> dict[str, int]:
         readings, seen = _observe(readings, **reading_counts())
@@ -123,11 +150,14 @@ class CacheJob(_Job):
         )
         entries, kept = _observe(entries, n_keys=F.count(F.lit(1)))
         self.target.write(entries, batch_id)
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            if isinstance(self.target, CacheStore):
-                self.target.compact(as_of=written_at)
         return _count(seen) | _count(kept)
 
+    def _compact(self, written_at: datetime) -> None:
+        super()._compact(written_at)
+        if isinstance(self.target, CacheStore):
+            self.target.compact(as_of=written_at)
+            self.target.purge(as_of=written_at)
+
 
 @dataclass(kw_only=True)
 class TableJob(_Job):
@@ -141,6 +171,16 @@ class TableJob(_Job):
     columns: str = "first"
     rejects: BatchStore | None = None
 
+    def __post_init__(self):
+        super().__post_init__()
+        if self.columns not in ("first", "union"):
+            raise ValueError("columns must be 'first' or 'union'")
+
+    def _compact(self, written_at: datetime) -> None:
+        super()._compact(written_at)
+        if isinstance(self.target, ParquetTable):
+            self.target.compact()
+
     def _write(self, readings: DataFrame, batch_id: int, written_at: datetime) -> dict[str, int]:
         schema = self.target.schema()
         if schema is None:

@@ -32,7 +32,8 @@ OnReport = Callable[[BatchReport], None]
 
 
 def log_report(report: BatchReport) -> None:
-    log.info("batch %s", asdict(report))
+    counts = {n: v for n, v in asdict(report).items() if n.startswith("n_")}
+    log.info("batch %d at %s: %s", report.batch_id, report.written_at.strftime("%Y-%m-%d %H:%M:%S"), counts)
 
 
 class OffsetListener(StreamingQueryListener):

@@ -13,6 +13,7 @@ from tagstream.sinks.offset_log import OffsetLog
 from tagstream.sinks.table import ParquetTable
 from tagstream.sources.message_log import stream_message_log
 from tagstream.streaming.jobs import CacheJob, TableJob, quarantine_store, reject_store
+from tagstream.streaming.report import BatchReport, log_report
 from tests.messages import START, frame, message
 from tests.test_key_value import file_writer, files
 from tests.test_keyed import at
@@ -207,6 +208,37 @@ def test_interval_trigger(spark, source, tmp_path):
         query.stop()
 
 
+@pytest.mark.parametrize("wrong", [
+    {"zone": "Mars/Base"}, {"mode": "LOOSE"}, {"ttl_seconds": 0}, {"compact_every": 0}])
+def test_options_are_checked_before_the_start(spark, wrong):
+    with pytest.raises((ValueError, KeyError)):
+        CacheJob(spark=spark, checkpoint="c", target=None, **wrong)
+    with pytest.raises(ValueError):
+        TableJob(spark=spark, checkpoint="c", target=None, columns="last")
+
+
+def test_compaction_in_the_stream(spark, source, tmp_path):
+    clock = iter(at(s) for s in (0, 300, 700))
+    store = CacheStore(spark, str(tmp_path / "cache"))
+    audit = OffsetLog(spark, str(tmp_path / "offsets"), "g")
+    job = CacheJob(spark=spark, checkpoint=str(tmp_path / "c1"), target=store, offsets=audit,
+                   clock=lambda: next(clock), compact_every=1)
+    run(job, spark, source)
+    assert store.batches.batches() == [] and len(store.batches.batches("base")) == 2
+    assert len(cached(store, 700)) == 7 and audit.positions().count() == 3
+    table = ParquetTable(spark, str(tmp_path / "table"))
+    run(TableJob(spark=spark, checkpoint=str(tmp_path / "c2"), target=table, compact_every=2), spark, source)
+    rows = conform(usable(parse_readings(frame(spark, LOG))), ["v.a"])
+    want = first_write_wins(rows, ["time"], F.col("_ver")).select("time", "`v.a`").collect()
+    assert sorted(map(tuple, table.view().collect())) == sorted(map(tuple, want))
+
+
+def test_log_report(caplog):
+    with caplog.at_level("INFO", "tagstream"):
+        log_report(BatchReport(batch_id=3, written_at=START, n_in=5, n_good=4, n_bad=1, n_keys=2))
+    assert "batch 3 at 2024-01-01 00:00:00" in caplog.text and "'n_bad': 1" in caplog.text
+
+
 def test_version_is_the_message_order(spark):
     log = frame(spark, [message("a", 1, 0, 5), message("b", 0, 9, 5), message("c", 0, 10, 4)])
     assert [r.value for r in log.orderBy(version()).select(F.col("value").cast("string")).collect()] == ["c", "b", "a"]

@@ -1,3 +1,4 @@
+import json
 import re
 from datetime import timedelta
 
@@ -72,6 +73,14 @@ def test_rejected_tags(spark):
     }
 
 
+def test_any_tag_as_a_column(spark):
+    tags = ["it's", "back\\slash", "tick`s", 'say "hi"', "标签", "a b", "_body2", "offset"]
+    body = json.dumps({"time": "2017-08-01 10:00:00", **{t: i for i, t in enumerate(tags)}, "more": 1})
+    row = conform(readings(spark, body), tags).first()
+    assert [row[t] for t in tags] == list(range(len(tags))) and row["_rejected"] == 1
+    assert [r.tag for r in rejected_tags(readings(spark, body), tags).collect()] == ["more"]
+
+
 def test_conform_failfast(spark):
     good = '{%s,"a":1}' % TIME
     assert conform(readings(spark, good), ["a"], "FAILFAST").count() == 1

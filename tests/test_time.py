@@ -84,6 +84,12 @@ def test_wall_clock_in_a_zone_with_daylight_saving(spark):
     assert epochs(spark, texts, zone="Europe/Berlin") == want
 
 
+def test_unknown_zone_is_refused(spark):
+    with pytest.raises(Exception):
+        epochs(spark, ["2017-08-01 10:00:00"], zone="Mars/Base")
+    assert epochs(spark, ["2017-08-01 10:00:00"], zone="+08:00") == [1501552800]
+
+
 def test_instant_needs_a_zone(spark):
     with pytest.raises(ValueError):
         instant(datetime(2024, 1, 1))
