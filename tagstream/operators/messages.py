@@ -56,16 +56,16 @@ def parse_readings(
     if mode == "FAILFAST":
         place = F.concat_ws(" ", "reason", "topic", F.col("partition"), F.col("offset"))
         failure = F.raise_error(F.concat(F.lit("unusable message: "), place)).cast("boolean")
-        readings = readings.filter(F.when(F.col("reason").isNotNull(), failure).otherwise(True))
+        readings = readings.filter(F.when(epoch.isNull(), failure).otherwise(True))
     return readings
 
 
 def usable(readings: DataFrame) -> DataFrame:
-    return readings.filter(F.col("reason").isNull())
+    return readings.filter(F.col("time").isNotNull())
 
 
 def quarantined(readings: DataFrame) -> DataFrame:
-    return readings.filter(F.col("reason").isNotNull()).select(
+    return readings.filter(F.col("time").isNull()).select(
         "value", "topic", "partition", "offset", "reason"
     )
 
@@ -110,11 +110,15 @@ def latest_entries(
     The body travels as VARIANT and only winners are serialised. ``db`` is a
     number or the name of a column that holds it.
     """
-    namespace = F.col(db) if isinstance(db, str) else F.lit(db)
-    rows = readings.select(
-        namespace.cast("int").alias("db"), "time", *key_columns, "body", version().alias("ver")
-    )
-    latest = last_write_wins(rows, ["db", "time", *key_columns], F.col("ver"))
+    # The time leads the keys: the map-side sort compares its first key as a plain number.
+    keys = ["time", *key_columns]
+    if isinstance(db, str):
+        readings = readings.withColumn("db", F.col(db).cast("int"))
+        keys.append("db")
+    rows = readings.select(*keys, "body", version().alias("ver"))
+    latest = last_write_wins(rows, keys, F.col("ver"))
+    if not isinstance(db, str):
+        latest = latest.withColumn("db", F.lit(db).cast("int"))
     key = cache_key(F.col("time"), prefix, *[F.col(c) for c in key_columns])
     entries = latest.select(
         "db",

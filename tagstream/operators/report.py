@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def reading_counts() -> dict[str, Column]:
-    bad = F.count_if(F.col("reason").isNotNull())
+    bad = F.count_if(F.col("time").isNull())
     return {
         "n_in": F.count(F.lit(1)),
-        "n_good": F.count_if(F.col("reason").isNull()),
+        "n_good": F.count("time"),
         "n_bad": bad,
     }
 

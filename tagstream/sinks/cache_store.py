@@ -15,7 +15,7 @@ ENTRY_SCHEMA = (
     "ver STRUCT<timestamp: TIMESTAMP, partition: INT, offset: BIGINT>, "
     "written_at TIMESTAMP, expires_at TIMESTAMP"
 )
-KEY = ["db", "key"]
+KEY = ["key", "db"]
 
 
 class CacheStore:
@@ -59,5 +59,5 @@ def current_entries(entries: DataFrame) -> DataFrame:
     return (
         entries.groupBy(*KEY)
         .agg(winner.alias("_winner"), F.max("ver").alias("ver"), end.alias("expires_at"))
-        .select(*KEY, "_winner.*", "expires_at", "ver")
+        .select("db", "key", "_winner.*", "expires_at", "ver")
     )
