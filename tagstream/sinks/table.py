@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ from tagstream.sinks.batch_store import BASE, BATCH, KIND, BatchStore
 
 KEY = [TIME_FIELD]
 DAY = 86_400
+# A batch over more days than this is joined with the whole table.
+MAX_DAYS = 1000
 VERSION_TYPE = "STRUCT<timestamp: TIMESTAMP, partition: INT, offset: BIGINT>"
 
 
@@ -52,17 +54,15 @@ class ParquetTable:
     def insert_new(self, rows: DataFrame, batch_id: int) -> None:
         """Append rows (one per time, with ``_ver``) whose time is not stored yet.
 
-        Only the days the batch covers are read. The batch's own directory is left
-        out, so a replay writes the same rows again.
+        Only the days the batch covers are read, so one reading with a time far off
+        does not pull in the days between. The batch's own directory is left out, so
+        a replay writes the same rows again.
         """
-        bounds = rows.agg(F.min(TIME_FIELD).alias("lo"), F.max(TIME_FIELD).alias("hi")).first()
-        if bounds["lo"] is not None:
+        rows = rows.withColumn("_day", F.expr(f"{TIME_FIELD} div {DAY}"))
+        covered = _covered(rows)
+        if covered is not None:
             others = (F.col(KIND) == BASE) | (F.col(BATCH) != batch_id)
-            stored = self._store().read().filter(
-                others
-                & F.col("_day").between(*(int(bounds[b] / DAY) for b in ("lo", "hi")))
-                & F.col(TIME_FIELD).between(bounds["lo"], bounds["hi"])
-            )
+            stored = self._store().read().filter(others & covered)
             if self.keep == "event":
                 earliest = stored.groupBy(*KEY).agg(F.min("_ver").alias("_stored"))
                 rows = (
@@ -72,7 +72,7 @@ class ParquetTable:
                 )
             else:
                 rows = insert_ignore(rows, stored, KEY)
-        self._store().write(rows.withColumn("_day", F.expr(f"`{TIME_FIELD}` div {DAY}")), batch_id)
+        self._store().write(rows, batch_id)
 
     def view(self) -> DataFrame:
         names = [quoted(f.name) for f in self.schema().fields]
@@ -90,6 +90,18 @@ class ParquetTable:
         return BatchStore(self.spark, f"{self.root}/data", data, {"_day": "BIGINT"})
 
 
+def _covered(rows: DataFrame) -> Column | None:
+    """Which stored rows a batch can meet; None if the batch is empty."""
+    per_day = rows.groupBy("_day").agg(F.min(TIME_FIELD).alias("lo"), F.max(TIME_FIELD).alias("hi"))
+    days = per_day.limit(MAX_DAYS + 1).collect()
+    if not days:
+        return None
+    if len(days) > MAX_DAYS:
+        return F.lit(True)
+    lo, hi = min(d["lo"] for d in days), max(d["hi"] for d in days)
+    return F.col("_day").isin([d["_day"] for d in days]) & F.col(TIME_FIELD).between(lo, hi)
+
+
 @dataclass
 class JdbcTable:
     """A table behind JDBC. ``options`` holds url, driver class, user and password.

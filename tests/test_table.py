@@ -16,7 +16,14 @@ from tagstream.operators.tableschema import (
     rejected_tags,
     table_schema,
 )
-from tagstream.sinks.table import JdbcTable, ParquetTable, column_name, create_statement, tag_name
+from tagstream.sinks.table import (
+    JdbcTable,
+    ParquetTable,
+    _covered,
+    column_name,
+    create_statement,
+    tag_name,
+)
 from tests.messages import START, bodies
 
 TIME = '"time":"2017-08-01 10:00:00"'
@@ -147,15 +154,21 @@ def test_empty_batch(spark, table):
     assert content(table) == {}
 
 
-def test_only_the_days_of_the_batch_are_read(spark, table, monkeypatch):
+def test_only_the_days_of_the_batch_are_read(spark, table):
+    table.insert_new(rows(spark, *[(d * DAY, 1.0, d) for d in range(9)]), 0)
+    batch = rows(spark, (3 * DAY, 2.0, 50), (7 * DAY + 5, 2.0, 51)).withColumn("_day", F.expr(f"time div {DAY}"))
+    scan = table._store().read().filter(_covered(batch)).select("time")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "_day" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert {r.time for r in scan.collect()} == {3 * DAY, 7 * DAY}
+    assert _covered(batch.limit(0)) is None
+
+
+def test_a_batch_over_very_many_days(spark, table, monkeypatch):
+    monkeypatch.setattr("tagstream.sinks.table.MAX_DAYS", 2)
     table.insert_new(rows(spark, *[(d * DAY, 1.0, d) for d in range(5)]), 0)
-    read = []
-    store = table._store()
-    original = store.read
-    monkeypatch.setattr(type(store), "read", lambda self: read.append(original()) or read[-1])
-    table.insert_new(rows(spark, (3 * DAY, 2.0, 50)), 1)
-    scanned = read[0].filter(F.col("_day").between(3, 3)).select("time")
-    assert "_day" in scanned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    table.insert_new(rows(spark, *[(d * DAY, 2.0, 10 + d) for d in range(7)]), 1)
+    assert content(table) == {d * DAY: 1.0 if d < 5 else 2.0 for d in range(7)}
 
 
 @given(st.text(max_size=20))
