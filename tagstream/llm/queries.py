@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagstream.llm.simhash import near_duplicates
 from tagstream.llm.substring_dedup import remove_repeats
+from tagstream.llm.token_counts import count_tokens
+from tagstream.llm.token_output import token_index, write_tokens
+from tagstream.session import scratch_dir
+
+TOKEN_LIMIT = 2048
+END_ID = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +29,28 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("h"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "op8")
+    write_tokens(
+        _table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID
+    )
+    return token_index(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op6_simhash": op6_simhash,
+    "op8_token_output": op8_token_output,
 }

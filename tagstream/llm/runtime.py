@@ -36,3 +36,11 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
 def remainder(doc_id: Column, modulus: int) -> Column:
     """CRC-32 of the identifier as text, modulo; NULL for a null identifier."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

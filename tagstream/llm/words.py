@@ -112,3 +112,15 @@ def window_starts(first: np.ndarray, width: int, least: int = 0) -> np.ndarray:
     counts = np.diff(first)
     end = np.repeat(np.where(counts >= max(least, width), first[1:] - width + 1, 0), counts)
     return np.arange(n) < end[:n]
+
+
+def pieces(batch: pa.RecordBatch, text: str, max_bytes: int = 1 << 20, max_rows: int = 256):
+    """The batch in slices of bounded text, one longer text alone; arrays of numbers are far larger."""
+    column = batch.column(text)
+    _, offsets = text_buffer(column)
+    begin = 0
+    while begin < len(column):
+        end = int(np.searchsorted(offsets, offsets[begin] + max_bytes, side="right")) - 1
+        end = max(begin + 1, min(end, begin + max_rows, len(column)))
+        yield batch.slice(begin, end - begin)
+        begin = end

@@ -1,11 +1,16 @@
+import zlib
 from pathlib import Path
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 from tagstream.llm.oracle import ORACLE
 from tagstream.llm.queries import QUERIES
 from tests.compare import duck, mismatch
+from tests.llm.test_simhash import groups, slow_fingerprint
 
 DATA = "/root/testdata/sf0.001"
 
@@ -20,3 +25,42 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     assert mismatch(QUERIES[name](spark, DATA), duck(DATA), ORACLE[name]) is None
+
+
+@pytest.fixture(scope="module")
+def texts():
+    con = duck(DATA)
+    return dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
+
+
+def rows(spark, name):
+    return {r.doc_id: r.asDict() for r in QUERIES[name](spark, DATA).collect()}
+
+
+def test_token_counts(spark, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = rows(spark, "op3_token_counts")
+    for i, t in texts.items():
+        n = len(tokenizer.encode(t or "", add_special_tokens=False).ids)
+        want = {"doc_id": i, "n_bytes": len((t or "").encode()), "n_tokens": n, "over_limit": n > 2048}
+        assert got.pop(i) == want
+    assert not got
+
+
+def test_simhash(spark, texts):
+    values = {i: slow_fingerprint(t) for i, t in sorted(texts.items())}
+    names = [list(values)[g] for g in groups(list(values.values()), 2)]
+    want = {i: (f"{v:016x}", c) for (i, v), c in zip(values.items(), names)}
+    got = {i: (r["fingerprint"], r["component_id"]) for i, r in rows(spark, "op6_simhash").items()}
+    assert got == want
+
+
+def test_token_output(spark, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got, start = rows(spark, "op8_token_output"), 0
+    for i, t in sorted(texts.items()):
+        own = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        want = {"doc_id": i, "start": start, "n_tokens": len(own), "ids_crc32": zlib.crc32(own.tobytes())}
+        assert got.pop(i) == want
+        start += len(own)
+    assert not got
