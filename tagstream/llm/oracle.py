@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_SHINGLES = """
+    SELECT {id}, unnest(list_distinct(CASE
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END)) AS shingle
+    FROM (SELECT {id}, list_transform({words}, lambda x: lower(x)) AS w FROM {table})
+"""
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": f"""
@@ -20,4 +26,12 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM d LEFT JOIN kept ON d.rid = kept.rid""",
+    "op2_decontaminate": f"""
+        WITH d AS ({_SHINGLES.format(id="doc_id", words=_WORDS, table="documents")}),
+        b AS ({_SHINGLES.format(id="item_id", words=_WORDS, table="benchmark")}),
+        n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+        SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item,
+               count(*) / any_value(n_item) AS containment
+        FROM d JOIN b USING (shingle) JOIN n USING (item_id)
+        GROUP BY doc_id, item_id HAVING count(*) / any_value(n_item) >= 0.8""",
 }

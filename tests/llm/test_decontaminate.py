@@ -1,0 +1,96 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagstream.llm.decontaminate import contained_items, item_hashes, shingle_hashes, signature, without_items
+from tests.llm.tables import clashing, docs
+
+BLANK = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def shingles(text, size=5):
+    w = [x for x in BLANK.split((text or "").lower()) if x]
+    return {" ".join(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def brute(rows, items, share=0.8):
+    out = set()
+    for i, t in rows:
+        for j, u in items:
+            a, b = shingles(u), shingles(t)
+            if a and len(a & b) / len(a) >= share:
+                out.add((i, j, len(a & b), len(a)))
+    return out
+
+
+def found(df):
+    rows = [(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def frame(spark, items):
+    return spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def case(seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(30)] + ["É", "Straße"]
+    item = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [(i, item(n)) for i, n in enumerate([1, 3, 4, 5, 6, 9, 20, 30, 35, 60, 200])]
+    items += [(50, None), (51, ""), (52, " \n"), (7, items[7][1].upper()), (None, item(12))]
+    rows = []
+    for i in range(60):
+        words = rng.choices(vocabulary, k=rng.choice([0, 2, 30, 500, 3000]))
+        for _, t in rng.sample(items, 2):
+            inside = (t or "").split()
+            if inside and rng.random() < 0.5:
+                inside[rng.randrange(len(inside))] = "changed"
+            at = rng.randint(0, len(words))
+            words[at:at] = inside
+        rows.append((i, rng.choice([" ", "\n", "\t"]).join(words)))
+    return rows + [(None, rows[0][1]), (100, None), (101, ""), (102, items[1][1]), rows[1], (1, rows[2][1])], items
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_as_brute_force(spark, broadcast):
+    rows, items = case(broadcast)
+    got = contained_items(clashing(docs(spark, rows)), frame(spark, items), max_broadcast=broadcast)
+    assert found(got) == brute(rows, items)
+
+
+def test_signature_is_the_least_of_each_bin(spark):
+    text = " ".join(f"x{i}" for i in range(300))
+    df = shingle_hashes(docs(spark, [text]), "hashes", "text", 5)
+    row = df.select("hashes", *[signature("hashes", F.lit(c)).alias(f"s{c}") for c in (1, 4, 9)]).first()
+    assert row.hashes == sorted(row.hashes)
+    items = df.select(F.col("doc_id").alias("item_key"), "hashes")
+    since = {r.h: r.from_class for r in item_hashes(items, 24).collect()}
+    for c in (1, 4, 9):
+        bins = {}
+        for h in row.hashes:
+            bins.setdefault(h >> (64 - c), h)
+        assert sorted(bins.values()) == row[f"s{c}"] == [h for h in row.hashes if since[h] <= c]
+
+
+def test_removal(spark):
+    rows, items = case(5)
+    frame_ = clashing(docs(spark, rows))
+    bad = {(i, t) for i, t in rows for j, u in items if shingles(u) and len(shingles(u) & shingles(t)) >= 0.8 * len(shingles(u))}
+    kept = without_items(frame_, contained_items(frame_, frame(spark, items)))
+    assert kept.columns == frame_.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted((r for r in rows if r not in bad), key=str)
+
+
+def test_empty_tables(spark):
+    rows, items = case(1)
+    assert contained_items(docs(spark, []), frame(spark, items)).collect() == []
+    assert contained_items(docs(spark, rows), frame(spark, [])).collect() == []
+
+
+def test_native_plan(spark):
+    rows, items = case(1)
+    plan = contained_items(docs(spark, rows), frame(spark, items))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
