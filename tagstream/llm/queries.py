@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.llm.decontaminate import contained_items
+from tagstream.llm.language_id import identify
+from tagstream.llm.quality import classify
 from tagstream.llm.simhash import near_duplicates
 from tagstream.llm.substring_dedup import remove_repeats
 from tagstream.llm.token_counts import count_tokens
@@ -40,6 +42,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("h"), 16, "0")).alias("fingerprint"), "component_id"
@@ -54,10 +60,16 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_counts": op3_token_counts,
+    "op4_language_id": op4_language_id,
     "op6_simhash": op6_simhash,
     "op8_token_output": op8_token_output,
+    "op9_quality": op9_quality,
 }

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tagstream
 from tagstream.functions.plan import quoted
 from tagstream.session import scratch_dir
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have Spark hand this package to its Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = Path(tagstream.__file__).parent
+        target = Path(tempfile.mkdtemp(prefix="tagstream-")) / root.name
+        spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", root.parent, root.name))
+        _shipped.add(application)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with files in the shared folder, so that a lost executor costs nothing."""
     spark = df.sparkSession
@@ -23,8 +41,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the identifier and the text, so that no other column can clash with ours."""
+    ship_package(docs.sparkSession)
     return docs.select(
-        F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), F.col(quoted(text)).alias("text")
+        F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), F.col(quoted(text)).cast("string").alias("text")
     )
 
 

@@ -40,7 +40,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks)
-    column = column.fill_null("").cast(pa.large_string())
+    column = column.cast(pa.large_string()).fill_null("")
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if buffers[2] is None or not len(column):

@@ -64,3 +64,22 @@ def test_token_output(spark, texts):
         assert got.pop(i) == want
         start += len(own)
     assert not got
+
+
+def test_language_id(spark):
+    con = duck("/root/testdata/sf0.01")
+    truth = dict(con.execute("SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL").fetchall())
+    got = QUERIES["op4_language_id"](spark, "/root/testdata/sf0.01").collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.98
+
+
+def test_quality(spark):
+    con = duck("/root/testdata/sf0.01")
+    truth = dict(con.execute("SELECT doc_id, quality FROM labels").fetchall())
+    got = QUERIES["op9_quality"](spark, "/root/testdata/sf0.01").collect()
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(got) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert all(r.predicted == 1 for r in held if truth[r.doc_id] == 1)
+    assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.95
