@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tagstream.llm.decontaminate import contained_items
 from tagstream.llm.language_id import identify
+from tagstream.llm.license_scan import PHRASE_SCORE, scan_licenses
+from tagstream.llm.mixing import mix
+from tagstream.llm.nearest import search
 from tagstream.llm.quality import classify
 from tagstream.llm.simhash import near_duplicates
 from tagstream.llm.substring_dedup import remove_repeats
@@ -17,6 +20,8 @@ from tagstream.llm.token_counts import count_tokens
 from tagstream.llm.token_output import token_index, write_tokens
 from tagstream.session import scratch_dir
 
+NEIGHBOURS = 20
+IS_NEIGHBOUR_QUERY = "vec_id % 20 = 0"
 TOKEN_LIMIT = 2048
 END_ID = 2
 
@@ -46,12 +51,32 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("h"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = lambda labels: F.array_join(F.sort_array(labels), ",")
+    base = F.array_distinct("places.label")
+    best = F.coalesce(F.array_max("found.score"), F.lit(0.0))
+    return scan_licenses(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min("places.start").alias("first_word"),
+        F.array_max("places.start").alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.array_union(base, F.col("found.label"))).alias("labels"),
+        F.when(F.size("places") > 0, F.greatest(best, F.lit(PHRASE_SCORE))).otherwise(best).alias("score"),
+    )
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "op8")
     write_tokens(
@@ -64,12 +89,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"), IS_NEIGHBOUR_QUERY, NEIGHBOURS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_license_scan": op7_license_scan,
     "op8_token_output": op8_token_output,
     "op9_quality": op9_quality,
+    "op10_nearest": op10_nearest,
 }

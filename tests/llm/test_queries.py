@@ -10,7 +10,9 @@ import __spark_entry__ as driver
 from tagstream.llm.oracle import ORACLE
 from tagstream.llm.queries import QUERIES
 from tests.compare import duck, mismatch
-from tests.llm.test_simhash import groups, slow_fingerprint
+from tests.llm.test_license_scan import slow_places, slow_words
+from tests.llm.test_nearest import brute, found
+from tests.llm.test_simhash import BLANK, groups, slow_fingerprint
 
 DATA = "/root/testdata/sf0.001"
 
@@ -83,3 +85,40 @@ def test_quality(spark):
     assert len(got) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
     assert all(r.predicted == 1 for r in held if truth[r.doc_id] == 1)
     assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.95
+
+
+def test_mixing(spark, texts):
+    got = rows(spark, "op5_mixing")
+    assert got.keys() == texts.keys()
+    con = duck(DATA)
+    for i, source, lang in con.execute("SELECT doc_id, source, lang FROM documents").fetchall():
+        assert (got[i]["source"], got[i]["lang"]) == (source, lang)
+        assert got[i]["n_tokens"] == len([w for w in BLANK.split(texts[i] or "") if w])
+    total = sum(r["n_tokens"] for r in got.values())
+    assert sum(r["n_tokens"] * r["probability"] for r in got.values()) == pytest.approx(0.6 * total, rel=1e-6)
+
+
+def test_license_scan(spark, texts):
+    got = rows(spark, "op7_license_scan")
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        places = slow_places(t)
+        want = (len(slow_words(t)), len(places), *((places[0][1], places[-1][1]) if places else (None, None)))
+        r = got[i]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == want
+        base = sorted({label for label, _ in places})
+        labels = r["labels"].split(",") if r["labels"] else []
+        assert r["base_labels"] == ",".join(base) and set(base) <= set(labels) and labels == sorted(set(labels))
+        assert 0 <= r["score"] <= 1 and (r["score"] > 0) == bool(labels)
+        assert ("cc-by-nc-4.0" in labels) == ("CC BY-NC 4.0" in (t or ""))
+
+
+def test_nearest(spark):
+    sf = "/root/testdata/sf0.1"
+    vectors = dict(duck(sf).execute("SELECT vec_id, embedding FROM embeddings").fetchall())
+    got, want = found(QUERIES["op10_nearest"](spark, sf)), brute(vectors, 20)
+    assert got.keys() == want.keys()
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want]
+    assert sum(hits) / len(hits) / 20 >= 0.95
+    truth = {q: dict(brute_scores) for q, brute_scores in want.items()}
+    assert all(s == pytest.approx(truth[q].get(i, s), rel=1e-12) for q, own in got.items() for i, s in own)
