@@ -18,4 +18,4 @@ NUMBER_SCALE = 3
 NUMBER_LIMIT = 9999999.999
 
 # Body of the connectivity-check message; not JSON, so it ends up in quarantine.
-CHECK_MESSAGE = "sfhd"
+CHECK_MESSAGE = "ping"

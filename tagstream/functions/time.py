@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tagstream.constants import TIME_PATTERN
 
-_LENIENT = r"^\s*(\d{1,4})-(\d{1,4})-(\d{1,4})\s+(\d{1,4}):(\d{1,4}):(\d{1,4})"
+_LENIENT = r"^\s*(\d+)-(\d+)-(\d+)\s+(\d+):(\d+):(\d+)"
+DAY = 86_400
+# Wall clocks from year 0 to the end of 9999, as seconds of 1970 on.
+_FIRST, _LAST = -62_167_219_200, 253_402_300_799
 
 
 def check_zone(zone: str) -> None:
@@ -28,25 +31,30 @@ def parse_time(text: Column, zone: str = "UTC", lenient: bool = False) -> Column
     """
     check_zone(zone)
     if lenient:
-        text = _rolled_over(text)
-    return F.try_to_timestamp(
-        F.concat(text, F.lit(f" {zone}")), F.lit(f"{TIME_PATTERN} VV")
-    )
+        return F.to_utc_timestamp(F.timestamp_seconds(_wall_seconds(text)), zone)
+    return F.try_to_timestamp(F.concat(text, F.lit(f" {zone}")), F.lit(f"{TIME_PATTERN} VV"))
 
 
 def epoch_seconds(text: Column, zone: str = "UTC", lenient: bool = False) -> Column:
     return F.unix_timestamp(parse_time(text, zone, lenient))
 
 
-def _rolled_over(text: Column) -> Column:
-    year, month, day, hour, minute, second = (
-        F.regexp_extract(text, _LENIENT, group).try_cast("int") for group in range(1, 7)
-    )
-    month_start = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
-    wall_clock = month_start.cast("timestamp_ntz") + F.make_dt_interval(
-        day - 1, hour, minute, second.cast("decimal(18,6)")
+def _wall_seconds(text: Column) -> Column:
+    """Seconds of the wall clock since 1970, however large each field is; NULL outside the years 0 to 9999."""
+    year, month, day, hour, minute, second = (_field(text, group) for group in range(1, 7))
+    months = year * 12 + month - 1
+    of_year, of_month = F.floor(months / 12), months % 12 + 1
+    first = F.when(
+        of_year.between(0, 9999), F.unix_date(F.make_date(of_year.cast("int"), of_month.cast("int"), F.lit(1)))
     )
-    return F.substring(wall_clock.cast("string"), 1, 19)
+    seconds = (first + day - 1) * DAY + hour * 3600 + minute * 60 + second
+    return F.when(seconds.between(_FIRST, _LAST), seconds)
+
+
+def _field(text: Column, group: int) -> Column:
+    """One of the six numbers; one so large that the time is out of range anyway is NULL."""
+    value = F.regexp_extract(text, _LENIENT, group).try_cast("bigint")
+    return F.when(value <= 10**12, value)
 
 
 def instant(at: datetime | Column | None) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.functions.plan import quoted
@@ -62,27 +62,36 @@ def unexpired(entries: DataFrame, as_of: datetime | Column | None = None) -> Dat
     )
 
 
-def live(entries: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
-    """Writes already made and not yet expired at ``as_of``.
+def current(entries: DataFrame, keys: list[str], as_of: datetime | Column | None = None) -> DataFrame:
+    """The live entries at ``as_of``: of the writes made by then the highest version, with its own expiry.
 
-    Filtering writes before reducing them lets the scan skip expired files, and
-    gives the same answer whether or not those files were purged.
+    A superseded write never shows again, even if it lives longer than the one that superseded
+    it. Reduced on the map side.
     """
-    return unexpired(entries, as_of).filter(F.col("written_at") <= instant(as_of))
+    made = entries.filter(F.col("written_at") <= instant(as_of))
+    return unexpired(last_write_wins(made, keys, F.col("ver")), as_of)
 
 
-def undominated(entries: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop writes that can never be seen again at or after now.
+def needed(entries: DataFrame, keys: list[str], as_of: datetime | Column | None = None) -> DataFrame:
+    """Entries that a view at or after ``as_of`` can depend on.
 
-    A write is of no use once another write of its key has a higher version and
-    lives at least as long. Usually one row per key remains; a key written out of
-    order keeps the later-expiring older writes too.
+    These are the unexpired ones, and the expired ones that hide an unexpired write of lower
+    version.
     """
-    newest_first = Window.partitionBy(*keys).orderBy(F.col("ver").desc())
-    end = F.coalesce(F.col("expires_at"), F.lit("9999-12-31 00:00:00 UTC").cast("timestamp"))
-    ranked = entries.withColumn("_end", end).withColumn(
-        "_longest", F.max("_end").over(newest_first.rowsBetween(Window.unboundedPreceding, -1))
-    )
-    return ranked.filter(
-        F.col("_longest").isNull() | (F.col("_end") > F.col("_longest"))
-    ).drop("_end", "_longest")
+    alive = F.col("expires_at").isNull() | (F.col("expires_at") > instant(as_of))
+    lowest = entries.filter(alive).groupBy(*keys).agg(F.min("ver").alias("lowest"))
+    marked = entries.withColumn("alive", alive).join(lowest, keys, "left")
+    return marked.filter(F.col("alive") | (F.col("ver") > F.col("lowest"))).drop("alive", "lowest")
+
+
+def superseded_dropped(
+    entries: DataFrame, keys: list[str], as_of: datetime | Column | None = None
+) -> DataFrame:
+    """What a view at or after ``as_of`` still needs, as few rows as that takes.
+
+    Of the writes made by then the highest version, unless it has expired and nothing of its
+    key lives; and the writes of a clock ahead.
+    """
+    rows = needed(entries, keys, as_of)
+    made = F.col("written_at") <= instant(as_of)
+    return last_write_wins(rows.filter(made), keys, F.col("ver")).unionByName(rows.filter(~made))

@@ -13,6 +13,7 @@ from tagstream.functions import json as J
 from tagstream.functions.plan import with_column_once
 from tagstream.functions.time import epoch_seconds, instant
 from tagstream.operators.keyed import last_write_wins, version, with_expiry
+from tagstream.session import check_session
 
 LINEAGE = ("topic", "partition", "offset", "timestamp")
 MODES = ("PERMISSIVE", "FAILFAST")
@@ -40,6 +41,7 @@ def parse_readings(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    check_session(messages.sparkSession)
     body, text, epoch = F.col("body"), F.col("time_text"), F.col("time")
     readings = project_messages(messages, handler)
     readings = with_column_once(readings, "body", J.parse_body(F.col("value")))
@@ -104,18 +106,20 @@ def latest_entries(
     prefix: str = CACHE_PREFIX,
     db: int | str = CACHE_DB,
     key_columns: tuple[str, ...] = (),
+    *keep: str,
 ) -> DataFrame:
     """Cache entries of usable readings, the last write per key.
 
     The body travels as VARIANT and only winners are serialised. ``db`` is a
-    number or the name of a column that holds it.
+    number or the name of a column that holds it. ``keep`` names columns that
+    ``written_at`` needs.
     """
     # The time leads the keys: the map-side sort compares its first key as a plain number.
     keys = ["time", *key_columns]
     if isinstance(db, str):
         readings = readings.withColumn("db", F.col(db).cast("int"))
         keys.append("db")
-    rows = readings.select(*keys, "body", version().alias("ver"))
+    rows = readings.select(*keys, *keep, "body", version().alias("ver"))
     latest = last_write_wins(rows, keys, F.col("ver"))
     if not isinstance(db, str):
         latest = latest.withColumn("db", F.lit(db).cast("int"))
@@ -125,5 +129,6 @@ def latest_entries(
         key.alias("key"),
         J.body_with_epoch(F.col("body"), F.col("time")).alias("value"),
         "ver",
+        *keep,
     )
-    return with_expiry(entries, instant(written_at), ttl_seconds)
+    return with_expiry(entries, instant(written_at), ttl_seconds).drop(*keep)

@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many positions become literal predicates that reach the file scan.
-MAX_LITERAL_POSITIONS = 64
-# Up to this many are broadcast; beyond, the join shuffles.
-MAX_BROADCAST_POSITIONS = 100_000
-
 POSITION_KEY = ["topic", "partition"]
 
 
@@ -34,49 +26,35 @@ def commit_offsets(ranges: DataFrame, group: str) -> DataFrame:
     )
 
 
-def resume(
-    messages: DataFrame,
-    positions: DataFrame,
-    strict: bool = False,
-    max_literal: int = MAX_LITERAL_POSITIONS,
-    max_broadcast: int = MAX_BROADCAST_POSITIONS,
-) -> DataFrame:
-    """Messages at or after the committed position of their partition.
+def group_positions(positions: DataFrame, group: str) -> DataFrame:
+    """A group's positions, one row per topic partition: the furthest it has committed."""
+    return (
+        positions.filter(F.col("group") == group)
+        .groupBy(*POSITION_KEY)
+        .agg(F.max("next_offset").cast("bigint").alias("next_offset"))
+    )
+
 
-    A partition without a position is read from its start, or left out if
-    ``strict``. At most ``max_broadcast`` + 1 positions come to the driver; they
-    choose between a predicate the scan can use, a broadcast join of counted size
-    and a shuffled join.
+def resume(messages: DataFrame, positions: DataFrame, group: str, strict: bool = False) -> DataFrame:
+    """Messages at or after the group's committed position of their partition.
+
+    ``positions`` may hold several groups and several commits (``group``, ``topic``,
+    ``partition``, ``next_offset``). A partition without a position is read from its start, or
+    left out if ``strict``. One join, which the optimizer broadcasts or splits by the size it
+    finds; to start a Kafka stream without reading what is done, see ``start_options``.
     """
-    known = positions.select(*POSITION_KEY, F.col("next_offset").cast("bigint"))
-    rows = known.limit(max_broadcast + 1).collect()
-    if len(rows) <= max_literal:
-        return messages.filter(_position_predicate(rows, strict))
-    if len(rows) <= max_broadcast:
-        known = F.broadcast(messages.sparkSession.createDataFrame(rows, known.schema))
+    known = group_positions(positions, group)
     joined = messages.join(known, POSITION_KEY, "inner" if strict else "left")
     start = F.coalesce(F.col("next_offset"), F.lit(0))
     return joined.filter(F.col("offset") >= start).select(*messages.columns)
 
 
-def _position_predicate(rows: list[Row], strict: bool) -> Column:
-    def each(compare) -> Column:
-        terms = [
-            (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]) & compare(r)
-            for r in rows
-        ]
-        return reduce(or_, terms, F.lit(False))
-
-    if strict:
-        return each(lambda r: F.col("offset") >= r["next_offset"])
-    return ~each(lambda r: F.col("offset") < r["next_offset"])
-
-
 def newest_positions(log: DataFrame, group: str = "") -> DataFrame:
-    """Where a consumer without committed positions starts: the end of the log."""
-    return commit_offsets(offset_ranges(log), group)
+    """Where a consumer without committed positions starts: the end of the log, in one reduction."""
+    ends = log.groupBy(*POSITION_KEY).agg((F.max("offset") + 1).cast("bigint").alias("next_offset"))
+    return ends.select(F.lit(group).alias("group"), *POSITION_KEY, "next_offset")
 
 
 def start_latest(messages: DataFrame, log_at_start: DataFrame) -> DataFrame:
     """Messages that arrived after ``log_at_start``; new partitions in full."""
-    return resume(messages, newest_positions(log_at_start))
+    return resume(messages, newest_positions(log_at_start), "")

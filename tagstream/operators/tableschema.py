@@ -9,16 +9,12 @@ from pyspark.sql import types as T
 from tagstream.constants import TIME_FIELD
 from tagstream.functions import json as J
 from tagstream.functions.number import clamped, rounded
-from tagstream.functions.plan import each_column, quoted, with_column_once
+from tagstream.functions.plan import quoted, with_column_once
 from tagstream.operators.keyed import version
 from tagstream.operators.messages import MODES
 
 TIME_TYPE = "bigint"
 NUMBER_TYPE = "double"
-# Names the stored table uses itself; a tag so called gets no column.
-RESERVED = ("_batch_id", "_day", "_kind", "_rejected", "_tags", "_ver", "_body")
-# A table wider than this is a data error, not a schema to learn.
-MAX_COLUMNS = 10_000
 
 
 def infer_table_columns(readings: DataFrame, mode: str = "first") -> DataFrame:
@@ -38,7 +34,7 @@ def infer_table_columns(readings: DataFrame, mode: str = "first") -> DataFrame:
     tags = sets.select(F.explode("names").alias("tag"))
     folded = F.lower("tag")
     return (
-        tags.filter(((folded != TIME_FIELD) | (F.col("tag") == TIME_FIELD)) & ~folded.isin(*RESERVED))
+        tags.filter((folded != TIME_FIELD) | (F.col("tag") == TIME_FIELD))
         .groupBy(folded)
         .agg(F.min("tag").alias("column_name"))
         .select("column_name", _column_type(F.col("column_name")).alias("column_type"))
@@ -51,9 +47,7 @@ def _column_type(name: Column) -> Column:
 
 def table_schema(columns: DataFrame) -> T.StructType | None:
     """The learned columns as a schema, time first then by name; None if there are none."""
-    rows = columns.limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns")
+    rows = columns.collect()
     if not rows:
         return None
     tags = sorted(r["column_name"] for r in rows if r["column_name"] != TIME_FIELD)
@@ -61,32 +55,41 @@ def table_schema(columns: DataFrame) -> T.StructType | None:
     return T.StructType(fields + [T.StructField(t, T.DoubleType()) for t in tags])
 
 
-def conform(readings: DataFrame, tags: list[str], mode: str = "PERMISSIVE") -> DataFrame:
-    """Usable readings as table rows: ``_ver``, ``time``, the fixed tags, ``_rejected``.
+def conform(
+    readings: DataFrame, tags: list[str], mode: str = "PERMISSIVE", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Usable readings as table rows: ``ver``, ``time``, the kept columns, ``tags``, ``n_rejected``.
 
-    An absent tag is NULL. A tag without a column, or a value that is no number,
-    is counted as rejected (see ``rejected_tags``); FAILFAST raises instead.
+    ``tags`` is a struct of the fixed tags, so that no tag can clash with another column; it is
+    absent if there are none. An absent tag is NULL. A tag without a column, or a value that is
+    no number, is counted as rejected (see ``rejected_tags``); FAILFAST raises instead.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    wide = readings.select(version().alias("_ver"), "time", F.col("body").alias("_body"))
-    stored = F.lit(0)
+    own = ["ver", "time", *keep]
+    wide = readings.select(version().alias("ver"), "time", *keep, "body")
+    stored, result = F.lit(0), []
     if tags:
-        numbers = with_column_once(wide, "_raw", J.get_tags(F.col("_body"), tags, "double"))
-        numbers = numbers.select("_ver", "time", "_body", "_raw.*")
-        # Two projections, as each expression names its argument more than once.
-        wide = each_column(each_column(numbers, tags, clamped), tags, rounded)
-        stored = F.expr(f"size(array_compact(array({', '.join(quoted(t) for t in tags)})))")
-    wide = wide.withColumn("_tags", F.size(J.tag_map(F.col("_body"))))
+        wide = with_column_once(wide, "tags", J.get_tags(F.col("body"), tags, "double"))
+        wide = _each_tag(_each_tag(wide, tags, clamped), tags, rounded)
+        stored = F.expr(f"size(array_compact(array({', '.join(f'tags.{quoted(t)}' for t in tags)})))")
+        result = ["tags"]
+    wide = wide.withColumn("n_tags", F.size(J.tag_map(F.col("body"))))
     # Looking for null tags one by one is needed only where something is missing.
-    rejected = F.when(F.col("_tags") - 1 == stored, 0).otherwise(
-        F.size(J.present_tags(F.col("_body"))) - stored
+    rejected = F.when(F.col("n_tags") - 1 == stored, 0).otherwise(
+        F.size(J.present_tags(F.col("body"))) - stored
     )
     if mode == "FAILFAST":
-        place = F.concat_ws(" ", F.col("_ver.partition"), F.col("_ver.offset"))
+        place = F.concat_ws(" ", F.col("ver.partition"), F.col("ver.offset"))
         failure = F.raise_error(F.concat(F.lit("tag without a numeric column: "), place))
         rejected = F.when(rejected > 0, failure.cast("int")).otherwise(rejected)
-    return wide.withColumn("_rejected", rejected).drop("_body", "_tags")
+    return wide.withColumn("n_rejected", rejected).select(*own, *result, "n_rejected")
+
+
+def _each_tag(df: DataFrame, tags: list[str], expression) -> DataFrame:
+    """Every field of ``tags`` by an expression of itself, in a projection of its own."""
+    fields = ", ".join(f"{expression(f'tags.{quoted(t)}')} AS {quoted(t)}" for t in tags)
+    return df.selectExpr(*[f"struct({fields}) AS tags" if c == "tags" else quoted(c) for c in df.columns])
 
 
 def rejected_tags(readings: DataFrame, tags: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ TOPIC = "readings"
 PARTITIONS = 4
 
 # Characters of the timestamp text to keep, and what completes it.
-GRAINS = {"second": (19, ""), "minute": (16, ":00"), "hour": (13, ":00:00")}
+GRAINS = {"second": (19, ""), "minute": (16, ":00"), "hour": (13, ":00:00"), "day": (10, "")}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,13 @@ def rolled_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(events(spark, sf_dir), _two_tags(text))
 
 
+def long_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times written as midnight and the seconds of the day, up to five digits of them."""
+    seconds = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    text = F.concat(time_text("day"), F.lit(" 00:00:"), seconds.cast("string"))
+    return as_messages(events(spark, sf_dir), _two_tags(text))
+
+
 def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events carry another tag than the rest; some bodies are no JSON at all."""
     time = time_text("second").alias("time")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tagstream.constants import CACHE_PREFIX, CHECK_MESSAGE, LEGACY_CACHE_PREFIX
+# Literals, not the constants of the code under test.
+CACHE_PREFIX = "sfhd_origin_"
+LEGACY_CACHE_PREFIX = "sfhd_origin"
+CHECK_MESSAGE = "ping"
 
 _M = """
 WITH m AS (
@@ -26,6 +29,14 @@ _LATEST = f"""{_M}
 SELECT '{CACHE_PREFIX}' || hour_s AS key, arg_max(value, event_id) AS val FROM m GROUP BY hour_s
 """
 
+_LATEST_BY_DEVICE = f"""{_M}
+SELECT '{CACHE_PREFIX}' || hour_s || ':' || k AS key, arg_max(value, event_id) AS val FROM m GROUP BY hour_s, k
+"""
+
+_POISON = f"""{_M}
+SELECT event_id, '{CHECK_MESSAGE}' AS value, 'not_json' AS reason FROM m WHERE poison
+"""
+
 _FIRST = f"""{_M}
 SELECT hour_s AS time, arg_min(value, event_id) AS val FROM m GROUP BY hour_s
 """
@@ -57,11 +68,11 @@ ORACLE: dict[str, str] = {
     "event_epoch_seconds": f"{_M} SELECT event_id, hour_s AS time FROM m",
     "event_epoch_seconds_zone": f"{_M} SELECT event_id, hour_s - 8 * 3600 AS time FROM m",
     "event_epoch_seconds_lenient": f"{_M} SELECT event_id, second_s AS time FROM m",
+    "event_epoch_seconds_long_fields": f"{_M} SELECT event_id, second_s AS time FROM m",
     "latest_by_key": _LATEST,
     "rewrite_time_field": _ENTRIES,
     "reading_entries": _ENTRIES,
-    "quarantine_bad_messages": f"""{_M}
-        SELECT event_id, '{CHECK_MESSAGE}' AS value, 'not_json' AS reason FROM m WHERE poison""",
+    "quarantine_bad_messages": _POISON,
     "cache_key_values": f"""{_M}
         SELECT event_id, '{CACHE_PREFIX}' || hour_s AS key, '{LEGACY_CACHE_PREFIX}' || hour_s AS legacy_key
         FROM m""",
@@ -69,12 +80,18 @@ ORACLE: dict[str, str] = {
         SELECT hour_s AS time, arg_max(value, event_id) AS val FROM m
         WHERE hour_s <= epoch({_MIDDLE})
         GROUP BY hour_s HAVING epoch({_MIDDLE}) < max(hour_s) + 86400""",
+    "live_keys_out_of_order": f"""{_M},
+        w AS (SELECT *, second_s + (event_id * 37 % 5) * 86400 AS written_s FROM m),
+        winner AS (
+          SELECT k, arg_max(value, event_id) AS val, arg_max(written_s, event_id) + 86400 AS expires_s
+          FROM w WHERE written_s <= epoch({_MIDDLE}) GROUP BY k)
+        SELECT k, val, expires_s FROM winner WHERE expires_s > epoch({_MIDDLE})""",
     "latest_by_namespace": f"""{_M}
         SELECT part AS db, '{CACHE_PREFIX}' || hour_s AS key, arg_max(value, event_id) AS val
         FROM m GROUP BY part, hour_s""",
-    "latest_by_extra_key": f"""{_M}
-        SELECT '{CACHE_PREFIX}' || hour_s || ':' || k AS key, arg_max(value, event_id) AS val
-        FROM m GROUP BY hour_s, k""",
+    "latest_by_extra_key": _LATEST_BY_DEVICE,
+    "stream_latest_by_extra_key": _LATEST_BY_DEVICE,
+    "stream_quarantine": _POISON,
     "first_by_key": _FIRST,
     "insert_ignore_existing": f"""{_M}
         SELECT minute_s AS time, arg_min(value, event_id) AS val FROM m
@@ -108,7 +125,15 @@ ORACLE: dict[str, str] = {
     "commit_offsets": f"""{_M}
         SELECT 'cache' AS "group", part, max(off) + 1 AS next_offset FROM m GROUP BY part""",
     "resume_from_offsets": _RESUMED,
-    "resume_by_join": _RESUMED,
+    "resume_from_offsets_two_groups": f"""{_POSITIONS},
+        ahead AS (
+          SELECT part, max(off) + 1 AS next_offset FROM m
+          WHERE ts < {_MIDDLE} + INTERVAL 7 DAY GROUP BY part)
+        SELECT 'cache' AS "group", m.part, m.off FROM m LEFT JOIN positions p ON m.part = p.part
+        WHERE m.off >= coalesce(p.next_offset, 0)
+        UNION ALL
+        SELECT 'table', m.part, m.off FROM m LEFT JOIN ahead a ON m.part = a.part
+        WHERE m.off >= coalesce(a.next_offset, 0)""",
     "resume_from_offsets_strict": f"""{_POSITIONS}
         SELECT m.part, m.off FROM m JOIN positions p ON m.part = p.part WHERE m.off >= p.next_offset""",
     "start_latest": f"""{_M},
@@ -118,7 +143,7 @@ ORACLE: dict[str, str] = {
     "stream_latest_store": _LATEST,
     "stream_insert_ignore": _FIRST,
     "batch_report": f"""{_M}
-        SELECT day_n AS batch, count(*) AS n_in,
+        SELECT day_n AS batch, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS report_time, count(*) AS n_in,
                count(*) FILTER (WHERE NOT poison) AS n_good, count(*) FILTER (WHERE poison) AS n_bad
         FROM m GROUP BY day_n""",
     "producer_records": f"""{_M}

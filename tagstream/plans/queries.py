@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +12,7 @@ from tagstream.constants import CACHE_PREFIX, LEGACY_CACHE_PREFIX
 from tagstream.functions.json import get_tag, parse_body
 from tagstream.functions.number import clamped, rounded
 from tagstream.functions.plan import each_column
-from tagstream.operators.keyed import (
-    first_write_wins,
-    insert_ignore,
-    last_write_wins,
-    live,
-    version,
-    with_expiry,
-)
+from tagstream.operators.keyed import current, first_write_wins, insert_ignore, version, with_expiry
 from tagstream.operators.messages import (
     cache_key,
     latest_entries,
@@ -34,18 +27,20 @@ from tagstream.operators.offsets import commit_offsets, offset_ranges, resume, s
 from tagstream.operators.report import batch_report as report_by
 from tagstream.operators.tableschema import conform, infer_table_columns, rejected_tags
 from tagstream.plans import logs
-from tagstream.plans.logs import dense_log, event_id, mixed_log, rolled_log, user_log
+from tagstream.plans.logs import dense_log, event_id, long_log, mixed_log, rolled_log, user_log
 from tagstream.session import scratch_dir
 from tagstream.sinks.cache_store import CacheStore
 from tagstream.sinks.producer import producer_records as to_records
 from tagstream.sinks.table import ParquetTable
 from tagstream.sources.message_log import stream_message_log
-from tagstream.streaming.jobs import CacheJob, TableJob
+from tagstream.streaming.jobs import DISCARD, CacheJob, TableJob, quarantine_store
 
 MIDDLE = datetime(2024, 1, 15, tzinfo=timezone.utc)
 AFTER = datetime(2024, 2, 1, tzinfo=timezone.utc)
 VALUE = "VALUE.AV"
 DAY_SECONDS = 86_400
+# Messages per file of a streamed log.
+FILE_MESSAGES = 25_000
 
 
 def _tag(name: str, alias: str, data_type: str = "double"):
@@ -91,6 +86,10 @@ def event_epoch_seconds_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_readings(rolled_log(spark, sf_dir), lenient=True).select(event_id(), "time")
 
 
+def event_epoch_seconds_long_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_readings(long_log(spark, sf_dir), lenient=True).select(event_id(), "time")
+
+
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = latest_entries(usable(parse_readings(dense_log(spark, sf_dir))), AFTER)
     return entries.select("key", _stored_tag(VALUE, "val"))
@@ -134,8 +133,21 @@ def live_keys_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_seconds("time"),
         DAY_SECONDS,
     )
-    latest = last_write_wins(live(writes, MIDDLE), ["time"], F.col("ver"))
-    return latest.select("time", _tag(VALUE, "val"))
+    return current(writes, ["time"], MIDDLE).select("time", _tag(VALUE, "val"))
+
+
+def live_keys_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written up to four days late, so that older readings often arrive after newer ones."""
+    readings = usable(parse_readings(user_log(spark, sf_dir)))
+    late = (event_id() * 37 % 5) * DAY_SECONDS
+    writes = with_expiry(
+        readings.select(_tag("K.AV", "k", "bigint"), "body", version().alias("ver"), (F.col("time") + late).alias("at")),
+        F.timestamp_seconds("at"),
+        DAY_SECONDS,
+    )
+    return current(writes, ["k"], MIDDLE).select(
+        "k", _tag(VALUE, "val"), F.unix_seconds("expires_at").alias("expires_s")
+    )
 
 
 def latest_by_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,11 +168,15 @@ def latest_by_extra_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _first_rows(log: DataFrame) -> DataFrame:
     rows = conform(usable(parse_readings(log)), [VALUE])
-    return first_write_wins(rows, ["time"], F.col("_ver"))
+    return first_write_wins(rows, ["time"], F.col("ver"))
+
+
+def _value_column():
+    return F.col(f"tags.`{VALUE}`")
 
 
 def first_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _first_rows(dense_log(spark, sf_dir)).select("time", F.col(f"`{VALUE}`").alias("val"))
+    return _first_rows(dense_log(spark, sf_dir)).select("time", _value_column().alias("val"))
 
 
 def insert_ignore_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +186,7 @@ def insert_ignore_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = insert_ignore(
         _first_rows(dense_log(spark, sf_dir, "minute")), usable(table).select("time").distinct(), ["time"]
     )
-    return new.select("time", F.col(f"`{VALUE}`").alias("val"))
+    return new.select("time", _value_column().alias("val"))
 
 
 def infer_columns_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,10 +208,10 @@ def conform_double_10_3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conform_to_table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conform(usable(parse_readings(mixed_log(spark, sf_dir))), [VALUE])
     return rows.select(
-        (F.col("_ver.offset") * logs.PARTITIONS + F.col("_ver.partition")).alias("event_id"),
+        (F.col("ver.offset") * logs.PARTITIONS + F.col("ver.partition")).alias("event_id"),
         "time",
-        F.col(f"`{VALUE}`").alias("value_av"),
-        F.col("_rejected").alias("n_rejected"),
+        _value_column().alias("value_av"),
+        "n_rejected",
     )
 
 
@@ -232,7 +248,7 @@ def _positions_at_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resume(spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
-    rest = resume(dense_log(spark, sf_dir), _positions_at_middle(spark, sf_dir), **kwargs)
+    rest = resume(dense_log(spark, sf_dir), _positions_at_middle(spark, sf_dir), "cache", **kwargs)
     return rest.select(F.col("partition").alias("part"), F.col("offset").alias("off"))
 
 
@@ -244,9 +260,16 @@ def resume_from_offsets_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resume(spark, sf_dir, strict=True)
 
 
-def resume_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As above with positions too many for a predicate."""
-    return _resume(spark, sf_dir, max_literal=0)
+def resume_from_offsets_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each group goes on where it stopped itself: the table's job stopped a week after the cache's."""
+    log = dense_log(spark, sf_dir)
+    later = F.timestamp_seconds(F.lit(int((MIDDLE + timedelta(days=7)).timestamp())))
+    ahead = commit_offsets(offset_ranges(log.filter(F.col("timestamp") < later)), "table")
+    stored = _positions_at_middle(spark, sf_dir).unionByName(ahead)
+    rests = [resume(log, stored, group).withColumn("group", F.lit(group)) for group in ("cache", "table")]
+    return rests[0].unionByName(rests[1]).select(
+        "group", F.col("partition").alias("part"), F.col("offset").alias("off")
+    )
 
 
 def start_at_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,24 +282,55 @@ def start_at_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _log_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """The log as files of the message schema, streamed in about four batches."""
-    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = f"{root}/log"
-    dense_log(spark, sf_dir).repartitionByRange(files, "timestamp").write.parquet(path)
+    files = max(4, logs.events(spark, sf_dir).count() // FILE_MESSAGES)
+    return _stream_of(spark, dense_log(spark, sf_dir), f"{root}/log", files)
+
+
+def _stream_of(spark: SparkSession, log: DataFrame, path: str, files: int) -> DataFrame:
+    log.repartitionByRange(files, "timestamp", "partition", "offset").write.parquet(path)
     return stream_message_log(spark, path, max_files_per_trigger=-(-files // 4))
 
 
 def stream_latest_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_latest_store")
     store = CacheStore(spark, f"{root}/cache")
-    job = CacheJob(spark=spark, checkpoint=f"{root}/checkpoint", target=store, clock=lambda: AFTER)
+    job = CacheJob(
+        spark=spark, checkpoint=f"{root}/checkpoint", target=store, quarantine=DISCARD, clock=lambda: AFTER
+    )
     job.start(_log_stream(spark, sf_dir, root), available_now=True).awaitTermination()
     return store.view(AFTER).select("key", _stored_tag(VALUE, "val"))
 
 
+def stream_latest_by_extra_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "stream_latest_by_extra_key")
+    store = CacheStore(spark, f"{root}/cache")
+    job = CacheJob(
+        spark=spark, checkpoint=f"{root}/checkpoint", target=store, quarantine=DISCARD, clock=lambda: AFTER,
+        key_columns={"device": get_tag(F.col("body"), "K.AV", "bigint")},
+    )
+    job.start(_log_stream(spark, sf_dir, root), available_now=True).awaitTermination()
+    return store.view(AFTER).select("key", _stored_tag(VALUE, "val"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the cache job set aside, read from its store."""
+    root = scratch_dir(spark, "stream_quarantine")
+    bad = quarantine_store(spark, f"{root}/bad")
+    job = CacheJob(
+        spark=spark, checkpoint=f"{root}/checkpoint", target=CacheStore(spark, f"{root}/cache"), quarantine=bad
+    )
+    files = max(4, logs.events(spark, sf_dir).count() // FILE_MESSAGES)
+    stream = _stream_of(spark, mixed_log(spark, sf_dir), f"{root}/log", files)
+    job.start(stream, available_now=True).awaitTermination()
+    return bad.read().select(event_id(), "value", "reason")
+
+
 def stream_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_insert_ignore")
     table = ParquetTable(spark, f"{root}/table")
-    job = TableJob(spark=spark, checkpoint=f"{root}/checkpoint", target=table)
+    job = TableJob(
+        spark=spark, checkpoint=f"{root}/checkpoint", target=table, quarantine=DISCARD, rejects=DISCARD
+    )
     job.start(_log_stream(spark, sf_dir, root), available_now=True).awaitTermination()
     return table.view().select("time", F.col(f"`{VALUE}`").alias("val"))
 
@@ -286,7 +340,7 @@ def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         mixed_log(spark, sf_dir),
         handler=lambda _: [F.expr(f"unix_seconds(timestamp) div {DAY_SECONDS}").alias("batch")],
     )
-    return report_by(readings, "batch")
+    return report_by(readings, "batch", at=F.max("timestamp"))
 
 
 def producer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,12 +356,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_epoch_seconds": event_epoch_seconds,
     "event_epoch_seconds_zone": event_epoch_seconds_zone,
     "event_epoch_seconds_lenient": event_epoch_seconds_lenient,
+    "event_epoch_seconds_long_fields": event_epoch_seconds_long_fields,
     "latest_by_key": latest_by_key,
     "rewrite_time_field": rewrite_time_field,
     "reading_entries": tag_entries,
     "quarantine_bad_messages": quarantine_bad_messages,
     "cache_key_values": cache_key_values,
     "live_keys_ttl": live_keys_ttl,
+    "live_keys_out_of_order": live_keys_out_of_order,
     "latest_by_namespace": latest_by_namespace,
     "latest_by_extra_key": latest_by_extra_key,
     "first_by_key": first_by_key,
@@ -321,9 +377,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "commit_offsets": committed_offsets,
     "resume_from_offsets": resume_from_offsets,
     "resume_from_offsets_strict": resume_from_offsets_strict,
-    "resume_by_join": resume_by_join,
+    "resume_from_offsets_two_groups": resume_from_offsets_two_groups,
     "start_latest": start_at_latest,
     "stream_latest_store": stream_latest_store,
+    "stream_latest_by_extra_key": stream_latest_by_extra_key,
+    "stream_quarantine": stream_quarantine,
     "stream_insert_ignore": stream_insert_ignore,
     "batch_report": batch_report,
     "producer_records": producer_records,

@@ -10,13 +10,22 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def check_session(spark: SparkSession) -> None:
+    """Parsing must not depend on a setting nobody sees, so it is refused where that is off."""
+    if spark.conf.get(REPEATED_KEYS, "false").lower() != "true":
+        raise ValueError(f"set {REPEATED_KEYS} to true, or call tagstream.configure(spark)")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on.
 
     A repeated JSON key keeps its last value, and timestamps are stored in the
     Parquet type that has statistics, so that scans can skip expired entries.
     """
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set(REPEATED_KEYS, "true")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 

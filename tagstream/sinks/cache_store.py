@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.operators.keyed import live, undominated, unexpired
-from tagstream.sinks.batch_store import BASE, BATCH, DELTA, KIND, BatchStore
+from tagstream.functions.time import instant
+from tagstream.operators.keyed import current, last_write_wins, needed, superseded_dropped
+from tagstream.sinks.batch_store import BATCH, KIND, BatchStore
 
 ENTRY_SCHEMA = (
     "key STRING, value STRING, "
@@ -27,37 +28,34 @@ class CacheStore:
         self.batches.write(entries, batch_id)
 
     def view(self, as_of: datetime | Column | None = None, db: int | None = None) -> DataFrame:
-        """The live entries: latest value and longest expiry per key."""
-        rows = self.batches.read().drop(KIND, BATCH)
-        if db is not None:
-            rows = rows.filter(F.col("db") == db)
-        return current_entries(live(rows, as_of))
+        """The live entries: the latest write per key with its own expiry."""
+        rows = self.batches.read(None if db is None else [db]).drop(KIND, BATCH)
+        return current(rows, KEY, as_of).select("db", "key", "value", "written_at", "expires_at", "ver")
 
     def compact(self, as_of: datetime | Column | None = None, upto: int | None = None, full: bool = False):
         """Fold small batches together, leaving out what is expired or superseded.
 
-        A view as of a time before the compaction is no longer exact afterwards.
+        A view as of a time before the compaction is no longer exact afterwards. With
+        ``upto`` or without ``full`` other batches remain, so that nothing that hides one of
+        their writes may go: only superseded writes do.
         """
-        return self.batches.fold(lambda rows: undominated(unexpired(rows, as_of), KEY), upto, full)
+
+        def reduce_rows(rows: DataFrame) -> DataFrame:
+            if full and upto is None:
+                return superseded_dropped(rows, KEY, as_of)
+            made = F.col("written_at") <= instant(as_of)
+            return last_write_wins(rows.filter(made), KEY, F.col("ver")).unionByName(rows.filter(~made))
+
+        return self.batches.fold(reduce_rows, upto, full)
 
     def purge(self, as_of: datetime | Column | None = None) -> int:
-        """Delete directories in which every entry has expired; returns how many."""
-        kept = unexpired(self.batches.read(), as_of).select(KIND, BATCH).distinct()
-        alive = {(r[KIND], r[BATCH]) for r in kept.toLocalIterator()}
-        dropped = 0
-        for kind in (DELTA, BASE):
-            dead = [b for b in self.batches.batches(kind) if (kind, b) not in alive]
-            self.batches.drop(dead, kind)
-            dropped += len(dead)
-        return dropped
-
-
-def current_entries(entries: DataFrame) -> DataFrame:
-    """One row per key: the value of the highest version, re-armed by every live write."""
-    end = F.when(F.count_if(F.col("expires_at").isNull()) == 0, F.max("expires_at"))
-    winner = F.max_by(F.struct("value", "written_at"), F.col("ver"))
-    return (
-        entries.groupBy(*KEY)
-        .agg(winner.alias("_winner"), F.max("ver").alias("ver"), end.alias("expires_at"))
-        .select("db", "key", "_winner.*", "expires_at", "ver")
-    )
+        """Delete directories that no view at or after ``as_of`` needs; returns how many.
+
+        What is written meanwhile is not judged: the directories are listed first.
+        """
+        listed = self.batches.stored()
+        rows = needed(self.batches.read_stored(listed), KEY, as_of)
+        alive = {(f"db={r['db']}", r[KIND], r[BATCH]) for r in rows.select("db", KIND, BATCH).distinct().collect()}
+        dead = [s for s in listed if s not in alive]
+        self.batches.drop(dead)
+        return len(dead)

@@ -15,26 +15,35 @@ from tagstream.functions.plan import quoted
 from tagstream.operators.keyed import first_write_wins, insert_ignore
 from tagstream.sinks.batch_store import BASE, BATCH, KIND, BatchStore
 
-KEY = [TIME_FIELD]
 DAY = 86_400
-# A batch over more days than this is joined with the whole table.
-MAX_DAYS = 1000
 VERSION_TYPE = "STRUCT<timestamp: TIMESTAMP, partition: INT, offset: BIGINT>"
 
 
+def tags_of(schema: T.StructType, keys: tuple[str, ...] = ()) -> list[str]:
+    """The table's columns but for the time and further keys, wherever these stand."""
+    return [f.name for f in schema.fields if f.name != TIME_FIELD and f.name not in keys]
+
+
 class ParquetTable:
-    """A table as a Parquet folder, partitioned by day of the key.
+    """A table as a Parquet folder, partitioned by day of the time.
 
-    ``keep="event"`` stores the earliest message per time whatever the arrival
-    order; ``keep="arrival"`` never replaces a stored row, like a primary key.
+    Rows come as ``conform`` makes them, reduced to one per key (the time and ``key_columns``).
+    ``keep="event"`` shows the earliest message per key whatever the arrival order: batches are
+    appended as they are, and a reader or a fold keeps the earliest. ``keep="arrival"`` never
+    stores a second row of a key, like a primary key: a batch is held against the stored rows
+    of its days.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: str = "event"):
+    def __init__(
+        self, spark: SparkSession, root: str, keep: str = "event", key_columns: dict[str, str] | None = None
+    ):
         if keep not in ("event", "arrival"):
             raise ValueError("keep must be 'event' or 'arrival'")
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep = keep
+        self.key_columns = dict(key_columns or {})
+        self.keys = [TIME_FIELD, *self.key_columns]
         self._schema: T.StructType | None = None
 
     def schema(self) -> T.StructType | None:
@@ -51,55 +60,52 @@ class ParquetTable:
         self.spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/schema")
         self._schema = None
 
-    def insert_new(self, rows: DataFrame, batch_id: int) -> None:
-        """Append rows (one per time, with ``_ver``) whose time is not stored yet.
+    @property
+    def looks_up(self) -> bool:
+        """Whether ``insert_new`` reads stored rows, and so needs the days."""
+        return self.keep == "arrival"
 
-        Only the days the batch covers are read, so one reading with a time far off
-        does not pull in the days between. The batch's own directory is left out, so
-        a replay writes the same rows again.
+    def insert_new(self, rows: DataFrame, batch_id: int, days: list[int] | None = None) -> None:
+        """Append rows whose key is not stored yet; ``days`` are those the rows cover.
+
+        Only the folders of these days are listed and read, so one reading with a time far off
+        does not pull in the days between. The batch's own rows are left out, so a replay
+        writes the same rows again.
         """
-        rows = rows.withColumn("_day", F.expr(f"{TIME_FIELD} div {DAY}"))
-        covered = _covered(rows)
-        if covered is not None:
+        if self.looks_up:
+            if not days:
+                return
             others = (F.col(KIND) == BASE) | (F.col(BATCH) != batch_id)
-            stored = self._store().read().filter(others & covered)
-            if self.keep == "event":
-                earliest = stored.groupBy(*KEY).agg(F.min("_ver").alias("_stored"))
-                rows = (
-                    rows.join(earliest, KEY, "left")
-                    .filter(F.col("_stored").isNull() | (F.col("_ver") < F.col("_stored")))
-                    .drop("_stored")
-                )
-            else:
-                rows = insert_ignore(rows, stored, KEY)
-        self._store().write(rows, batch_id)
+            rows = insert_ignore(rows, self._store().read(days).filter(others), self.keys)
+        self._store().write(rows.withColumn("day", day_of(F.col(TIME_FIELD))), batch_id)
 
     def view(self) -> DataFrame:
-        names = [quoted(f.name) for f in self.schema().fields]
-        rows = self._store().read().selectExpr(*names, "_ver")
-        return first_write_wins(rows, KEY, F.col("_ver")).selectExpr(*names)
+        schema = self.schema()
+        if schema is None:
+            raise LookupError(f"no table at {self.root} yet: no usable reading has come")
+        rows = self._store().read().drop(KIND, BATCH, "day")
+        first = first_write_wins(rows, self.keys, F.col("ver"))
+        own = set(self.keys)
+        return first.selectExpr(*[quoted(f.name) if f.name in own else f"tags.{quoted(f.name)}" for f in schema.fields])
 
     def compact(self, upto: int | None = None, full: bool = False):
+        if self.schema() is None:
+            return None
         return self._store().fold(
-            lambda rows: first_write_wins(rows, [*KEY, "_day"], F.col("_ver")), upto, full
+            lambda rows: first_write_wins(rows, [*self.keys, "day"], F.col("ver")), upto, full
         )
 
     def _store(self) -> BatchStore:
-        columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.schema().fields]
-        data = ", ".join([*columns, f"_ver {VERSION_TYPE}"])
-        return BatchStore(self.spark, f"{self.root}/data", data, {"_day": "BIGINT"})
+        fields = {f.name: f.dataType.simpleString() for f in self.schema().fields}
+        tags = [f"{quoted(t)}: {fields[t]}" for t in tags_of(self.schema(), tuple(self.keys))]
+        data = [f"{TIME_FIELD} BIGINT", *[f"{quoted(c)} {t}" for c, t in self.key_columns.items()], f"ver {VERSION_TYPE}"]
+        if tags:
+            data.append(f"tags STRUCT<{', '.join(tags)}>")
+        return BatchStore(self.spark, f"{self.root}/data", ", ".join(data), {"day": "BIGINT"})
 
 
-def _covered(rows: DataFrame) -> Column | None:
-    """Which stored rows a batch can meet; None if the batch is empty."""
-    per_day = rows.groupBy("_day").agg(F.min(TIME_FIELD).alias("lo"), F.max(TIME_FIELD).alias("hi"))
-    days = per_day.limit(MAX_DAYS + 1).collect()
-    if not days:
-        return None
-    if len(days) > MAX_DAYS:
-        return F.lit(True)
-    lo, hi = min(d["lo"] for d in days), max(d["hi"] for d in days)
-    return F.col("_day").isin([d["_day"] for d in days]) & F.col(TIME_FIELD).between(lo, hi)
+def day_of(time: Column) -> Column:
+    return F.floor(time / DAY)
 
 
 @dataclass
@@ -118,6 +124,8 @@ class JdbcTable:
     catalog_view: str = "information_schema.tables"
     batch_rows: int = 5000
     parallelism: int = 8
+    key_columns: dict[str, str] = field(default_factory=dict)
+    identifier_quote: str = "`"
 
     def schema(self) -> T.StructType | None:
         found = self._reader(self.catalog_view).filter(F.col("table_name") == self.table)
@@ -140,51 +148,77 @@ class JdbcTable:
         driver = jvm.java.lang.Class.forName(self.options["driver"], True, loader).newInstance()
         connection = driver.connect(self.options["url"], properties)
         try:
-            connection.createStatement().executeUpdate(create_statement(self.table, schema))
+            connection.createStatement().executeUpdate(
+                create_statement(self.table, schema, self.keys, self.identifier_quote)
+            )
         finally:
             connection.close()
 
-    def insert_new(self, rows: DataFrame, batch_id: int) -> None:
-        bounds = rows.agg(F.min(TIME_FIELD).alias("lo"), F.max(TIME_FIELD).alias("hi")).first()
-        if bounds["lo"] is None:
+    looks_up = True
+
+    def insert_new(self, rows: DataFrame, batch_id: int, days: list[int] | None = None) -> None:
+        if not days:
             return
-        lo, hi = bounds["lo"], bounds["hi"]
-        stored = self._reader(
-            self.table,
-            partitionColumn=TIME_FIELD,
-            lowerBound=str(lo),
-            upperBound=str(hi + 1),
-            numPartitions=str(self.parallelism),
-        ).filter(F.col(TIME_FIELD).between(lo, hi))
-        new = insert_ignore(rows.drop("_ver"), stored, KEY)
-        named = new.selectExpr(*[f"{quoted(c)} AS {column_name(c)}" for c in new.columns])
-        named.write.format("jdbc").mode("append").options(
+        wide = rows.select(*[quoted(k) for k in self.keys], *(["tags.*"] if "tags" in rows.columns else []))
+        named = wide.select([F.col(quoted(c)).alias(column_name(c)) for c in wide.columns])
+        new = insert_ignore(named, self._stored_keys(days), [column_name(k) for k in self.keys])
+        new.write.format("jdbc").mode("append").options(
             **self.options,
             dbtable=self.table,
             batchsize=str(self.batch_rows),
             numPartitions=str(self.parallelism),
         ).save()
 
+    @property
+    def keys(self) -> list[str]:
+        return [TIME_FIELD, *self.key_columns]
+
+    def day_predicates(self, days: list[int]) -> list[str]:
+        """A condition per covered day: a time far off reads its own day and not those between."""
+        time = self.quote(column_name(TIME_FIELD))
+        return [f"{time} >= {d * DAY} AND {time} < {(d + 1) * DAY}" for d in sorted(days)]
+
+    def _stored_keys(self, days: list[int]) -> DataFrame:
+        names = [column_name(k) for k in self.keys]
+        properties = {k: v for k, v in self.options.items() if k != "url"}
+        found = self.spark.read.jdbc(
+            self.options["url"], self.table, predicates=self.day_predicates(days), properties=properties
+        )
+        return found.select(*names)
+
+    def quote(self, name: str) -> str:
+        return f"{self.identifier_quote}{name}{self.identifier_quote}"
+
     def _reader(self, table: str, **extra: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options, dbtable=table, **extra).load()
 
 
 def column_name(tag: str) -> str:
-    """A tag as a plain SQL identifier; ``tag_name`` reverses it."""
-    return re.sub(r"[^A-Za-z0-9_]|_(?=x)", lambda m: f"_x{ord(m.group()):X}_", tag)
+    """A tag as a word of letters, digits and underscores; ``tag_name`` reverses it.
+
+    The empty tag and one that starts with a digit get a prefix, so that every name is one
+    that databases accept once it is quoted.
+    """
+    name = re.sub(r"[^A-Za-z0-9_]|_(?=x)", lambda m: f"_x{ord(m.group()):X}_", tag)
+    return f"_x_{name}" if not name or name[0].isdigit() else name
 
 
 def tag_name(column: str) -> str:
-    return re.sub(r"_x([0-9A-F]+)_", lambda m: chr(int(m.group(1), 16)), column)
+    return re.sub(r"_x([0-9A-F]+)_", lambda m: chr(int(m.group(1), 16)), column.removeprefix("_x_"))
 
 
-def create_statement(table: str, schema: T.StructType) -> str:
-    """CREATE TABLE for the learned columns; identifiers are plain words by construction."""
+def create_statement(
+    table: str, schema: T.StructType, keys: list[str] | None = None, quote: str = "`"
+) -> str:
+    """CREATE TABLE for the learned columns, every column name quoted (it may be a reserved word)."""
     if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?", table):
         raise ValueError(f"not a plain table name: {table!r}")
+    keys = keys or [TIME_FIELD]
+    types = {T.LongType(): "BIGINT", T.IntegerType(): "INT", T.StringType(): "VARCHAR(255)"}
     columns = [
-        f"{column_name(f.name)} "
-        + ("BIGINT NOT NULL PRIMARY KEY" if f.name == TIME_FIELD else f"DOUBLE(10,{NUMBER_SCALE})")
+        f"{quote}{column_name(f.name)}{quote} "
+        + (f"{types[f.dataType]} NOT NULL" if f.name in keys else f"DOUBLE(10,{NUMBER_SCALE})")
         for f in schema.fields
     ]
-    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"
+    primary = ", ".join(f"{quote}{column_name(k)}{quote}" for k in keys)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}, PRIMARY KEY ({primary}))"

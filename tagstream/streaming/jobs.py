@@ -1,18 +1,20 @@
-"""The two jobs. Sinks are replay-safe, so a batch repeated after a crash changes nothing."""
+"""The two jobs. Sinks are replay-safe and a batch keeps its time, so a repeated batch changes nothing."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import datetime, timezone
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
+from enum import Enum
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tagstream.constants import BATCH_SECONDS, CACHE_DB, CACHE_PREFIX, CACHE_TTL_SECONDS
-from tagstream.functions.time import check_zone
+from tagstream.constants import BATCH_SECONDS, CACHE_DB, CACHE_PREFIX, CACHE_TTL_SECONDS, TIME_FIELD
+from tagstream.functions.time import check_zone, instant
 from tagstream.operators.keyed import first_write_wins
 from tagstream.operators.messages import (
     MODES,
@@ -33,9 +35,13 @@ from tagstream.session import configure
 from tagstream.sinks.batch_store import BatchStore
 from tagstream.sinks.cache_store import CacheStore
 from tagstream.sinks.offset_log import OffsetLog
-from tagstream.sinks.table import JdbcTable, ParquetTable
+from tagstream.sinks.table import JdbcTable, ParquetTable, day_of, tags_of
 from tagstream.streaming.report import BatchReport, OnReport, log_report
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+# Column with the time of the batch.
+STAMP = "batch_time"
+
 QUARANTINE_SCHEMA = "value STRING, topic STRING, partition INT, offset BIGINT, reason STRING"
 REJECT_SCHEMA = (
     "topic STRING, partition INT, offset BIGINT, time BIGINT, tag STRING, value STRING, reason STRING"
@@ -50,8 +56,13 @@ def reject_store(spark: SparkSession, root: str) -> BatchStore:
     return BatchStore(spark, root, REJECT_SCHEMA)
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc)
+class Discard(Enum):
+    """Says in so many words that what cannot be used may vanish (it is still counted)."""
+
+    DISCARD = "discard"
+
+
+DISCARD = Discard.DISCARD
 
 
 class CacheTarget(Protocol):
@@ -60,17 +71,24 @@ class CacheTarget(Protocol):
 
 @dataclass(kw_only=True)
 class _Job:
+    """``quarantine`` takes the messages that cannot be used: a store, or DISCARD, or nothing in FAILFAST mode.
+
+    A batch is stamped with the time the stream recorded for it, which a replay repeats;
+    ``clock`` replaces that time.
+    """
+
     spark: SparkSession
     checkpoint: str
     zone: str = "UTC"
     lenient: bool = False
     mode: str = "PERMISSIVE"
-    quarantine: BatchStore | None = None
+    quarantine: BatchStore | Discard | None = None
     offsets: OffsetLog | None = None
-    clock: Callable[[], datetime] = _now
+    clock: Callable[[], datetime] | None = None
     on_report: OnReport = log_report
     name: str | None = None
     compact_every: int | None = None
+    key_columns: dict[str, Column] = field(default_factory=dict)
 
     def __post_init__(self):
         check_zone(self.zone)
@@ -78,6 +96,11 @@ class _Job:
             raise ValueError(f"mode must be one of {MODES}")
         if self.compact_every is not None and self.compact_every < 1:
             raise ValueError("compact_every must be positive")
+        self._must_have("quarantine", self.quarantine)
+
+    def _must_have(self, what: str, store: BatchStore | Discard | None) -> None:
+        if store is None and self.mode != "FAILFAST":
+            raise ValueError(f"{what} needs a store, or DISCARD to lose what goes there")
 
     def start(
         self,
@@ -89,7 +112,8 @@ class _Job:
         if batch_seconds <= 0:
             raise ValueError("batch_seconds must be positive")
         configure(self.spark)
-        writer = messages.writeStream.foreachBatch(self.write_batch)
+        stamped = messages.withColumn(STAMP, F.current_timestamp())
+        writer = stamped.writeStream.foreachBatch(self.write_batch)
         writer = writer.option("checkpointLocation", self.checkpoint)
         if self.name:
             writer = writer.queryName(self.name)
@@ -98,26 +122,40 @@ class _Job:
         return writer.trigger(processingTime=f"{batch_seconds} seconds").start()
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if self.clock:
+            batch = batch.withColumn(STAMP, instant(self.clock()))
+        readings = parse_readings(batch, self.zone, self.lenient, self.mode, lambda _: [F.col(STAMP)])
+        for name, value in self.key_columns.items():
+            readings = readings.withColumn(name, value)
+        # The source is read once; whatever else looks at the batch finds it here.
+        again = self._looks_again()
+        readings = readings.persist() if again else readings
+        try:
+            written_at, counts = self._write(readings, batch_id)
+            if isinstance(self.quarantine, BatchStore) and counts["n_bad"]:
+                self.quarantine.write(quarantined(readings), batch_id)
+            if self.offsets and counts["n_in"]:
+                self.offsets.append(offset_ranges(readings), batch_id)
+        finally:
+            if again:
+                readings.unpersist()
+        if not counts["n_in"]:
             return
-        written_at = self.clock()
-        readings = parse_readings(batch, self.zone, self.lenient, self.mode)
-        counts = self._write(readings, batch_id, written_at)
-        # A second look at the messages only where there is something to set aside.
-        if self.quarantine and counts["n_bad"]:
-            self.quarantine.write(quarantined(readings), batch_id)
-        if self.offsets:
-            self.offsets.append(offset_ranges(batch), batch_id)
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             self._compact(written_at)
         self.on_report(BatchReport(batch_id=batch_id, written_at=written_at, **counts))
 
-    def _write(self, readings: DataFrame, batch_id: int, written_at: datetime) -> dict[str, int]:
+    def _looks_again(self) -> bool:
+        return bool(self.offsets) or isinstance(self.quarantine, BatchStore)
+
+    def _write(self, readings: DataFrame, batch_id: int) -> tuple[datetime | None, dict[str, int]]:
         raise NotImplementedError
 
     def _compact(self, written_at: datetime) -> None:
-        if self.offsets:
-            self.offsets.compact()
+        """Fold the batches since the last time; a row twice is one row."""
+        for store in (self.quarantine, self.offsets and self.offsets.batches):
+            if isinstance(store, BatchStore):
+                store.fold(lambda rows: rows.distinct())
 
 
 def _observe(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
@@ -125,13 +163,23 @@ def _observe(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), seen
 
 
+def _observe_readings(readings: DataFrame) -> tuple[DataFrame, Observation]:
+    micros = F.max(F.unix_micros(STAMP))
+    return _observe(readings, **reading_counts(), stamp=micros)
+
+
 def _count(seen: Observation) -> dict[str, int]:
-    return {n: int(v or 0) for n, v in seen.get.items()}
+    return {n: int(v or 0) for n, v in seen.get.items() if n.startswith("n_")}
+
+
+def _stamp(seen: Observation) -> datetime | None:
+    micros = seen.get["stamp"]
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
 @dataclass(kw_only=True)
 class CacheJob(_Job):
-    """Messages to cache entries: the last reading per second wins and expires after the TTL."""
+    """Messages to cache entries: the last reading per key wins and expires after the TTL."""
 
     target: CacheTarget
     prefix: str = CACHE_PREFIX
@@ -143,69 +191,93 @@ class CacheJob(_Job):
         if self.ttl_seconds is not None and self.ttl_seconds <= 0:
             raise ValueError("ttl_seconds must be positive, or None to keep entries")
 
-    def _write(self, readings: DataFrame, batch_id: int, written_at: datetime) -> dict[str, int]:
-        readings, seen = _observe(readings, **reading_counts())
+    def _write(self, readings: DataFrame, batch_id: int) -> tuple[datetime | None, dict[str, int]]:
+        readings, seen = _observe_readings(readings)
         entries = latest_entries(
-            usable(readings), written_at, self.ttl_seconds, self.prefix, self.db
+            usable(readings), F.col(STAMP), self.ttl_seconds, self.prefix, self.db, tuple(self.key_columns), STAMP
         )
         entries, kept = _observe(entries, n_keys=F.count(F.lit(1)))
         self.target.write(entries, batch_id)
-        return _count(seen) | _count(kept)
+        return _stamp(seen), _count(seen) | _count(kept)
 
     def _compact(self, written_at: datetime) -> None:
         super()._compact(written_at)
         if isinstance(self.target, CacheStore):
-            self.target.compact(as_of=written_at)
+            # What lives is bounded by the time to live, so that earlier folds can be folded too.
+            self.target.compact(as_of=written_at, full=self.ttl_seconds is not None)
             self.target.purge(as_of=written_at)
 
 
 @dataclass(kw_only=True)
 class TableJob(_Job):
-    """Messages to table rows: the first reading per second wins.
+    """Messages to table rows: the first reading per key wins.
 
     The first batch with a usable reading decides the columns, from its first
-    reading or (``columns="union"``) from all of its readings.
+    reading or (``columns="union"``) from all of its readings. ``rejects`` takes the tags that
+    have no column or no number: a store, or DISCARD, or nothing in FAILFAST mode.
     """
 
     target: ParquetTable | JdbcTable
     columns: str = "first"
-    rejects: BatchStore | None = None
+    rejects: BatchStore | Discard | None = None
 
     def __post_init__(self):
         super().__post_init__()
         if self.columns not in ("first", "union"):
             raise ValueError("columns must be 'first' or 'union'")
+        self._must_have("rejects", self.rejects)
+        if self.target is not None and list(self.key_columns) != list(self.target.key_columns):
+            raise ValueError("the job and its table must have the same key columns")
 
     def _compact(self, written_at: datetime) -> None:
         super()._compact(written_at)
+        if isinstance(self.rejects, BatchStore):
+            self.rejects.fold(lambda rows: rows.distinct())
         if isinstance(self.target, ParquetTable):
             self.target.compact()
 
-    def _write(self, readings: DataFrame, batch_id: int, written_at: datetime) -> dict[str, int]:
+    def _looks_again(self) -> bool:
+        return super()._looks_again() or isinstance(self.rejects, BatchStore) or self.target.schema() is None
+
+    def _table_schema(self, readings: DataFrame) -> T.StructType | None:
         schema = self.target.schema()
         if schema is None:
-            schema = table_schema(infer_table_columns(usable(readings), self.columns))
-            if schema is not None:
-                self.target.create(schema)
-        tags = [f.name for f in schema.fields[1:]] if schema else []
-
-        observed, seen = _observe(readings, **reading_counts())
-        rows = conform(usable(observed), tags, self.mode)
-        rows, refused = _observe(rows, n_rejected=F.sum("_rejected"))
+            learned = table_schema(infer_table_columns(usable(readings), self.columns))
+            if learned is not None:
+                keys = [T.StructField(n, _type_of(t), False) for n, t in self.target.key_columns.items()]
+                tags = [f for f in learned.fields[1:] if f.name not in self.target.key_columns]
+                self.target.create(T.StructType([learned.fields[0], *keys, *tags]))
+                schema = self.target.schema() or learned
+        return schema
+
+    def _write(self, readings: DataFrame, batch_id: int) -> tuple[datetime | None, dict[str, int]]:
+        schema = self._table_schema(readings)
+        tags = tags_of(schema, tuple(self.key_columns)) if schema else []
+        observed, seen = _observe_readings(readings)
+        rows = conform(usable(observed), tags, self.mode, tuple(self.key_columns))
+        rows, refused = _observe(rows, n_rejected=F.sum("n_rejected"))
+        keys = [TIME_FIELD, *self.key_columns]
         firsts, kept = _observe(
-            first_write_wins(rows.drop("_rejected"), ["time"], F.col("_ver")),
-            n_keys=F.count(F.lit(1)),
+            first_write_wins(rows.drop("n_rejected"), keys, F.col("ver")),
+            n_keys=F.count(F.lit(1)), days=F.collect_set(day_of(F.col(TIME_FIELD))),
         )
-        # Read twice (bounds of the batch, then the insert); one row per key.
-        firsts = firsts.persist()
-        try:
-            if schema is None:
-                firsts.count()
-            else:
-                self.target.insert_new(firsts, batch_id)
-        finally:
-            firsts.unpersist()
+        if schema is None:
+            firsts.write.format("noop").mode("overwrite").save()
+        elif not self.target.looks_up:
+            self.target.insert_new(firsts, batch_id)
+        else:
+            # Held while the table's rows of its days are looked up; one row per key.
+            firsts = firsts.persist()
+            try:
+                firsts.write.format("noop").mode("overwrite").save()
+                self.target.insert_new(firsts, batch_id, sorted(kept.get["days"] or []))
+            finally:
+                firsts.unpersist()
         counts = _count(seen) | _count(refused) | _count(kept)
-        if self.rejects and counts["n_rejected"]:
+        if isinstance(self.rejects, BatchStore) and counts["n_rejected"]:
             self.rejects.write(rejected_tags(usable(readings), tags), batch_id)
-        return counts
+        return _stamp(seen), counts
+
+
+def _type_of(name: str) -> T.DataType:
+    return T.StructType.fromDDL(f"x {name}").fields[0].dataType

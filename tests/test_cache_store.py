@@ -49,7 +49,7 @@ def test_compaction_changes_no_view(store):
     put(store, 0, entry(1, "a", 0, 9, 10), entry(1, "b", 0, 1, 600), entry(2, "a", 0, 2, 600))
     put(store, 1, entry(1, "a", 3, 2, 600))
     put(store, 2, entry(1, "b", 6, 5, 600))
-    seconds = (6, 9, 10, 599, 600, 603, 606)
+    seconds = (6, 9, 10, 599, 600, 603, 605)
     before = [values(store, s) for s in seconds]
     assert store.compact(at(6), upto=1) == 0
     assert store.batches.batches(DELTA) == [2] and store.batches.batches(BASE) == [0]
@@ -58,6 +58,7 @@ def test_compaction_changes_no_view(store):
     assert store.batches.batches(DELTA) == [] and store.batches.batches(BASE) == [1]
     assert [values(store, s) for s in seconds] == before
     assert store.compact(at(6), full=True) is None
+    assert values(store, 606) == {}
 
 
 def test_compaction_keeps_writes_of_a_clock_ahead(store):
@@ -91,8 +92,33 @@ def test_purge_drops_expired_directories_only(store):
     assert values(store, 18) == {(1, "c"): "v3"}
 
 
-def test_view_pushes_the_expiry_into_the_scan(store):
+def test_purge_keeps_what_hides_a_living_write(store):
+    put(store, 0, entry(1, "a", 0, 2, 600))
+    put(store, 1, entry(1, "a", 500, 1, 600))
+    assert store.purge(at(650)) == 0 and values(store, 650) == {}
+    assert store.purge(at(1100)) == 2 and values(store, 1100) == {}
+
+
+def test_a_write_during_a_purge_survives(store, monkeypatch):
+    put(store, 0, entry(1, "a", 0, 1, 10))
+    listed = store.batches.stored
+
+    def list_then_write():
+        found = listed()
+        put(store, 1, entry(1, "b", 20, 2, 600))
+        return found
+
+    monkeypatch.setattr(store.batches, "stored", list_then_write)
+    assert store.purge(at(20)) == 1
+    assert values(store, 20) == {(1, "b"): "v2"}
+
+
+def test_view_reads_only_its_namespace(store):
+    put(store, 0, entry(1, "a", 0, 1, 10), entry(2, "a", 0, 2, 10))
+    files = store.view(at(5), db=1).inputFiles()
+    assert files and all("db=1" in f for f in files)
+
+
+def test_a_namespace_without_entries(store):
     put(store, 0, entry(1, "a", 0, 1, 10))
-    plan = store.view(at(5), db=1)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(db" in plan
-    assert "GreaterThan(expires_at" in plan.split("PushedFilters")[1]
+    assert store.view(at(5), db=7).collect() == []

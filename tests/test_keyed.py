@@ -1,19 +1,19 @@
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tagstream.operators.keyed import (
+    current,
     first_write_wins,
     insert_ignore,
     last_write_wins,
-    live,
-    undominated,
+    needed,
+    superseded_dropped,
     version,
     with_expiry,
 )
-from tagstream.sinks.cache_store import current_entries
 from tests.messages import START
 
 FEW = settings(
@@ -72,42 +72,63 @@ def at(seconds):
     return START + timedelta(seconds=seconds)
 
 
+KEY = ["db", "key"]
+
+
 def test_rewrite_arms_the_expiry_again(spark):
     df = spark.createDataFrame([entry(1, "k", 0, 1, 600), entry(1, "k", 500, 2, 600)], ENTRY)
 
     def value(second):
-        row = current_entries(live(df, at(second))).first()
+        row = current(df, KEY, at(second)).first()
         return row and row.value
 
     assert [value(s) for s in (-1, 0, 499, 500, 1099, 1100)] == [None, "v1", "v1", "v2", "v2", None]
 
 
+def test_the_value_never_goes_back(spark):
+    df = spark.createDataFrame([entry(1, "k", 0, 2, 600), entry(1, "k", 500, 1, 600)], ENTRY)
+
+    def seen(second):
+        row = current(df, KEY, at(second)).first()
+        return row and (row.value, row.expires_at.replace(tzinfo=timezone.utc))
+
+    assert [seen(s) for s in (0, 550, 599)] == [("v2", at(600))] * 3
+    assert [seen(s) for s in (600, 650, 1099, 1200)] == [None] * 4
+
+
 def test_no_ttl_never_expires(spark):
-    df = spark.createDataFrame([entry(1, "k", 0, 1, None), entry(1, "k", 0, 2, 5)], ENTRY)
-    row = current_entries(live(df, at(4))).first()
+    df = spark.createDataFrame([entry(1, "k", 0, 1, 5), entry(1, "k", 0, 2, None)], ENTRY)
+    row = current(df, KEY, at(10**8)).first()
     assert (row.value, row.expires_at) == ("v2", None)
-    assert current_entries(live(df, at(10**8))).first().value == "v1"
+
+
+def slow_view(rows, as_of):
+    """Key and value of the highest version made by then, if it lives."""
+    out = {}
+    for ver, (key, written, ttl) in enumerate(rows):
+        if written <= as_of:
+            out[key] = (ver, ttl is None or written + ttl > as_of)
+    return {(f"k{k}", f"v{v}") for k, (v, alive) in out.items() if alive}
 
 
 @FEW
 @given(
     st.lists(st.tuples(st.integers(0, 1), st.integers(0, 30), st.sampled_from([None, 3, 10, 20])), max_size=25),
-    st.integers(31, 60),
+    st.integers(10, 60),
 )
-def test_dropping_dominated_writes_changes_no_later_view(spark, rows, later):
-    data = [entry(1, f"k{k}", w, i, ttl) for i, (k, w, ttl) in enumerate(rows)]
-    df = spark.createDataFrame(data, ENTRY)
-    kept = undominated(df, ["db", "key"])
-    views = [
-        {(r.key, r.value, r.expires_at) for r in current_entries(live(d, at(later))).collect()}
-        for d in (df, kept, kept.unionAll(df))
-    ]
-    assert views[0] == views[1] == views[2]
+def test_what_is_dropped_changes_no_later_view(spark, rows, later):
+    df = spark.createDataFrame([entry(1, f"k{k}", w, i, ttl) for i, (k, w, ttl) in enumerate(rows)], ENTRY)
+    want = slow_view(rows, later)
+    for kept in (df, needed(df, KEY, at(10)), needed(df, KEY, at(10)).unionByName(df)):
+        assert {(r.key, r.value) for r in current(kept, KEY, at(later)).collect()} == want
+    reduced = superseded_dropped(df, KEY, at(31))
+    if later >= 31:
+        assert {(r.key, r.value) for r in current(reduced, KEY, at(later)).collect()} == want
 
 
 def test_in_order_writes_leave_one_row_per_key(spark):
     data = [entry(1, "k", w, w, 600) for w in range(50)]
-    assert undominated(spark.createDataFrame(data, ENTRY), ["db", "key"]).count() == 1
+    assert superseded_dropped(spark.createDataFrame(data, ENTRY), KEY, at(60)).count() == 1
 
 
 def test_with_expiry(spark):

@@ -13,12 +13,12 @@ from tagstream.operators.offsets import (
 )
 from tagstream.sinks.offset_log import OffsetLog, ranges_from_progress
 from tagstream.sinks.producer import producer_records
-from tagstream.sources.kafka import kafka_options
-from tagstream.sources.message_log import read_message_log, stream_message_log
+from tagstream.sources.kafka import kafka_options, start_options
+from tagstream.sources.message_log import stream_message_log
 from tagstream.streaming.report import OffsetListener
 from tests.messages import frame, message
 
-POSITION = "topic string, partition int, next_offset bigint"
+POSITION = "group string, topic string, partition int, next_offset bigint"
 
 
 @pytest.fixture(scope="module")
@@ -32,43 +32,54 @@ def offsets(df):
     return {(r.topic, r.partition, r.offset) for r in df.collect()}
 
 
-KNOWN = [("a", 0, 3), ("a", 1, 10), ("a", 2, 0), ("b", 0, 7), ("c", 0, 1)]
+KNOWN = [("g", "a", 0, 3), ("g", "a", 1, 10), ("g", "a", 2, 0), ("g", "b", 0, 7), ("g", "c", 0, 1)]
+# Another group, and an earlier commit of the same one.
+MORE = [("h", "a", 0, 7), ("h", "a", 3, 9), ("g", "a", 1, 4)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_literal": 0}, {"max_literal": 0, "max_broadcast": 1}])
 @pytest.mark.parametrize("strict", [False, True])
-def test_resume_three_ways(spark, log, limits, strict):
-    positions = spark.createDataFrame(KNOWN, POSITION)
-    known = {(t, p): n for t, p, n in KNOWN}
+@pytest.mark.parametrize("group", ["g", "h"])
+def test_resume(spark, log, group, strict):
+    positions = spark.createDataFrame(KNOWN + MORE, POSITION)
+    known = {(t, p): n for g, t, p, n in MORE + KNOWN if g == group}
     want = {
         (t, p, o) for t, p, o in offsets(log)
         if ((t, p) in known or not strict) and o >= known.get((t, p), 0)
     }
-    rest = resume(log, positions, strict=strict, **limits)
-    assert offsets(rest) == want and rest.columns == log.columns
+    rest = resume(log, positions, group, strict=strict)
+    assert offsets(rest) == want and rest.columns == log.columns and rest.count() == len(want)
 
 
 def test_no_positions(spark, log):
-    none = spark.createDataFrame([], POSITION)
-    assert resume(log, none).count() == log.count()
-    assert resume(log, none, strict=True).count() == 0
+    stored = spark.createDataFrame(KNOWN, POSITION)
+    assert resume(log, stored, "other").count() == log.count()
+    assert resume(log, stored, "other", strict=True).count() == 0
 
 
-def test_positions_reach_the_scan(spark, log, tmp_path):
-    path = str(tmp_path / "log")
-    log.write.parquet(path)
-    rest = resume(read_message_log(spark, path), spark.createDataFrame(KNOWN[:2], POSITION), strict=True)
-    plan = rest._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "GreaterThanOrEqual(offset,3)" in plan
+def test_nothing_runs_while_the_query_is_built(spark, log):
+    failing = spark.createDataFrame(KNOWN, POSITION).filter(F.raise_error(F.lit("ran")).isNull())
+    resume(log, failing, "g")
 
 
 def test_resume_a_stream(spark, log, tmp_path):
     log.write.parquet(str(tmp_path / "log"))
-    rest = resume(stream_message_log(spark, str(tmp_path / "log")), spark.createDataFrame(KNOWN, POSITION))
+    known = spark.createDataFrame(KNOWN + MORE, POSITION)
+    rest = resume(stream_message_log(spark, str(tmp_path / "log")), known, "g")
     got = []
     query = rest.writeStream.foreachBatch(lambda df, _: got.extend(offsets(df)))
     query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
-    assert set(got) == offsets(resume(log, spark.createDataFrame(KNOWN, POSITION)))
+    assert set(got) == offsets(resume(log, known, "g"))
+
+
+def test_start_options_from_stored_positions(spark):
+    stored = spark.createDataFrame(KNOWN + MORE, POSITION)
+    known = start_options(stored, "g", "h:1", "a")
+    assert json.loads(known["assign"]) == {"a": [0, 1, 2]}
+    assert json.loads(known["startingOffsets"]) == {"a": {"0": 3, "1": 10, "2": 0}}
+    every = start_options(stored, "h", "h:1", "a", partitions=range(4), more={"failOnDataLoss": "false"})
+    assert every["subscribe"] == "a" and every["failOnDataLoss"] == "false"
+    assert json.loads(every["startingOffsets"]) == {"a": {"0": 7, "1": -2, "2": -2, "3": 9}}
+    assert start_options(stored, "new", "h:1", "a")["startingOffsets"] == "latest"
 
 
 def test_start_at_latest(log):
@@ -91,7 +102,7 @@ def test_ranges_commit_and_log(spark, log, tmp_path):
     assert {tuple(r) for r in audit.ranges().collect()} == before and audit.positions().count() == 4
     ranges = audit.ranges().filter("batch_id = 1 and partition = 0").first()
     assert (ranges.from_offset, ranges.until_offset, ranges.n) == (4, 9, 5)
-    assert offsets(resume(topic, audit.positions(), strict=True)) == offsets(
+    assert offsets(resume(topic, audit.positions(), "g", strict=True)) == offsets(
         topic.filter("offset >= if(partition < 2, 9, 4)"))
     assert newest_positions(topic).filter("next_offset = 10").count() == 4
     assert commit_offsets(offset_ranges(topic, "key"), "g").count() == 4
@@ -131,5 +142,5 @@ def test_kafka_options():
 
 
 def test_producer_records(spark):
-    records = producer_records(spark.range(2), "t", F.concat(F.lit("sfhd"), F.col("id")))
-    assert [tuple(r) for r in records.collect()] == [(None, "sfhd0", "t"), (None, "sfhd1", "t")]
+    records = producer_records(spark.range(2), "t", F.concat(F.lit("text"), F.col("id")))
+    assert [tuple(r) for r in records.collect()] == [(None, "text0", "t"), (None, "text1", "t")]

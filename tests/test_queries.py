@@ -41,8 +41,9 @@ SHUFFLES = {
     "message_source": 0, "parse_readings": 0, "event_epoch_seconds": 0, "rewrite_time_field": 0,
     "reading_entries": 0, "quarantine_bad_messages": 0, "cache_key_values": 0,
     "conform_to_table_schema": 0, "reject_unknown_tags": 0, "conform_double_10_3": 0,
-    "producer_records": 0, "resume_from_offsets": 0, "resume_from_offsets_strict": 0, "start_latest": 0,
-    "latest_by_key": 1, "latest_by_namespace": 1, "first_by_key": 1, "live_keys_ttl": 1,
+    "producer_records": 0, "event_epoch_seconds_long_fields": 0,
+    "latest_by_key": 1, "latest_by_namespace": 1, "latest_by_extra_key": 1, "first_by_key": 1,
+    "live_keys_ttl": 1, "live_keys_out_of_order": 1, "insert_ignore_existing": 3, "infer_table_columns_first": 0,
     "offset_ranges": 1, "commit_offsets": 2, "batch_report": 1, "infer_table_columns": 2,
 }
 
@@ -57,3 +58,11 @@ def test_plan(spark, name):
     assert parses <= 1 + final_reparse, "a message is parsed more than once"
     if SHUFFLES[name] and name != "infer_table_columns":
         assert "partial_" in text
+
+
+@pytest.mark.parametrize("name", ["resume_from_offsets", "resume_from_offsets_strict", "start_latest"])
+def test_resume_plans(spark, name):
+    """One join, the positions reduced on the map side; the log itself is not collected or crossed."""
+    text = plan(driver.queries()[name](spark, DATA))
+    assert len(re.findall("(?:BroadcastHash|SortMerge)Join", text)) == 1 and "partial_max" in text
+    assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagstream.operators.keyed import first_write_wins
 from tagstream.operators.messages import parse_readings, usable
 from tagstream.operators.tableschema import (
     conform,
@@ -18,11 +19,12 @@ from tagstream.operators.tableschema import (
 )
 from tagstream.sinks.table import (
     JdbcTable,
+    DAY,
     ParquetTable,
-    _covered,
     column_name,
     create_statement,
     tag_name,
+    tags_of,
 )
 from tests.messages import START, bodies
 
@@ -39,23 +41,44 @@ def columns(spark, mode, *values):
 
 
 def test_first_reading_or_union_decides(spark):
-    log = ("sfhd", '{"b.c":1,%s}' % TIME, '{"a":"x","l":[1],%s}' % TIME)
+    log = ("ping", '{"b.c":1,%s}' % TIME, '{"a":"x","l":[1],%s}' % TIME)
     assert columns(spark, "first", *log) == {"time": "bigint", "b.c": "double"}
     assert columns(spark, "union", *log) == {"time": "bigint", "a": "double", "b.c": "double", "l": "double"}
     with pytest.raises(ValueError):
         columns(spark, "last", *log)
 
 
-def test_names_equal_but_for_case_or_reserved(spark):
-    log = ('{"TIME":1,"b":1,"_Ver":1,%s}' % TIME, '{"B":1,"_day":2,%s}' % TIME)
+def test_names_equal_but_for_case(spark):
+    log = ('{"TIME":1,"b":1,%s}' % TIME, '{"B":1,%s}' % TIME)
     assert columns(spark, "union", *log) == {"time": "bigint", "B": "double"}
 
 
+HELPERS = ["_day", "_kind", "_batch_id", "ver", "day", "tags", "n_rejected", "n_tags", "body", "batch_time", "stored", "alive"]
+
+
+def test_tags_called_like_our_own_columns(spark, tmp_path):
+    body = json.dumps({"time": "2017-08-01 10:00:00", **{t: i for i, t in enumerate(HELPERS)}})
+    log = readings(spark, body)
+    schema = table_schema(infer_table_columns(log))
+    assert {f.name for f in schema.fields} == {"time", *HELPERS}
+    table = ParquetTable(spark, str(tmp_path / "t"))
+    table.create(schema)
+    rows = first_write_wins(conform(log, tags_of(schema)).drop("n_rejected"), ["time"], F.col("ver"))
+    table.insert_new(rows, 0, [1501581600 // DAY])
+    row = table.view().first()
+    assert [row[t] for t in HELPERS] == list(range(len(HELPERS)))
+
+
+def test_more_columns_than_ten_thousand(spark):
+    names = spark.range(10_500).select(F.concat(F.lit("t"), F.col("id")).alias("column_name"), F.lit("double").alias("column_type"))
+    assert len(table_schema(names).fields) == 10_501
+
+
 def test_schema_order_and_absence(spark):
     schema = table_schema(infer_table_columns(readings(spark, '{"z":1,"a":1,%s}' % TIME)))
     assert schema.simpleString() == "struct<time:bigint,a:double,z:double>"
     assert not schema["time"].nullable
-    assert table_schema(infer_table_columns(readings(spark, "sfhd"))) is None
+    assert table_schema(infer_table_columns(readings(spark, "ping"))) is None
 
 
 MIXED = '{%s,"a":"12.5","b":"x","c":true,"d":null,"e":[1],"f":12345678.9,"g":"NaN","t.u":1,"B":2}' % TIME
@@ -63,13 +86,13 @@ MIXED = '{%s,"a":"12.5","b":"x","c":true,"d":null,"e":[1],"f":12345678.9,"g":"Na
 
 def test_conform(spark):
     rows = conform(readings(spark, MIXED), ["a", "b", "c", "d", "e", "f", "g", "h"])
-    row = rows.first().asDict()
-    row.pop("_ver")
+    row = rows.first().asDict(recursive=True)
+    row.pop("ver")
     assert row == {
-        "time": 1501581600, "a": 12.5, "b": None, "c": 1.0, "d": None, "e": None, "f": 9999999.999,
-        "g": None, "h": None, "_rejected": 5,
+        "time": 1501581600, "n_rejected": 5, "tags": {
+            "a": 12.5, "b": None, "c": 1.0, "d": None, "e": None, "f": 9999999.999, "g": None, "h": None},
     }
-    assert conform(readings(spark, MIXED), []).first()["_rejected"] == 8
+    assert conform(readings(spark, MIXED), []).first()["n_rejected"] == 8
 
 
 def test_rejected_tags(spark):
@@ -84,7 +107,7 @@ def test_any_tag_as_a_column(spark):
     tags = ["it's", "back\\slash", "tick`s", 'say "hi"', "标签", "a b", "_body2", "offset"]
     body = json.dumps({"time": "2017-08-01 10:00:00", **{t: i for i, t in enumerate(tags)}, "more": 1})
     row = conform(readings(spark, body), tags).first()
-    assert [row[t] for t in tags] == list(range(len(tags))) and row["_rejected"] == 1
+    assert [row["tags"][t] for t in tags] == list(range(len(tags))) and row["n_rejected"] == 1
     assert [r.tag for r in rejected_tags(readings(spark, body), tags).collect()] == ["more"]
 
 
@@ -99,7 +122,7 @@ def test_a_thousand_tags(spark):
     names = [f"T{i}.AV" for i in range(1000)]
     body = "{%s,%s}" % (TIME, ",".join(f'"{n}":{i}' for i, n in enumerate(names)))
     row = conform(readings(spark, body, body), names).first()
-    assert [row[n] for n in names] == [float(i) for i in range(1000)] and row["_rejected"] == 0
+    assert [row["tags"][n] for n in names] == [float(i) for i in range(1000)] and row["n_rejected"] == 0
 
 
 SCHEMA = T.StructType([T.StructField("time", T.LongType(), False), T.StructField("v.a", T.DoubleType())])
@@ -108,11 +131,15 @@ SCHEMA = T.StructType([T.StructField("time", T.LongType(), False), T.StructField
 def rows(spark, *data):
     """(time, value, version)"""
     return spark.createDataFrame(
-        [((START + timedelta(seconds=ver), 0, ver), time, value) for time, value, ver in data],
-        "_ver struct<timestamp: timestamp, partition: int, offset: bigint>, time bigint, `v.a` double",
+        [((START + timedelta(seconds=ver), 0, ver), time, (value,)) for time, value, ver in data],
+        "ver struct<timestamp: timestamp, partition: int, offset: bigint>, time bigint, tags struct<`v.a`: double>",
     )
 
 
+def put(table, batch_id, *data):
+    table.insert_new(rows(table.spark, *data), batch_id, sorted({time // DAY for time, _, _ in data}))
+
+
 @pytest.fixture(params=["event", "arrival"])
 def table(request, spark, tmp_path):
     table = ParquetTable(spark, str(tmp_path / "t"), keep=request.param)
@@ -127,64 +154,92 @@ def content(table):
     return {r["time"]: r["v.a"] for r in table.view().collect()}
 
 
-DAY = 86_400
-
-
 def test_first_write_wins_across_batches_and_days(spark, table):
-    table.insert_new(rows(spark, (1, 1.0, 10), (DAY - 1, 2.0, 11), (-5, 9.0, 12)), 0)
-    table.insert_new(rows(spark, (1, 5.0, 20), (DAY - 1, 6.0, 3), (DAY, 7.0, 22), (9 * DAY, 8.0, 23)), 1)
+    put(table, 0, (1, 1.0, 10), (DAY - 1, 2.0, 11), (-5, 9.0, 12))
+    put(table, 1, (1, 5.0, 20), (DAY - 1, 6.0, 3), (DAY, 7.0, 22), (9 * DAY, 8.0, 23))
     late = 6.0 if table.keep == "event" else 2.0
     want = {-5: 9.0, 1: 1.0, DAY - 1: late, DAY: 7.0, 9 * DAY: 8.0}
     assert content(table) == want
-    table.insert_new(rows(spark, (1, 5.0, 20), (DAY - 1, 6.0, 3), (DAY, 7.0, 22), (9 * DAY, 8.0, 23)), 1)
+    put(table, 1, (1, 5.0, 20), (DAY - 1, 6.0, 3), (DAY, 7.0, 22), (9 * DAY, 8.0, 23))
     assert content(table) == want
     assert table.compact(upto=0) == 0
     assert content(table) == want
-    table.insert_new(rows(spark, (1, 4.0, 99), (2, 3.0, 98)), 2)
+    put(table, 2, (1, 4.0, 99), (2, 3.0, 98))
     want[2] = 3.0
     assert content(table) == want
     table.compact(full=True)
     assert content(table) == want
-    table.insert_new(rows(spark, (1, 5.0, 20), (DAY, 7.0, 22)), 1)
+    put(table, 1, (1, 5.0, 20), (DAY, 7.0, 22))
     assert content(table) == want
 
 
 def test_empty_batch(spark, table):
-    table.insert_new(rows(spark, (1, 1.0, 1)).limit(0), 0)
+    table.insert_new(rows(spark, (1, 1.0, 1)).limit(0), 0, [])
     assert content(table) == {}
 
 
-def test_only_the_days_of_the_batch_are_read(spark, table):
-    table.insert_new(rows(spark, *[(d * DAY, 1.0, d) for d in range(9)]), 0)
-    batch = rows(spark, (3 * DAY, 2.0, 50), (7 * DAY + 5, 2.0, 51)).withColumn("_day", F.expr(f"time div {DAY}"))
-    scan = table._store().read().filter(_covered(batch)).select("time")
-    plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "_day" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
-    assert {r.time for r in scan.collect()} == {3 * DAY, 7 * DAY}
-    assert _covered(batch.limit(0)) is None
+def test_a_table_that_does_not_exist_yet(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "none"))
+    assert table.compact() is None
+    with pytest.raises(LookupError):
+        table.view()
+
+
+def test_only_the_days_of_the_batch_are_listed(spark, table):
+    put(table, 0, *[(d * DAY, 1.0, d) for d in range(9)])
+    files = table._store().read([3, 7, 50]).inputFiles()
+    assert files and all("day=3/" in f or "day=7/" in f for f in files)
+    assert table._store().read([50]).count() == 0
+    assert table._store().read().count() == 9
+
 
+def test_a_batch_over_1500_days(spark, table):
+    put(table, 0, *[(d * DAY, 1.0, d) for d in range(0, 1800, 300)])
+    data = [(d * DAY + s, 2.0, 5000 + d) for d in range(1500) for s in (0, 1)]
+    put(table, 1, *data)
+    got = content(table)
+    assert len(got) == 3001
+    assert all(got[d * DAY] == (1.0 if d % 300 == 0 else 2.0) for d in range(1500))
 
-def test_a_batch_over_very_many_days(spark, table, monkeypatch):
-    monkeypatch.setattr("tagstream.sinks.table.MAX_DAYS", 2)
-    table.insert_new(rows(spark, *[(d * DAY, 1.0, d) for d in range(5)]), 0)
-    table.insert_new(rows(spark, *[(d * DAY, 2.0, 10 + d) for d in range(7)]), 1)
-    assert content(table) == {d * DAY: 1.0 if d < 5 else 2.0 for d in range(7)}
+
+def test_further_keys(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"), key_columns={"device": "string"})
+    table.create(T.StructType([*SCHEMA.fields, T.StructField("device", T.StringType())]))
+    two = rows(spark, (1, 1.0, 1), (1, 2.0, 2)).withColumn("device", F.concat(F.lit("d"), F.col("ver.offset")))
+    table.insert_new(two, 0, [0])
+    table.insert_new(two.withColumn("ver", F.col("ver").withField("offset", F.lit(9))), 1, [0])
+    assert table.view().columns == ["time", "v.a", "device"]
+    assert sorted(map(tuple, table.view().collect())) == [(1, 1.0, "d1"), (1, 2.0, "d2")]
 
 
 @given(st.text(max_size=20))
 def test_column_names_are_plain_and_reversible(tag):
-    assert re.fullmatch(r"[A-Za-z0-9_]*", column_name(tag))
+    assert re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", column_name(tag))
     assert tag_name(column_name(tag)) == tag
 
 
 def test_create_statement():
     assert create_statement("test_4cols", SCHEMA) == (
-        "CREATE TABLE IF NOT EXISTS test_4cols (time BIGINT NOT NULL PRIMARY KEY, v_x2E_a DOUBLE(10,3))"
+        "CREATE TABLE IF NOT EXISTS test_4cols "
+        "(`time` BIGINT NOT NULL, `v_x2E_a` DOUBLE(10,3), PRIMARY KEY (`time`))"
+    )
+    odd = T.StructType([T.StructField(n, T.DoubleType()) for n in ("order", "1", "")] + [SCHEMA.fields[0]])
+    assert create_statement("t", odd, quote='"') == (
+        'CREATE TABLE IF NOT EXISTS t ("order" DOUBLE(10,3), "_x_1" DOUBLE(10,3), "_x_" DOUBLE(10,3), '
+        '"time" BIGINT NOT NULL, PRIMARY KEY ("time"))'
     )
+    keyed = T.StructType([SCHEMA.fields[0], T.StructField("device", T.StringType())])
+    assert create_statement("t", keyed, ["time", "device"]).endswith("PRIMARY KEY (`time`, `device`))")
     with pytest.raises(ValueError):
         create_statement("t; drop table x", SCHEMA)
 
 
+def test_jdbc_reads_the_days_of_the_batch_only(spark):
+    table = JdbcTable(spark, "t", {"url": "jdbc:x"})
+    assert table.day_predicates([9, 0]) == [
+        "`time` >= 0 AND `time` < 86400", "`time` >= 777600 AND `time` < 864000"]
+
+
 def test_jdbc_options_hide_the_password(spark):
     table = JdbcTable(spark, "t", {"url": "jdbc:x", "password": "secret"})
     assert "secret" not in repr(table)

@@ -37,7 +37,7 @@ def test_zone_is_the_operators_not_the_sessions(spark, session_zone):
 
 STRICTLY_BAD = [
     "2017-13-01 10:00:00", "2017-8-1 1:2:3", "2017-08-01 10:00:00.5", "2017-02-30 00:00:00",
-    " 2017-08-01 10:00:00", "2017-08-01", "sfhd", "", None,
+    " 2017-08-01 10:00:00", "2017-08-01", "ping", "", None,
 ]
 
 
@@ -55,6 +55,21 @@ def test_lenient_rolls_over(spark):
     assert epochs(spark, odd, lenient=True) == [utc(2017, 8, 2, 2, 2, 1), utc(2016, 11, 30), None]
 
 
+def test_lenient_takes_fields_of_any_length(spark):
+    texts = [
+        "2017-08-01 10:00:12345", "2017-00008-01 10:00:00", "2017-08-01 10:12345:00", "2017-08-100000 00:00:00",
+        "02017-08-01 10:00:00", "2017-08-01 10:00:3000000000", "2017-08-01 10:00:" + "9" * 30, "99999-01-01 00:00:00",
+        "0-0-1 00:00:00", "2017-999999999999-01 00:00:00",
+    ]
+    start = utc(2017, 8, 1, 10)
+    assert epochs(spark, texts, lenient=True) == [
+        start + 12345, start, start + 12345 * 60, utc(2017, 8, 1) + 99_999 * 86_400, start, start + 3_000_000_000,
+        None, None, None, None,
+    ]
+    shanghai = epochs(spark, texts[:2], lenient=True, zone="Asia/Shanghai")
+    assert shanghai == [start + 12345 - 8 * 3600, start - 8 * 3600]
+
+
 @FEW
 @given(st.lists(st.datetimes(datetime(1970, 1, 2), datetime(2100, 1, 1)), min_size=1, max_size=30))
 def test_strict_agrees_with_python(spark, moments):
