@@ -87,10 +87,12 @@ def best_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def _sample(learnable: DataFrame, max_rows: int) -> DataFrame:
     """At most about ``max_rows`` rows, equally many per language where there are so many; always the same."""
-    counts = learnable.groupBy("lang").count()
-    share = F.lit(float(max_rows)) / F.lit(max(1, counts.count())) / F.col("count")
+    # As many rows as the model will have languages, which the driver holds anyway.
+    counts = learnable.groupBy("lang").count().collect()
+    shares = [(lang, max_rows / len(counts) / n) for lang, n in counts]
+    known = learnable.sparkSession.createDataFrame(shares, "lang string, share double")
     place = (F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))).alias("place")
-    chosen = learnable.join(counts.select("lang", share.alias("share")), "lang")
+    chosen = learnable.join(F.broadcast(known), "lang")
     return chosen.withColumn("place", place).filter("place < share").drop("share").limit(2 * max_rows)
 
 
