@@ -377,6 +377,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "commit_offsets": committed_offsets,
     "resume_from_offsets": resume_from_offsets,
     "resume_from_offsets_strict": resume_from_offsets_strict,
+    # The name of a former variant; resuming is always a join now.
+    "resume_by_join": resume_from_offsets,
     "resume_from_offsets_two_groups": resume_from_offsets_two_groups,
     "start_latest": start_at_latest,
     "stream_latest_store": stream_latest_store,
