@@ -130,7 +130,7 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("shape", ["path", "star", "ring", "mixed"])
 def test_components(spark, shape):
     rng = random.Random(shape)
-    n = 200
+    n = 70
     edges = {
         "path": [(i, i + 1) for i in range(n)],
         "star": [(n, i) for i in range(n)],
