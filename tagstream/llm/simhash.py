@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from tagstream.functions.plan import quoted
 from tagstream.llm.components import components
-from tagstream.llm.runtime import checkpointed, documents, unused_name
+from tagstream.llm.runtime import checkpointed, documents, shuffle_partitions, unused_name
 
 SHINGLE = 3
 MAX_DISTANCE = 2
 SEED = 42
 BITS = 64
-# Shingles whose bits are unpacked at a time.
+# Shingles hashed at a time, so that a very long text needs little more than itself.
 _BLOCK = 1 << 15
 
 
@@ -42,18 +42,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        hashes = np.array([digest(joined, SEED)], np.uint64)
+        starts, ends = np.array([0]), np.array([len(joined)])
     else:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths + 1) - 1
-        starts = ends - lengths
-        spans = zip(starts.tolist(), ends[shingle - 1 :].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+        starts, ends = (ends - lengths)[: len(words) - shingle + 1], ends[shingle - 1 :]
     votes = np.zeros(BITS, np.int64)
-    for i in range(0, len(hashes), _BLOCK):
-        block = hashes[i : i + _BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
+    for i in range(0, len(ends), _BLOCK):
+        spans = zip(starts[i : i + _BLOCK].tolist(), ends[i : i + _BLOCK].tolist())
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
+        block = hashes.view(np.uint8).reshape(-1, 8)
         votes += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * votes > len(ends), bitorder="little").view("<i8")[0])
 
 
 def fingerprints(
@@ -103,6 +103,8 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """
     if max_distance not in (1, 2):
         raise ValueError("the distance must be 1 or 2")
+    # Few bytes before, 64 times as many rows after: the adaptive plan would leave it to a few tasks.
+    distinct = distinct.repartition(shuffle_partitions(distinct.sparkSession), "h")
     keys = wildcard_keys(distinct, max_distance // 2 + 1)
     shared = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b")
