@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -66,26 +67,42 @@ class Words:
         self.starts = np.flatnonzero(inside & (before | edge[:-1]))
         self.ends = np.flatnonzero(inside & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, self.offsets)
+        self.cut = np.zeros(0, np.int64)
         self.inside = inside
 
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
+    @cached_property
+    def _letters(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words' bytes (plus one), and each one's place in its word."""
+        lengths = self.ends - self.starts
+        at = np.cumsum(lengths) - lengths
+        place = np.arange(lengths.sum(), dtype=np.int32) - np.repeat(at.astype(np.int32), lengths)
+        place &= LONG_WORD - 1
+        if len(self.cut):
+            # Words that were shortened after the blanks were found.
+            keep = self.inside.copy()
+            keep[self.cut] = False
+            return self.data[keep].astype(U64) + U64(1), place
+        return self.data[self.inside].astype(U64) + U64(1), place
+
+    def shorten(self, which: np.ndarray) -> None:
+        """Take the last byte off some words (of two bytes or more), before they are hashed."""
+        self.ends = self.ends.copy()
+        self.ends[which] -= 1
+        self.cut = self.ends[which]
+
     def hashes(self, base: int = BASES[0]) -> np.ndarray:
         """A 64-bit hash per word, equal for equal words of any document."""
         lengths = self.ends - self.starts
         if not len(lengths):
             return np.zeros(0, U64)
         at = np.cumsum(lengths) - lengths
-        place = np.arange(lengths.sum(), dtype=np.int64)
-        place -= np.repeat(at, lengths)
-        place &= LONG_WORD - 1
+        letters, place = self._letters
         table = powers(base, min(int(lengths.max()), LONG_WORD))
-        letters = self.data[self.inside].astype(U64)
-        letters += U64(1)
-        letters *= table[place]
-        out = np.add.reduceat(letters, at)
+        out = np.add.reduceat(letters * table[place], at)
         for i in np.flatnonzero(lengths > LONG_WORD):
             word = self.data[self.starts[i] : self.ends[i]].tobytes()
             digest = hashlib.blake2b(word, digest_size=8, key=base.to_bytes(8, "little")).digest()
@@ -114,7 +131,7 @@ def window_starts(first: np.ndarray, width: int, least: int = 0) -> np.ndarray:
     return np.arange(n) < end[:n]
 
 
-def pieces(batch: pa.RecordBatch, text: str, max_bytes: int = 1 << 20, max_rows: int = 256):
+def pieces(batch: pa.RecordBatch, text: str, max_bytes: int = 1 << 18, max_rows: int = 128):
     """The batch in slices of bounded text, one longer text alone; arrays of numbers are far larger."""
     column = batch.column(text)
     _, offsets = text_buffer(column)

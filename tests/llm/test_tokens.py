@@ -50,13 +50,20 @@ def test_counts_as_the_library(word, text):
 @settings(max_examples=400, deadline=None)
 @given(text=RANDOM)
 def test_ids_as_the_library(byte, text):
-    assert np.frombuffer(byte[1].of_text(text), "<u4").tolist() == ids(byte[0], text)
+    assert byte[1].of_texts([text])[0].tolist() == ids(byte[0], text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(RANDOM, max_size=8))
+def test_ids_of_a_batch(byte, texts):
+    assert [x.tolist() for x in byte[1].of_texts(texts)] == [ids(byte[0], t) for t in texts]
 
 
 def test_fixed_texts(word, byte):
     for t in TEXTS:
         assert word[1].count(t or "") == len(ids(word[0], t))
-        assert np.frombuffer(byte[1].of_text(t or ""), "<u4").tolist() == ids(byte[0], t)
+        assert byte[1].of_texts([t or ""])[0].tolist() == ids(byte[0], t)
+    assert [x.tolist() for x in byte[1].of_texts([t or "" for t in TEXTS])] == [ids(byte[0], t) for t in TEXTS]
 
 
 def test_whole_tokens_are_proved(word):
@@ -72,7 +79,22 @@ def test_what_is_not_remembered_counts_the_same(monkeypatch):
     monkeypatch.setattr(token_counts, "REMEMBERED", 0)
     monkeypatch.setattr(token_output, "REMEMBERED", 0)
     assert PieceCounts(WORD, {}).count("The cat, THE") == 4
-    assert len(ByteLevelIds(BYTE).of_text("The cat\nsat")) == 4 * 5 - 4
+    encoder = ByteLevelIds(BYTE)
+    for _ in range(2):
+        assert encoder.of_texts(["The cat\nsat"])[0].tolist() == ids(Tokenizer.from_file(BYTE), "The cat\nsat")
+    assert len(encoder.known.pool) == 0
+
+
+def test_a_growing_table(byte):
+    rng, encoder = random.Random(8), ByteLevelIds(BYTE)
+    for _ in range(12):
+        words = ["".join(rng.choices("abcdefghijé", k=rng.randint(1, 8))) for _ in range(9000)]
+        texts = [" ".join(words[i:i + 90]) + "\n" + words[i] + "." for i in range(0, 9000, 90)]
+        got = encoder.of_texts(texts)
+        i = rng.randrange(len(texts))
+        assert got[i].tolist() == ids(byte[0], texts[i])
+        assert sum(map(len, got)) == sum(len(ids(byte[0], t)) for t in texts)
+    assert len(encoder.known.levels[0][0]) > 1 << 15
 
 
 def test_count_query(spark):
