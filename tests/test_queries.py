@@ -54,8 +54,9 @@ def test_plan(spark, name):
     assert text.count("Exchange ") == SHUFFLES[name]
     assert "Python" not in text and "Arrow" not in text and "CartesianProduct" not in text
     parses = len(re.findall(r"parseJson", text))
-    final_reparse = name in ("rewrite_time_field", "latest_by_key", "latest_by_namespace")
-    assert parses <= 1 + final_reparse, "a message is parsed more than once"
+    # The result's own text is read again, or there are two logs.
+    twice = ("rewrite_time_field", "latest_by_key", "latest_by_namespace", "latest_by_extra_key", "insert_ignore_existing")
+    assert parses <= 1 + (name in twice), "a message is parsed more than once"
     if SHUFFLES[name] and name != "infer_table_columns":
         assert "partial_" in text
 
