@@ -1,15 +1,16 @@
-"""License notices by a positional index of rare words.
-
-Templates are short notices. Each word's postings say at which places of which notices it
-stands. A file's licence words are ranked by their rarity over the whole corpus; the rarest
-are looked up, and places whose difference to a posting agrees (give or take a few words) vote
-for that notice at that place. What enough of a notice's weight stands at, and holds its
-mandatory key phrases, is a find.
+"""License notices by the places of their words, weighted by rarity.
+
+Templates are short notices. A word weighs by its rarity over the whole corpus. For each notice
+the words that a file holds least often are looked up, as many as cannot all be missing from a
+find; where they stand (give or take a few words) the notice may start. At each such start all
+words of the notice are looked up. What enough of its weight stands at, and holds its mandatory
+key phrases, is a find. This leaves out no start that would pass, however long the file is and
+whatever else it holds.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -73,12 +74,13 @@ TEMPLATES: dict[str, tuple[list[str], list[str]]] = {
     ),
 }
 
-# Rarest licence words of a file that are looked up; shares of a notice's weight that must agree on a
-# place, and that must stand there in the end; words a place may differ by.
-RAREST = 12
+# Shares of a notice's weight that stand exactly at a start for it to be a find beside a better one within
+# SLACK words, and that must stand there at all; words a place may differ by.
 VOTE_SHARE = 0.2
 LEAST_SHARE = 0.7
 SLACK = 3
+# Sums of weights in another order may differ by this share; what passes with it is verified.
+ROUNDING = 1e-9
 # The score of a file in which a phrase stands but no notice.
 PHRASE_SCORE = 0.5
 
@@ -119,7 +121,7 @@ def phrase_places(words: list[bytes], phrases: Mapping[str, str]) -> list[tuple[
 
 
 class Index:
-    """Postings of the notices' words, weighted by how rare each word is in the corpus."""
+    """The notices and their words, weighted by how rare each word is in the corpus."""
 
     def __init__(self, templates: Mapping[str, tuple[list[str], list[str]]]):
         self.notices = [
@@ -127,11 +129,7 @@ class Index:
             for label, (keys, texts) in templates.items()
             for text in texts
         ]
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for n, (_, words, _) in enumerate(self.notices):
-            for place, word in enumerate(words):
-                self.postings[word].append((n, place))
-        self.vocabulary = frozenset(self.postings)
+        self.vocabulary = frozenset(w for _, words, _ in self.notices for w in words)
         self.weigh(Counter(), 0)
 
     def weigh(self, frequencies: Mapping[bytes, int], n: int) -> None:
@@ -143,24 +141,59 @@ class Index:
         own = self.vocabulary.intersection(words)
         # A notice is out of reach if all its words that the file has weigh too little.
         reach = [sum(self.idf[w] for w in template if w in own) for _, template, _ in self.notices]
-        if all(r < LEAST_SHARE * t for r, t in zip(reach, self.totals)):
+        near = [n for n, (r, t) in enumerate(zip(reach, self.totals)) if 0 < LEAST_SHARE * t <= r + ROUNDING * t]
+        if not near:
             return []
-        rarest = set(sorted(own, key=lambda w: (-self.idf[w], w))[:RAREST])
-        votes: dict[tuple[int, int], float] = defaultdict(float)
+        sought = {w for n in near for w in self.notices[n][1]}
+        places: dict[bytes, list[int]] = {w: [] for w in sought}
         for place, word in enumerate(words):
-            if word in rarest:
-                for notice, at in self.postings[word]:
-                    votes[notice, place - at] += self.idf[word]
+            if word in sought:
+                places[word].append(place)
+        arrays = {w: np.array(p, np.int64) for w, p in places.items()}
         found = []
-        for (notice, start), vote in votes.items():
-            # Only looked-up words vote, and inserted words part them; the whole is verified next.
-            if vote >= VOTE_SHARE * self.totals[notice]:
-                found += self._verified(words, notice, start)
+        for notice in near:
+            found += self._found(words, notice, arrays)
         best: dict[tuple[str, int, int], float] = {}
         for label, begin, end, score in found:
             best[label, begin, end] = max(score, best.get((label, begin, end), 0.0))
         return sorted((label, begin, end, score) for (label, begin, end), score in best.items())
 
+    def _found(self, words: list[bytes], notice: int, places: Mapping[bytes, np.ndarray]):
+        """Finds of one notice. Of starts within SLACK words of each other the one with most weight exactly
+        there is taken, and those with VOTE_SHARE of it; every start that passes is one of these or near one."""
+        starts, exact, held = self._starts(notice, places)
+        enough, kept, found = VOTE_SHARE * self.totals[notice], set(), []
+        for i in np.lexsort((starts, -held, -exact)):
+            start = int(starts[i])
+            beside = any(start + d in kept for d in range(-SLACK, SLACK + 1))
+            if exact[i] >= enough or not beside:
+                finds = self._verified(words, notice, start)
+                found += finds
+                if finds:
+                    kept.add(start)
+        return found
+
+    def _starts(self, notice: int, places: Mapping[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where enough of the notice's weight stands: start, weight exactly there, weight within SLACK words."""
+        template, total = self.notices[notice][1], self.totals[notice]
+        # What is missing from a find weighs 1 - LEAST_SHARE at most, so of words that weigh more one is there.
+        weight, starts = 0.0, []
+        for at in sorted(range(len(template)), key=lambda at: len(places[template[at]])):
+            if weight > (1 - LEAST_SHARE + ROUNDING) * total:
+                break
+            weight += self.idf[template[at]]
+            starts.append((places[template[at]] - at)[:, None] + np.arange(-SLACK, SLACK + 1))
+        starts = np.unique(np.concatenate(starts))
+        exact, held = np.zeros(len(starts)), np.zeros(len(starts))
+        for at, word in enumerate(template):
+            own = places[word]
+            if len(own):
+                low = np.searchsorted(own, starts + at - SLACK)
+                held += self.idf[word] * (np.searchsorted(own, starts + at + SLACK, side="right") > low)
+                exact += self.idf[word] * (own[np.minimum(np.searchsorted(own, starts + at), len(own) - 1)] == starts + at)
+        passing = held >= (LEAST_SHARE - ROUNDING) * total
+        return starts[passing], exact[passing], held[passing]
+
     def _verified(self, words: list[bytes], notice: int, start: int) -> list[tuple[str, int, int, float]]:
         label, template, keys = self.notices[notice]
         begin, end = max(0, start - SLACK), start + len(template) + SLACK

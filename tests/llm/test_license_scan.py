@@ -88,3 +88,59 @@ def test_index_weights(n):
     index = Index(TEMPLATES)
     index.weigh({b"the": n}, n)
     assert index.idf[b"apache"] >= index.idf[b"the"] > 0
+
+
+def weighed():
+    """An index with the weights of a corpus in which common words are common."""
+    index = Index(TEMPLATES)
+    common = [b"the", b"of", b"and", b"in", b"is", b"work", b"under", b"this", b"may", b"for", b"not", b"you"]
+    index.weigh({w: 900 for w in common}, 1000)
+    return index
+
+
+def labels(index, text):
+    return {label for label, *_ in index.find(words_of(text.encode()))}
+
+
+def test_all_notices_in_one_file():
+    rng, index = random.Random(4), weighed()
+    for pick in (0, -1):
+        for gap in (0, 40):
+            text = "".join(f"{notices[pick]}. {filler(rng, gap)}\n" for _, notices in TEMPLATES.values())
+            assert labels(index, text) == set(TEMPLATES)
+
+
+def test_long_file_with_much_licence_vocabulary():
+    rng, index = random.Random(5), weighed()
+    vocabulary = sorted(w.decode() for w in index.vocabulary)
+    for label, (_, notices) in TEMPLATES.items():
+        for notice in notices:
+            around = [" ".join(rng.choices(vocabulary, k=3000)) for _ in range(2)]
+            text = f"{around[0]} {filler(rng, 9)} {notice} {filler(rng, 9)} {around[1]}"
+            start = len(words_of(text[: text.index(notice)].encode())) if text.count(notice) == 1 else None
+            at = [(a, s) for a, s, _, score in index.find(words_of(text.encode())) if score > 0.99]
+            assert (label, start) in at if start is not None else label in {a for a, _ in at}
+
+
+def test_words_between_part_the_votes():
+    index = Index(TEMPLATES)
+    assert labels(index, "Released a under b CC0 c 1 d 0 e Universal") == {"cc0-1.0"}
+
+
+def test_every_start_that_passes_is_found():
+    rng, index = random.Random(6), weighed()
+    vocabulary = sorted(w.decode() for w in index.vocabulary)
+    texts = [n for _, notices in TEMPLATES.values() for n in notices]
+    for _ in range(15):
+        words = []
+        for _ in range(6):
+            piece = rng.choice(texts).split()
+            for _ in range(rng.randrange(4)):
+                piece.insert(rng.randrange(len(piece)), rng.choice(vocabulary + ["x"] * 30))
+            words += piece + rng.choices(vocabulary, k=rng.randrange(8))
+        own = words_of(" ".join(words).encode())
+        want = set()
+        for n in range(len(index.notices)):
+            for s in range(-40, len(own)):
+                want |= {a for a, *_ in index._verified(own, n, s)}
+        assert {a for a, *_ in index.find(own)} == want
