@@ -7,6 +7,10 @@ and ordered along a Hilbert curve. Each ordering is range-partitioned into segme
 is sent to the segments around its own place and scored there against every vector. The best
 of all windows are merged, and reranked with the original vectors in double precision.
 
+Windows score in single precision and hand over bounds of the true score. A window, and all
+windows of a query together, keep every vector whose upper bound reaches the lower bound of the
+last one asked for: rounding loses none, however close the scores are, and k has no limit.
+
 A window takes a fixed share of the ordering, not a fixed number of vectors: with vectors that
 point in all directions, neighbours are hardly closer than others, and a window of fixed size
 loses them as the table grows. Segments too large for one task are split by a hash.
@@ -23,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.functions.plan import quoted
-from tagstream.llm.runtime import checkpointed, ship_package
+from tagstream.llm.runtime import checkpointed, ship_package, shuffle_partitions
 
 CURVES = 24
 COORDINATES = 8
@@ -34,9 +38,11 @@ LEAST_SEGMENT = 256
 # Vectors that one task scores at a time, and that the quantiles are taken from.
 TASK_VECTORS = 4096
 SAMPLE = 8192
-# Candidates kept of each window, and of all windows of a query.
-KEPT = 32
-MERGED = 64
+# Queries and windows merged by one task at a time.
+TASK_MERGED = 1000
+# Unit roundoff of single precision, with room for products of roundings; the least normal number.
+ROUNDOFF = 1.01 * 2.0**-24
+LEAST_NORMAL = 2.0**-126
 
 _RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 _DATA, _QUERY = 0, 1
@@ -169,7 +175,8 @@ def _in_segments(curves: list[Curve], scale: float, n_segments: int, salts: int)
                 if not len(queries):
                     continue
                 middle = curve.segments(queries)
-                asked = [p for p, a in zip(packed, asks) if a]
+                # Of length one, so that all scores of a query have errors in proportion to the vectors.
+                asked = [r.tobytes() for r in queries[:, :-1].astype(np.float32)]
                 for step in (-1, 0, 1):
                     at = middle + step
                     inside = np.flatnonzero((at >= 0) & (at < n_segments))
@@ -198,26 +205,59 @@ def _rows(curve: int, segment, salt, role: int, g, packed) -> pa.RecordBatch:
 
 
 def _score_window(kept: int):
+    """Of a window's queries the vectors that may be among the ``kept`` best, with bounds of their scores."""
+
     def run(table: pa.Table) -> pa.Table:
         role = table["role"].to_numpy()
         ids = table["g"].to_numpy()
         vectors = np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in table["v"]])
-        order = np.argsort(ids[role == _DATA])
-        data, own = vectors[role == _DATA][order], ids[role == _DATA][order]
+        data, own = vectors[role == _DATA], ids[role == _DATA]
         queries, asking = vectors[role == _QUERY], ids[role == _QUERY]
         if not len(data):
             queries, asking = queries[:0], asking[:0]
-        near, scores = [], []
+        # Rounding of both vectors and of the sum, and what is lost below the least normal number.
+        size = data.shape[1]
+        error = ROUNDOFF * (size + 4) * np.linalg.norm(data.astype(np.float64), axis=1) + 2 * size * LEAST_NORMAL
+        counts, near, low, high = [], [], [], []
         for i in range(0, len(queries), 256):
-            block = queries[i : i + 256] @ data.T
-            best = np.argsort(-block, axis=1, kind="stable")[:, :kept]
-            near.extend(own[best])
-            scores.extend(np.take_along_axis(block, best, 1))
-        found = [
-            [{"score": -float(s), "g": int(g)} for s, g in zip(ss, gs)] for ss, gs in zip(scores, near)
+            block = (queries[i : i + 256] @ data.T).astype(np.float64)
+            least = block - error
+            last = max(0, len(data) - kept)
+            reached = block + error >= np.partition(least, last, axis=1)[:, last, None]
+            counts.extend(reached.sum(axis=1))
+            near.append(own[np.nonzero(reached)[1]])
+            low.append(least[reached])
+            high.append((block + error)[reached])
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        none = [np.zeros(0)]
+        lists = [
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x + none), kind))
+            for x, kind in ((low, pa.float64()), (high, pa.float64()))
         ]
-        kind = pa.list_(pa.struct([("score", pa.float32()), ("g", pa.int64())]))
-        return pa.table([pa.array(asking, pa.int64()), pa.array(found, kind)], names=["q", "found"])
+        found = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(near + [own[:0]]), pa.int64()))
+        return pa.table([pa.array(asking, pa.int64()), found, *lists], names=["q", "g", "low", "high"])
+
+    return run
+
+
+def _merge_windows(kept: int):
+    """Of the queries' windows the vectors that may be among the ``kept`` best of all, each once."""
+
+    def run(table: pa.Table) -> pa.Table:
+        column = {c: table[c].combine_chunks() for c in ("g", "low", "high")}
+        q = np.repeat(table["q"].to_numpy(), column["g"].value_lengths().to_numpy())
+        g, low, high = (column[c].flatten().to_numpy() for c in ("g", "low", "high"))
+        order = np.lexsort((g, q))
+        q, g = q[order], g[order]
+        first = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (g[1:] != g[:-1])])[: len(q)])
+        # Each window's bounds hold, so the closest of them do.
+        low, high = np.maximum.reduceat(low[order], first), np.minimum.reduceat(high[order], first)
+        q, g = q[first], g[first]
+        begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+        sizes = np.diff(np.append(begin, len(q)))
+        falling = low[np.lexsort((-low, q))]
+        reached = high >= np.repeat(falling[begin + np.minimum(sizes, kept) - 1], sizes)
+        return pa.table([pa.array(q[reached], pa.int64()), pa.array(g[reached], pa.int64())], names=["q", "g"])
 
     return run
 
@@ -238,7 +278,8 @@ def search(
     ``is_query`` is a condition on ``vec_id``. Nearest is the largest inner product; ties go to
     the smaller identifier; a query is no candidate of its own. Equal vectors are indexed once,
     so copies of one vector, however many, cost nothing and hide nothing. An empty table gives
-    an empty result, fewer candidates than k give them all.
+    an empty result, fewer candidates than k in a query's windows give them all; no other limit
+    holds for k.
     """
     ship_package(df.sparkSession)
     rows = checkpointed(usable_vectors(df, vec_id, vector))
@@ -266,12 +307,12 @@ def search(
         "curve int, segment int, salt int, role int, g bigint, v binary",
     )
     windows = placed.groupBy("curve", "segment", "salt").applyInArrow(
-        _score_window(KEPT), "q bigint, found array<struct<score: float, g: bigint>>"
-    )
-    merged = windows.groupBy("q").agg(
-        F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("found")))), 1, MERGED).alias("found")
+        _score_window(k + 1), "q bigint, g array<bigint>, low array<double>, high array<double>"
     )
-    pairs = merged.select("q", F.explode("found.g").alias("g"))
+    buckets = max(shuffle_partitions(df.sparkSession), n * salts // TASK_MERGED)
+    bucket = F.pmod(F.xxhash64("q"), F.lit(buckets)).cast("int")
+    merged = windows.withColumn("bucket", bucket).groupBy("bucket")
+    pairs = merged.applyInArrow(_merge_windows(k + 1), "q bigint, g bigint")
     pairs = pairs.join(distinct, "g").select("q", "v", "ids")
     pairs = pairs.join(distinct.select(F.col("g").alias("q"), F.col("v").alias("w")), "q")
     product = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)

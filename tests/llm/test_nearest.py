@@ -90,3 +90,37 @@ def test_salted_segments_agree(spark, monkeypatch):
     whole = found(search(rows, IS_QUERY, 20))
     monkeypatch.setattr(nearest, "TASK_VECTORS", 50)
     assert found(search(rows, IS_QUERY, 20)) == whole
+
+
+def test_many_neighbours(spark):
+    rng = np.random.default_rng(5)
+    rows = {i: rng.normal(size=6).astype(np.float32).tolist() for i in range(200)}
+    same(found(search(frame(spark, [(i, v, 0) for i, v in rows.items()]), IS_QUERY, 120)), brute(rows, 120))
+
+
+def test_more_neighbours_than_a_window_by_far(spark):
+    rng = np.random.default_rng(6)
+    rows = {i: v.tolist() for i, v in enumerate((rng.normal(size=(1200, 4)) + 3).astype(np.float32))}
+    got = found(search(frame(spark, [(i, v, 0) for i, v in rows.items()]), IS_QUERY, 700))
+    want = brute(rows, 700)
+    assert all(len(got[q]) == 700 for q in want)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want]) / 700 >= 0.9
+
+
+def test_scores_that_differ_beyond_single_precision(spark):
+    place = np.random.default_rng(7).permutation(300)
+    rows = [(i, [1 + int(p) * 1e-10, 0.5, 0.25]) for i, p in enumerate(place)]
+    rows += [(1000 + i, [0.01 * i, 0.1, 0.0]) for i in range(5)]
+    got = found(search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), IS_QUERY, 20))
+    best = [int(i) for i in np.argsort(-place)]
+    for q in got:
+        if q < 300:
+            assert [i for i, _ in got[q]] == [i for i in best if i != q][:20]
+    assert len(got) == 16
+
+
+def test_lengths_of_all_sizes(spark):
+    rng = np.random.default_rng(8)
+    rows = {i: (rng.normal(size=5) * 10.0 ** rng.integers(-12, 12)).astype(np.float32).tolist() for i in range(200)}
+    got, want = found(search(frame(spark, [(i, v, 0) for i, v in rows.items()]), IS_QUERY, 20)), brute(rows, 20)
+    assert {q: [i for i, _ in n] for q, n in got.items()} == {q: [i for i, _ in n] for q, n in want.items()}
