@@ -6,12 +6,15 @@ find; where they stand (give or take a few words) the notice may start. At each
 words of the notice are looked up. What enough of its weight stands at, and holds its mandatory
 key phrases, is a find. This leaves out no start that would pass, however long the file is and
 whatever else it holds.
+
+Only the texts of TEMPLATES and BODIES are sought: notices as they stand in a file's head, and
+titles and opening passages of the usual licences. Other licences get no label but a phrase's.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +77,68 @@ TEMPLATES: dict[str, tuple[list[str], list[str]]] = {
     ),
 }
 
+_HEADER = "redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; {}"
+
+# Label, key phrases that must stand in a find, titles and opening passages of licences.
+BODIES: list[tuple[str, list[str], list[str]]] = [
+    ("0bsd", ["with or without fee is hereby granted the software is provided"], [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES",
+    ]),
+    ("agpl-3.0", ["gnu affero general public license"], ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"]),
+    ("apache-2.0", ["apache license", "version 2 0"], ["Apache License Version 2.0, January 2004"]),
+    ("bsl-1.0", ["any person or organization obtaining a copy"], [
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+        "software and accompanying documentation covered by this license",
+    ]),
+    ("cc-by-4.0", ["creative commons attribution 4 0 international"], [
+        "Creative Commons Attribution 4.0 International Public License",
+    ]),
+    ("cc-by-nc-4.0", ["creative commons attribution noncommercial 4 0 international"], [
+        "Creative Commons Attribution-NonCommercial 4.0 International Public License",
+    ]),
+    ("cc-by-sa-4.0", ["creative commons attribution sharealike 4 0 international"], [
+        "Creative Commons Attribution-ShareAlike 4.0 International Public License",
+    ]),
+    ("cc0-1.0", ["cc0 1 0 universal"], ["Creative Commons Legal Code CC0 1.0 Universal"]),
+    ("epl-2.0", ["eclipse public license", "2 0"], [
+        "Eclipse Public License - v 2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0",
+    ]),
+    ("gpl-2.0", ["gnu general public license", "version 2"], [
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        _HEADER.format("General Public License", "either version 2 of the License"),
+    ]),
+    ("gpl-3.0", ["gnu general public license", "version 3"], ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"]),
+    ("isc", ["with or without fee is hereby granted provided that"], [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ]),
+    ("lgpl-2.1", ["gnu lesser general public license", "version 2 1"], [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        _HEADER.format("Lesser General Public License", "either version 2.1 of the License"),
+    ]),
+    ("lgpl-3.0", ["gnu lesser general public license", "version 3"], [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        _HEADER.format("Lesser General Public License", "either version 3 of the License"),
+    ]),
+    ("mit", ["permission is hereby granted free of charge", "deal in the software without restriction"], [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the Software), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+        "the Software",
+    ]),
+    ("mpl-2.0", ["mozilla public license", "2 0"], ["Mozilla Public License Version 2.0"]),
+    ("unlicense", ["unencumbered software released into the public domain"], [
+        "This is free and unencumbered software released into the public domain",
+    ]),
+    ("zlib", ["permission is granted to anyone to use this software"], [
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+        "and to alter it and redistribute it freely",
+    ]),
+]
+
 # Shares of a notice's weight that stand exactly at a start for it to be a find beside a better one within
 # SLACK words, and that must stand there at all; words a place may differ by.
 VOTE_SHARE = 0.2
@@ -123,10 +188,14 @@ def phrase_places(words: list[bytes], phrases: Mapping[str, str]) -> list[tuple[
 class Index:
     """The notices and their words, weighted by how rare each word is in the corpus."""
 
-    def __init__(self, templates: Mapping[str, tuple[list[str], list[str]]]):
+    def __init__(
+        self,
+        templates: Mapping[str, tuple[list[str], list[str]]],
+        bodies: Sequence[tuple[str, list[str], list[str]]] = (),
+    ):
         self.notices = [
             (label, words_of(text.encode()), [words_of(k.encode()) for k in keys])
-            for label, (keys, texts) in templates.items()
+            for label, keys, texts in [*((label, *t) for label, t in templates.items()), *bodies]
             for text in texts
         ]
         self.vocabulary = frozenset(w for _, words, _ in self.notices for w in words)
@@ -241,15 +310,16 @@ def scan_licenses(
     phrases: Mapping[str, str] = PHRASES,
     doc_id: str = "doc_id",
     text: str = "text",
+    bodies: Sequence[tuple[str, list[str], list[str]]] = BODIES,
 ) -> DataFrame:
     """``doc_id, n_words, places, found`` per row.
 
-    ``places`` are the phrases' places, ``found`` the notices with their first and last word
+    ``places`` are the phrases' places, ``found`` the notices and passages with their first and last word
     and the share of their weight that is there. A null text is empty and has neither; null
     identifiers are carried through; repeated rows are scanned each.
     """
     rows = documents(docs, doc_id, text)
-    index = Index(templates)
+    index = Index(templates, bodies)
     index.weigh(*_word_frequencies(rows, index))
     held, sought = docs.sparkSession.sparkContext.broadcast(index), dict(phrases)
     last = {p.rpartition(" ")[2].encode() for p in sought}

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from tagstream.llm.license_scan import TEMPLATES, Index, phrase_places, scan_licenses, words_of
+from tagstream.llm.license_scan import BODIES, TEMPLATES, Index, phrase_places, scan_licenses, words_of
 from tests.llm.tables import clashing, docs
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -144,3 +144,34 @@ def test_every_start_that_passes_is_found():
             for s in range(-40, len(own)):
                 want |= {a for a, *_ in index._verified(own, n, s)}
         assert {a for a, *_ in index.find(own)} == want
+
+
+MIT_BODY = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+ISC_BODY = """# Permission to use, copy, modify, and/or distribute this software for any
+# purpose with or without fee is hereby granted, provided that the above
+# copyright notice and this permission notice appear in all copies."""
+LGPL_BODY = """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version."""
+UNLICENSE_BODY = "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy"
+
+
+def test_bodies_of_licences(spark):
+    rng = random.Random(7)
+    own = {1: (MIT_BODY, "mit"), 2: (ISC_BODY, "isc"), 3: (LGPL_BODY, "lgpl-2.1"), 4: (UNLICENSE_BODY, "unlicense")}
+    for i, (label, _, texts) in enumerate(BODIES):
+        own |= {100 + 10 * i + j: (t, label) for j, t in enumerate(texts)}
+    rows = [(i, f"{filler(rng, 50)}\n{t}\n{filler(rng, 50)}") for i, (t, _) in own.items()]
+    got = found(scan_licenses(docs(spark, rows + [(5000 + i, filler(rng, 60)) for i in range(40)])))
+    for i, (_, label) in own.items():
+        # The short notice of gpl-3.0 also holds for the Lesser licence's, whose words it has.
+        assert got[i][0] - ({"gpl-3.0"} if label == "lgpl-3.0" else set()) == {label}
+    assert not any(got[5000 + i][0] for i in range(40))
