@@ -12,6 +12,10 @@ In a bin with one shingle on average a shared shingle is least with probability
 an item of 24 shingles has at least 20 shared ones, and is missed with probability below
 3e-9. Shorter items are looked up among all shingles of the documents, so none is missed.
 
+An item of fewer words than a shingle is one shingle of all its words, as the SQL has it. A
+document with as many words as a shingle or more has no such shingle, so a document contains
+such an item only if it consists of it; inside a longer document the item does not count.
+
 DataFrame functions only. Candidates are verified on the shingles' texts.
 """
 

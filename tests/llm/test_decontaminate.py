@@ -94,3 +94,10 @@ def test_native_plan(spark):
     rows, items = case(1)
     plan = contained_items(docs(spark, rows), frame(spark, items))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_items_shorter_than_a_shingle_count_as_whole_documents(spark):
+    texts = [(1, "One two  three"), (2, "so one two three it is"), (3, "one two three"), (4, "one two"), (5, None)]
+    items = spark.createDataFrame([(1, "one two three"), (2, "x")], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in contained_items(docs(spark, texts), items).collect()}
+    assert got == {(1, 1), (3, 1)}
