@@ -10,22 +10,30 @@ Documents travel in buckets of bounded size. A bucket asks each partition of the
 its blocks and gets a bit per question, so a passage that a third of all documents hold is
 asked about at most once per bucket: no group grows with the number of copies, no pairs are
 made. Index partitions grow in number with the input, not in size.
+
+Rows that repeat both identifier and text would share a bucket, so of those one goes to the
+buckets, for the others to meet, and the rows themselves are answered where they are: all runs
+of such a row stand in its copies too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagstream.llm.runtime import documents, shuffle_partitions, text_bytes
+from tagstream.llm.runtime import checkpointed, documents, shuffle_partitions, text_bytes
 from tagstream.llm.words import BASES, U64, Words, rolling, window_starts
 
 WINDOW = 35
 # Bytes of text per bucket, and of text whose probes one index partition holds.
 BUCKET_BYTES = 2 << 20
 INDEX_BYTES = 6 << 20
+# Repeated rows are told by their keys (16 bytes each), broadcast up to this many, else joined by a shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
 
 _KEY = np.dtype([("high", "<u8"), ("low", "<u4")])
 _BLOCK = np.dtype("<u4")
@@ -218,7 +226,8 @@ def _remove(window: int, parts: int):
         first, data = words.first, words.data.tobytes()
         spans, kept = [], []
         low = np.searchsorted(opens, first)
-        for d in range(len(table)):
+        answered = np.flatnonzero(table["asks"].to_numpy())
+        for d in answered:
             begin, end = int(first[d]), int(first[d + 1])
             text = data[words.offsets[d] : words.offsets[d + 1]]
             own = range(low[d], low[d + 1])
@@ -227,15 +236,60 @@ def _remove(window: int, parts: int):
             for i in reversed(own):
                 del pieces[opens[i] - begin : closes[i] - begin]
             kept.append(b" ".join(pieces).decode())
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.table(
-            [table["doc_id"], pa.array(words.counts, pa.int64()), pa.array(spans, span), pa.array(kept, pa.string())],
-            names=["doc_id", "n_words", "spans", "kept_text"],
-        )
+        doc_id = table["doc_id"].combine_chunks().take(pa.array(answered))
+        return pa.table([doc_id, *_results(words.counts[answered], spans, kept)], names=_NAMES)
 
     return run
 
 
+_NAMES = ["doc_id", "n_words", "spans", "kept_text"]
+
+
+def _results(counts: np.ndarray, spans: list, kept: list[str]) -> list[pa.Array]:
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    return [pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(kept, pa.string())]
+
+
+def _remove_copies(window: int):
+    """Rows that stand in the table again as they are: whole, unless they are shorter than a run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, spans, kept = [], [], []
+            for text in batch.column("text").cast(pa.binary()):
+                words = (text.as_py() or b"").split()
+                gone = len(words) >= window
+                counts.append(len(words))
+                spans.append([{"start": 0, "end": len(words)}] if gone else [])
+                kept.append("" if gone else b" ".join(words).decode())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *_results(np.array(counts, np.int64), spans, kept)], names=_NAMES
+            )
+
+    return run
+
+
+def split_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``doc_id, text, asks`` of each row once, and the rows that stand in the table again (None if none do).
+
+    Where ``asks`` is false the row stands for copies.
+    """
+    keys = [F.xxhash64("doc_id", "text").alias("h"), F.xxhash64(F.lit(1), "text", "doc_id").alias("h2")]
+    again = checkpointed(rows.select(*keys).groupBy("h", "h2").count().filter("count > 1").select("h", "h2"))
+    n = again.count()
+    if not n:
+        return rows.withColumn("asks", F.lit(True)), None
+    held = F.broadcast(again) if n <= MAX_BROADCAST_KEYS else again
+    keyed = rows.select("doc_id", "text", *keys)
+    single = keyed.join(held, ["h", "h2"], "left_anti").select("doc_id", "text", F.lit(True).alias("asks"))
+    copies = keyed.join(held, ["h", "h2"], "left_semi").select("doc_id", "text")
+    return single.unionByName(copies.distinct().withColumn("asks", F.lit(False))), copies
+
+
+def in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
+
+
 def remove_repeats(
     docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -252,19 +306,20 @@ def remove_repeats(
     size, least = text_bytes(rows), shuffle_partitions(spark)
     buckets = max(2 * least, size // BUCKET_BYTES + 1)
     parts = max(least, size // INDEX_BYTES + 1)
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
-    in_buckets = rows.groupBy("bucket")
+    once, copies = split_copies(rows)
+    grouped = in_buckets(once, buckets).groupBy("bucket")
 
     block_answers = (
-        in_buckets.applyInArrow(_ask_blocks(window, parts), _QUESTIONS)
+        grouped.applyInArrow(_ask_blocks(window, parts), _QUESTIONS)
         .groupBy("part")
         .applyInArrow(_answer(_BLOCK, 0), _ANSWERS)
     )
     run_answers = (
-        in_buckets.cogroup(block_answers.groupBy("bucket"))
+        grouped.cogroup(block_answers.groupBy("bucket"))
         .applyInArrow(_ask_runs(window, parts), _QUESTIONS)
         .groupBy("part")
         .applyInArrow(_answer(_KEY, 1), _ANSWERS)
     )
     answers = block_answers.unionByName(run_answers)
-    return in_buckets.cogroup(answers.groupBy("bucket")).applyInArrow(_remove(window, parts), _RESULT)
+    removed = grouped.cogroup(answers.groupBy("bucket")).applyInArrow(_remove(window, parts), _RESULT)
+    return removed if copies is None else removed.unionByName(copies.mapInArrow(_remove_copies(window), _RESULT))

@@ -81,3 +81,31 @@ def test_empty_table_and_long_word(spark):
     long = "y" * 200_000
     got = found(remove_repeats(docs(spark, [f"{long} b c", f"{long} b d", f"{long}y b c"]), 2))
     assert [got[i][2] for i in range(3)] == ["", "d", f"{long}y"]
+
+
+def test_repeated_rows_do_not_fill_a_bucket(spark):
+    from tagstream.llm.substring_dedup import in_buckets, split_copies
+
+    rows = [(i, f"w{i} " * 9) for i in range(50)] + [(None, "a b c d e f")] * 300 + [(7, None)] * 40 + [(None, None)] * 30
+    table = docs(spark, rows).select("doc_id", "text")
+    once, copies = split_copies(table)
+    assert in_buckets(once, 5).groupBy("bucket").count().agg({"count": "max"}).first()[0] <= 53
+    assert once.filter("not asks").count() == 3 and copies.count() == 370
+    assert split_copies(table.limit(0))[1] is None
+
+
+@pytest.mark.parametrize("broadcast", [0, 100])
+def test_many_repeated_rows(spark, monkeypatch, broadcast):
+    from tagstream.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "MAX_BROADCAST_KEYS", broadcast)
+    texts = random_texts(9, 20)
+    texts += [f"x y {texts[0]} z", "n o p q r", "m n o p q r s", " a  b\t", "one of its own"]
+    rows = list(enumerate(texts))
+    rows += [rows[0]] * 9 + [rows[-4]] * 30 + [rows[-2]] * 5 + [(None, "n o p q r")] * 20 + [(None, None)] * 3 + [(7, "")] * 2
+    want = [(i, *r) for (i, _), r in zip(rows, brute([t for _, t in rows], 5))]
+    got = [
+        (r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), r.kept_text)
+        for r in remove_repeats(docs(spark, rows), 5).collect()
+    ]
+    assert sorted(got, key=str) == sorted(want, key=str)
