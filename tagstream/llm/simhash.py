@@ -4,12 +4,15 @@ Fingerprints that differ in at most k bits agree, in one of ``k // 2 + 1`` segme
 bit. So every distinct fingerprint is indexed under each segment with each one of its bits as
 a wildcard, and an equality join on these 64 keys finds all candidates.
 
-A key that just two fingerprints share gives one pair, which is verified. Fingerprints that
-meet others under a more crowded key (many copies, or chance in a very large table) are
-linked by keys of the whole fingerprint whose groups are bounded by construction: for k = 2 a
-fingerprint and all that differ from it in one bit, for k = 1 the fingerprint with one bit as
-a wildcard. Sharing such a key proves the link, so members need only be tied to the group's
-smallest. The work is linear in the number of distinct fingerprints.
+The keys are shuffled once. A key that just two fingerprints share gives one pair, which is
+verified. Fingerprints that meet others under a more crowded key (many copies, or chance in a
+very large table) are linked by keys of the whole fingerprint whose groups are bounded by
+construction: for k = 2 a fingerprint and all that differ from it in one bit, for k = 1 the
+fingerprint with one bit as a wildcard. Sharing such a key proves the link, so members need
+only be tied to the group's smallest. A segment's value that very many fingerprints hold is
+counted before (reduced on the map side) and not indexed: these fingerprints, and those one bit
+away in that segment, go straight to the keys of the whole. So no group grows with the data,
+and the work is linear in the number of distinct fingerprints.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ SHINGLE = 3
 MAX_DISTANCE = 2
 SEED = 42
 BITS = 64
+# Distinct fingerprints that may hold one value of a segment and still be indexed under its keys.
+MOST_TOGETHER = 2048
 # Shingles hashed at a time, so that a very long text needs little more than itself.
 _BLOCK = 1 << 15
 
@@ -78,25 +83,51 @@ def _flipped(bit: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.cast("int"))
 
 
+def _segments(rows: DataFrame, segments: int) -> DataFrame:
+    """Each fingerprint's segments: ``h, segment, value`` (the segment's bits, from bit 0)."""
+    width = BITS // segments
+    ones = F.lit((1 << width) - 1 if width < BITS else -1).cast("bigint")
+    values = [F.expr(f"shiftrightunsigned(h, {i * width})").bitwiseAND(ones) for i in range(segments)]
+    return rows.select("h", F.posexplode(F.array(*values)).alias("segment", "value"))
+
+
 def wildcard_keys(rows: DataFrame, segments: int) -> DataFrame:
-    """Each fingerprint under every segment with every bit of it left out: ``key, h``."""
-    width = BITS // segments + (BITS % segments > 0)
-    bits = rows.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))))
-    begin = F.expr(f"cast(bit div {width} as int) * {width}")
-    mask = F.when(begin + width >= BITS, F.lit(-1).cast("bigint")).otherwise(_flipped(begin + width) - 1)
-    mask = mask.bitwiseXOR(_flipped(begin) - 1).bitwiseAND(F.bitwise_not(_flipped(F.col("bit"))))
-    # The bit's number and the segment's remaining bits.
-    return bits.select(F.struct(F.col("bit"), F.col("h").bitwiseAND(mask).alias("rest")).alias("key"), "h")
+    """Rows of ``_segments`` with every bit of the segment left out: ``key, h``.
+
+    With two segments the key is one number: six bits say which bit is missing, 32 hold the rest.
+    """
+    width = BITS // segments
+    bit = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("bit")
+    bits = rows.select("h", "segment", "value", bit)
+    rest = F.col("value").bitwiseAND(F.bitwise_not(_flipped(F.col("bit"))))
+    missing = F.col("segment") * width + F.col("bit")
+    if segments == 1:
+        return bits.select(F.struct(missing.alias("bit"), rest.alias("rest")).alias("key"), "h")
+    high = F.call_function("shiftleft", missing.cast("bigint"), F.lit(width))
+    return bits.select(high.bitwiseOR(rest).alias("key"), "h")
 
 
 def _whole_keys(rows: DataFrame, max_distance: int) -> DataFrame:
     if max_distance == 1:
-        return wildcard_keys(rows, 1)
+        return wildcard_keys(_segments(rows, 1), 1)
     flips = [F.col("h"), *[F.col("h").bitwiseXOR(_flipped(F.lit(i))) for i in range(BITS)]]
     return rows.select(F.explode(F.array(*flips)).alias("key"), "h")
 
 
-def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def _without_full(rows: DataFrame, segments: int, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """``_segments`` rows whose value at most ``most`` fingerprints hold, and the fingerprints
+    that hold another value or one a bit away from it (None: there are none).
+    """
+    own = ["segment", "value"]
+    full = checkpointed(rows.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select(*own))
+    if full.isEmpty():
+        return rows, None
+    near = [F.col("value"), *[F.col("value").bitwiseXOR(_flipped(F.lit(i))) for i in range(BITS // segments)]]
+    around = full.select("segment", F.explode(F.array(*near)).alias("value")).distinct()
+    return rows.join(full, own, "left_anti"), rows.join(around, own, "left_semi").select("h")
+
+
+def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE, most: int = MOST_TOGETHER) -> DataFrame:
     """Links ``a, b`` between distinct fingerprints ``h`` that connect all within the distance.
 
     Not every such pair is listed: a group that proves its links is tied to its smallest member.
@@ -105,17 +136,22 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
         raise ValueError("the distance must be 1 or 2")
     # Few bytes before, 64 times as many rows after: the adaptive plan would leave it to a few tasks.
     distinct = distinct.repartition(shuffle_partitions(distinct.sparkSession), "h")
-    keys = wildcard_keys(distinct, max_distance // 2 + 1)
-    shared = keys.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b")
-    )
-    shared = checkpointed(shared.filter("n > 1"))
-    pairs = shared.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance).select("a", "b")
-    crowded = keys.join(shared.filter("n > 2").select("key"), "key", "left_semi").select("h").distinct()
-    groups = _whole_keys(crowded, max_distance).groupBy("key").agg(F.collect_set("h").alias("members"))
-    tied = groups.filter(F.size("members") > 1).select(
-        F.array_min("members").alias("a"), F.explode("members").alias("b")
-    )
+    segments = max_distance // 2 + 1
+    rows, together = _segments(distinct, segments), None
+    if segments > 1:
+        rows, together = _without_full(rows, segments, most)
+    # Dealt by key as they are: nearly every key is met once, so reducing before would only cost.
+    keys = wildcard_keys(rows, segments).repartition("key")
+    shared = keys.groupBy("key").agg(F.collect_list("h").alias("members")).filter(F.size("members") > 1)
+    shared = checkpointed(shared.select("members"))
+    two = F.size("members") == 2
+    a, b = F.array_min("members").alias("a"), F.array_max("members").alias("b")
+    pairs = shared.filter(two).select(a, b).filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
+    crowded = shared.filter(~two).select(F.explode("members").alias("h"))
+    if together is not None:
+        crowded = crowded.unionByName(together)
+    groups = _whole_keys(crowded.distinct(), max_distance).groupBy("key").agg(F.collect_set("h").alias("members"))
+    tied = groups.filter(F.size("members") > 1).select(a, F.explode("members").alias("b"))
     return pairs.unionByName(tied.filter("a <> b")).distinct()
 
 

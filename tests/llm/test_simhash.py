@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tagstream.llm.components import components
-from tagstream.llm.simhash import fingerprint, links, near_duplicates, one_of_each, wildcard_keys
+from tagstream.llm.simhash import _segments, fingerprint, links, near_duplicates, one_of_each, wildcard_keys
 from tests.llm.tables import clashing, docs
 
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
@@ -86,11 +86,34 @@ def test_links_as_brute_force(spark, distance, crowded):
         assert by_group.setdefault(g, joined.get(signed(v), signed(v))) == joined.get(signed(v), signed(v))
 
 
+@pytest.mark.parametrize("most", [1, 2, 8])
+@pytest.mark.parametrize("crowded", [False, True])
+def test_full_segments_as_brute_force(spark, crowded, most):
+    """Values of a segment that many fingerprints hold are not indexed, and no link is lost by it."""
+    own = values(5, crowded)
+    frame = spark.createDataFrame([(signed(v),) for v in own], "h bigint")
+    joined = {r.node: r.root for r in components(links(frame, 2, most)).collect()}
+    want, found = {}, {}
+    for v, g in zip(own, groups(own, 2)):
+        want.setdefault(g, set()).add(v)
+        found.setdefault(joined.get(signed(v), signed(v)), set()).add(v)
+    assert sorted(map(sorted, want.values())) == sorted(map(sorted, found.values()))
+
+
 def test_one_key_per_bit(spark):
     frame = spark.createDataFrame([(signed(v),) for v in (0, 1 << 63, (1 << 64) - 1)], "h bigint")
-    for segments in (1, 2, 3):
-        rows = wildcard_keys(frame, segments).collect()
-        assert len(rows) == 3 * 64 and len({r.key.bit for r in rows}) == 64
+    for segments in (1, 2):
+        rows = wildcard_keys(_segments(frame, segments), segments).collect()
+        bits = {r.key.bit if segments == 1 else r.key >> 32 for r in rows}
+        assert len(rows) == 3 * 64 and bits == set(range(64))
+
+
+def test_keys_are_shuffled_once(spark):
+    frame = spark.createDataFrame([(signed(v),) for v in values(1, False)], "h bigint")
+    keys = wildcard_keys(_segments(frame, 2), 2)
+    assert dict(keys.dtypes) == {"key": "bigint", "h": "bigint"}
+    groups = keys.repartition("key").groupBy("key").agg(F.collect_list("h"))
+    assert groups._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
 
 
 def texts(seed=1):
