@@ -34,4 +34,32 @@ ORACLE: dict[str, str] = {
                count(*) / any_value(n_item) AS containment
         FROM d JOIN b USING (shingle) JOIN n USING (item_id)
         GROUP BY doc_id, item_id HAVING count(*) / any_value(n_item) >= 0.8""",
+    "op11_fill_in_middle": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+                 sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+          FROM documents),
+        h AS (
+          SELECT *, len(units) AS n,
+                 CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+          FROM d),
+        c AS (
+          SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+          FROM h),
+        p AS (
+          SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+                 array_to_string(units[b + 1:], '') AS suffix
+          FROM c)
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p""",
 }

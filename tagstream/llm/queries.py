@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.llm.decontaminate import contained_items
+from tagstream.llm.fill_in_middle import fill_in_middle, restored
 from tagstream.llm.language_id import identify
 from tagstream.llm.license_scan import PHRASE_SCORE, scan_licenses
 from tagstream.llm.mixing import mix
@@ -93,6 +94,15 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), IS_NEIGHBOUR_QUERY, NEIGHBOURS)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = restored(F.col("output"), F.col("form"))
+    return fill_in_middle(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -104,4 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_output": op8_token_output,
     "op9_quality": op9_quality,
     "op10_nearest": op10_nearest,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
