@@ -62,4 +62,37 @@ ORACLE: dict[str, str] = {
                                 ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
                sha256(text) AS restored_sha256
         FROM p""",
+    "op13_collocations": r"""
+        WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        t AS (
+          SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3
+          FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+        f1 AS (SELECT lang, w1, count(*) AS f FROM t GROUP BY ALL),
+        f2 AS (SELECT lang, w1, w2, count(*) AS f FROM t WHERE w2 IS NOT NULL GROUP BY ALL),
+        f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM t WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+        n AS (SELECT lang, count(*) AS n FROM t GROUP BY lang),
+        cuts AS (
+          SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+          FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+          WHERE c.f >= 10 AND NOT EXISTS (
+            SELECT 1 FROM f3 WHERE f3.lang = c.lang AND f3.w1 = c.w1 AND f3.w2 = c.w2 AND 100 * f3.f >= 50 * c.f)
+          AND NOT EXISTS (
+            SELECT 1 FROM f3 WHERE f3.lang = c.lang AND f3.w2 = c.w1 AND f3.w3 = c.w2 AND 100 * f3.f >= 50 * c.f)
+          UNION ALL
+          SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+          FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1
+          JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+          UNION ALL
+          SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+          FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2
+          JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+        scored AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagstream.llm.collocations import collocations
 from tagstream.llm.decontaminate import contained_items
 from tagstream.llm.fill_in_middle import fill_in_middle, restored
 from tagstream.llm.language_id import identify
@@ -103,6 +104,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -115,4 +120,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_nearest": op10_nearest,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_collocations": op13_collocations,
 }
