@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tagstream.llm.collocations import collocations
 from tagstream.llm.decontaminate import contained_items
 from tagstream.llm.fill_in_middle import fill_in_middle, restored
+from tagstream.llm.jaccard_join import similar_documents
 from tagstream.llm.language_id import identify
 from tagstream.llm.license_scan import PHRASE_SCORE, scan_licenses
 from tagstream.llm.mixing import mix
@@ -104,6 +105,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
@@ -120,5 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_nearest": op10_nearest,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_collocations": op13_collocations,
 }

@@ -1,0 +1,164 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tagstream.llm.jaccard_join import similar_documents
+from tagstream.llm.parity import Sets, hamming, most_different, n_pieces
+from tests.llm.tables import clashing, docs
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def slow_set(text, shingle=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(words) < shingle:
+        return {" ".join(words)} if words else set()
+    return {" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)}
+
+
+def slow(rows, shingle=5, percent=80):
+    """``(doc_id, n, component)`` by comparing all pairs."""
+    sets = [slow_set(t, shingle) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                label[find(i)] = find(j)
+    names = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            names[find(i)] = min(doc_id, names.get(find(i), doc_id))
+    return sorted(
+        ((d, len(s), names.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=repr
+    )
+
+
+def found(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=repr)
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        at = rng.randrange(len(words))
+        kind = rng.random()
+        if kind < 0.4:
+            words[at] = f"new{rng.randrange(10**6)}"
+        elif kind < 0.7:
+            words.insert(at, f"more{rng.randrange(10**6)}")
+        elif len(words) > 1:
+            del words[at]
+    return words
+
+
+def family(rng, size, n, edits, vocabulary=400):
+    base = [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+    return [" ".join(edited(rng, base, rng.randint(0, edits))) for _ in range(size)]
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    out = []
+    for n, edits in ((4, 1), (6, 1), (9, 1), (20, 2), (40, 2), (64, 4), (127, 6), (128, 5), (300, 12), (700, 20)):
+        out += family(rng, 9, n, edits)
+    passage = " ".join(f"p{i}" for i in range(40))
+    out += [f"{passage} {t}" for t in family(rng, 12, 60, 60, 10**6)]
+    out += ["Same Words in ANY case here", "same words in any case here", "a b", "A  b", "a", "", " \n", None]
+    out += ["a b a b a b a b", "b a b a b a b", "one two three four five", "one two three four"]
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("few", [32, 2])
+@pytest.mark.parametrize("percent,shingle", [(80, 5), (60, 3), (95, 1), (100, 5)])
+def test_as_brute_force(spark, percent, shingle, few):
+    rows = corpus()
+    got = similar_documents(clashing(docs(spark, rows)), shingle, percent, few=few, block=7)
+    assert found(got) == slow(rows, shingle, percent)
+
+
+def test_crowded_keys(spark):
+    """Families whose members share most of their pieces: some linked, some just below it, beside a common passage."""
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(100)]
+    rows = [" ".join(edited(rng, template, 2)) for _ in range(40)]
+    # 84 words of the template and some of their own: alike, but not alike enough.
+    rows += [" ".join(template[:84] + [f"own{i}x{j}" for j in range(14)]) for i in range(40)]
+    rows += [" ".join(template[:84] + [f"own{i}x{j}" for j in range(14 - 10 * (i % 2))]) for i in range(6)]
+    rows += [" ".join(template[:30] + [f"far{i}x{j}" for j in range(30)]) for i in range(60)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    want = slow(rows)
+    assert len({c for *_, c in want}) < len(rows)
+    for few, block in ((3, 5), (8, 512)):
+        assert found(similar_documents(docs(spark, rows), few=few, block=block)) == want
+
+
+def test_nulls_and_repeated_rows(spark):
+    text = "one and the same text of some words"
+    rows = [(None, text), (7, text), (7, text), (3, text + " more"), (None, ""), (None, None), (5, ""), (5, ""), (None, "lonely words without any name here")]
+    assert found(similar_documents(docs(spark, rows))) == slow(rows)
+
+
+def test_empty_tables(spark):
+    assert similar_documents(docs(spark, [])).collect() == []
+    assert found(similar_documents(docs(spark, [None, ""]))) == [(0, 0, 0), (1, 0, 1)]
+    with pytest.raises(ValueError):
+        similar_documents(docs(spark, []), percent=40)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100_000)]
+    rows = [" ".join(base), " ".join(edited(rng, base, 1500)), " ".join(edited(rng, base, 9000)), " ".join(base[:70_000])]
+    assert found(similar_documents(docs(spark, rows))) == slow(list(enumerate(rows)))
+
+
+words = st.lists(st.sampled_from("abcdefgh"), max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(words, words, st.sampled_from([50, 60, 80, 90, 100]), st.integers(1, 4))
+def test_similar_sets_meet(one, other, percent, shingle):
+    """Whatever the texts: sketches bound the difference, and similar sets have a key in common."""
+    sets = Sets.of(pa.array([" ".join(one), " ".join(other)]), shingle)
+    a, b = (set(sets.of_text(d).tolist()) for d in (0, 1))
+    assert [len(a), len(b)] == [len(slow_set(" ".join(w), shingle)) for w in (one, other)]
+    assert len(a & b) == len(slow_set(" ".join(one), shingle) & slow_set(" ".join(other), shingle))
+    if not a or not b or 100 * len(a & b) < percent * len(a | b):
+        return
+    assert len(a ^ b) <= most_different(len(a), len(b), percent)
+    assert hamming(*sets.sketches()) <= len(a ^ b)
+    for every in (False, True):
+        keys = sets.keys(percent, every)
+        first, second = (set(keys.key[keys.text == d].tolist()) for d in (0, 1))
+        assert first & second
+        if not every:
+            assert all((keys.text == d).sum() <= 2 * keys.needed[keys.text == d].max() for d in (0, 1))
+
+
+def test_more_pieces_than_differences():
+    bands = np.arange(20)
+    for percent in (50, 80, 100):
+        top = (2 << bands) - 1
+        assert (n_pieces(bands, percent) > most_different(top, top * 100 // percent, percent)).all()
+
+
+def test_few_keys():
+    """A key for every four or five tokens, not one for each."""
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in range(100, 1000, 10)]
+    sets = Sets.of(pa.array(texts), 5)
+    keys = sets.keys(80)
+    assert len(keys.key) < 0.32 * len(sets.tokens) + 2 * len(texts)
