@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tagstream.functions.plan import quoted
 from tagstream.llm.runtime import checkpointed, ship_package, shuffle_partitions, text_bytes
-from tagstream.llm.transducer import Alphabet, CodeCollision, PhraseCounts
+from tagstream.llm.transducer import CodeCollision, Names, PhraseCounts
 from tagstream.llm.words import Words, pieces
 
 LONGEST = 3
@@ -32,7 +32,7 @@ UNKNOWN_LANGUAGE = "und"
 SCALE = 1_000_000
 
 # Bytes of text per range of prefix codes, words counted together, states kept before they are sent.
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 8 << 20
 _BLOCK_BYTES = 1 << 20
 _BLOCK_WORDS = 1 << 18
 _MOST_STATES = 1_000_000
@@ -65,12 +65,14 @@ def _counted(piece: pa.RecordBatch, longest: int, seed: int) -> Iterator[PhraseC
     for at in range(0, n, _BLOCK_WORDS):
         own = min(_BLOCK_WORDS, n - at)
         here = slice(at, min(at + own + longest - 1, n))
-        alphabet, word = _alphabet(words, here, seed)
-        yield PhraseCounts.of_words(list(names), language[here], alphabet, word, joined[here], longest, own)
+        alphabet, own_names, word = _alphabet(words, here, seed)
+        yield PhraseCounts.of_words(
+            list(names), language[here], alphabet, own_names, word, joined[here], longest, own
+        )
 
 
-def _alphabet(words: Words, here: slice, seed: int) -> tuple[Alphabet, np.ndarray]:
-    """The distinct words of a stretch, and each word's place among them."""
+def _alphabet(words: Words, here: slice, seed: int) -> tuple[np.ndarray, Names, np.ndarray]:
+    """The codes of a stretch's distinct words, what they are, and each word's place among them."""
     starts, ends = words.starts[here], words.ends[here]
     span = slice(int(starts[0]), int(ends[-1]))
     letters = words.data[span][words.inside[span]]
@@ -87,8 +89,8 @@ def _alphabet(words: Words, here: slice, seed: int) -> tuple[Alphabet, np.ndarra
         raise CodeCollision
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    alphabet = Alphabet(codes[order], checks[order], encoded.dictionary.take(pa.array(order)))
-    return alphabet, place[encoded.indices.to_numpy()]
+    names = Names(checks[order], encoded.dictionary.take(pa.array(order)))
+    return codes[order], names, place[encoded.indices.to_numpy()]
 
 
 class _Building:
@@ -171,8 +173,8 @@ def _frequent(packed: DataFrame, least: int) -> DataFrame:
         for depth in range(1, len(whole.levels)):
             which = np.flatnonzero(whole.levels[depth].weight >= least)
             language, words = whole.phrases(depth, which)
-            codes = whole.alphabet.codes[words].view(np.int64)
-            text = whole.alphabet.words.take(pa.array(words[:, 0])) if depth == 1 else None
+            codes = whole.alphabet[words].view(np.int64)
+            text = whole.names.words.take(pa.array(which)) if depth == 1 else None
             tables.append(_state_table(names[language], codes, whole.levels[depth].weight[which], text, False))
         return pa.concat_tables(tables)
 

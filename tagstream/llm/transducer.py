@@ -40,37 +40,44 @@ class Level:
 
 
 @dataclass
-class Alphabet:
-    """Words by ascending code, each with a second code that tells a collision."""
+class Names:
+    """What tells the words of depth 1 apart for certain: a second code each, and the word itself.
+
+    A state that is only passed through has code zero and no word.
+    """
 
-    codes: np.ndarray
     checks: np.ndarray
     words: pa.Array
 
     @classmethod
-    def united(cls, parts: list[Alphabet]) -> tuple[Alphabet, list[np.ndarray]]:
-        """One alphabet, and the place in it of each part's words."""
-        codes = np.concatenate([p.codes for p in parts])
+    def united(cls, parts: list[Names], weighs: np.ndarray, state: np.ndarray, n: int) -> Names:
+        """Those of ``n`` united states, from the rows that weigh something; ``state`` is each row's."""
+        rows = np.flatnonzero(weighs)
+        one = np.full(n, -1, np.int64)
+        one[state[rows]] = rows
         checks = np.concatenate([p.checks for p in parts])
-        kept, first, place = np.unique(codes, return_index=True, return_inverse=True)
-        if (checks[first][place] != checks).any():
+        if (checks[one[state[rows]]] != checks[rows]).any():
             raise CodeCollision
-        words = pa.concat_arrays([p.words for p in parts]).take(pa.array(first))
-        return cls(kept, checks[first], words), np.split(place, np.cumsum([len(p.codes) for p in parts])[:-1])
+        return cls(checks, pa.concat_arrays([p.words for p in parts])).taken(one)
 
-    def of(self, used: np.ndarray) -> tuple[Alphabet, np.ndarray]:
-        """Only the words at the ``used`` places, and each one's new place."""
-        kept, place = np.unique(used, return_inverse=True)
-        return Alphabet(self.codes[kept], self.checks[kept], self.words.take(pa.array(kept))), place
+    def taken(self, rows: np.ndarray) -> Names:
+        """Those of some rows; -1 for none."""
+        none = rows < 0
+        checks = np.where(none, U64(0), self.checks[rows]) if len(rows) else np.zeros(0, U64)
+        return Names(checks, self.words.take(pa.array(rows, pa.int64(), mask=none)).fill_null(b""))
 
 
 @dataclass
 class PhraseCounts:
-    """``levels[0]`` are the languages, whose label is their place in ``languages``."""
+    """``levels[0]`` are the languages, whose label is their place in ``languages``.
+
+    The labels of words are places in ``alphabet``, the ascending codes of the words.
+    """
 
     languages: list[str]
-    alphabet: Alphabet
+    alphabet: np.ndarray
     levels: list[Level]
+    names: Names
 
     def __len__(self) -> int:
         return sum(map(len, self.levels))
@@ -80,7 +87,8 @@ class PhraseCounts:
         cls,
         languages: list[str],
         language: np.ndarray,
-        alphabet: Alphabet,
+        alphabet: np.ndarray,
+        names: Names,
         word: np.ndarray,
         joined: np.ndarray,
         longest: int,
@@ -88,8 +96,8 @@ class PhraseCounts:
     ) -> PhraseCounts:
         """All phrases of up to ``longest`` words that begin in the first ``own`` of a sequence of words.
 
-        ``language`` and ``word`` are places in ``languages`` and ``alphabet``; ``joined`` tells
-        whether a word continues the phrase of the word before it.
+        ``language`` and ``word`` are places in ``languages`` and ``alphabet``, whose words are
+        ``names``; ``joined`` tells whether a word continues the phrase of the word before it.
         """
         kinds, state = np.unique(language[:own], return_inverse=True)
         levels = [Level(kinds, np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64))]
@@ -101,42 +109,43 @@ class PhraseCounts:
                 start, state = start[there], state[there]
                 there = joined[start + length]
                 start, state = start[there], state[there]
-            level, state = _merged(state, word[start + length], np.ones(len(start), np.int64), len(alphabet.codes))
+            level, state = _merged(state, word[start + length], None, len(alphabet))
             levels.append(level)
-        return cls(languages, alphabet, levels)
+        return cls(languages, alphabet, levels, names.taken(levels[1].label))
 
     @classmethod
     def united(cls, parts: list[PhraseCounts]) -> PhraseCounts:
         """The automaton of all phrases of the parts, weights summed."""
         if len(parts) == 1:
             return parts[0]
-        alphabet, places = Alphabet.united([p.alphabet for p in parts])
+        alphabet, place = np.unique(np.concatenate([p.alphabet for p in parts]), return_inverse=True)
+        places = np.split(place, np.cumsum([len(p.alphabet) for p in parts])[:-1])
         languages = sorted({name for p in parts for name in p.languages})
         number = {name: i for i, name in enumerate(languages)}
-        levels, above = [], [np.zeros(1, np.int64)] * len(parts)
+        levels, above, names = [], [np.zeros(1, np.int64)] * len(parts), None
         for depth in range(len(parts[0].levels)):
             own = [p.levels[depth] for p in parts]
             if depth:
-                labels, size = [place[level.label] for place, level in zip(places, own)], len(alphabet.codes)
+                labels, size = [place[level.label] for place, level in zip(places, own)], len(alphabet)
             else:
-                names = [np.array([number[n] for n in p.languages], np.int64) for p in parts]
-                labels, size = [n[level.label] for n, level in zip(names, own)], len(languages)
+                of = [np.array([number[n] for n in p.languages], np.int64) for p in parts]
+                labels, size = [n[level.label] for n, level in zip(of, own)], len(languages)
+            weight = np.concatenate([level.weight for level in own])
             level, state = _merged(
-                np.concatenate([a[level.above] for a, level in zip(above, own)]),
-                np.concatenate(labels),
-                np.concatenate([level.weight for level in own]),
-                size,
+                np.concatenate([a[level.above] for a, level in zip(above, own)]), np.concatenate(labels), weight, size
             )
+            if depth == 1:
+                names = Names.united([p.names for p in parts], weight > 0, state, len(level))
             levels.append(level)
             above = np.split(state, np.cumsum([len(level) for level in own])[:-1])
-        return cls(languages, alphabet, levels)
+        return cls(languages, alphabet, levels, names)
 
     def path_codes(self) -> list[np.ndarray]:
         """A code of every state's whole phrase, by depth."""
         names = np.array([hash_text(n) for n in self.languages], U64)
         codes = [mixed(names[self.levels[0].label])]
         for level in self.levels[1:]:
-            codes.append(mixed(codes[-1][level.above] * _A + self.alphabet.codes[level.label] + _B))
+            codes.append(mixed(codes[-1][level.above] * _A + self.alphabet[level.label] + _B))
         return codes
 
     def cut(self, prefix: int, ranges: int) -> dict[int, PhraseCounts]:
@@ -162,7 +171,8 @@ class PhraseCounts:
                 # ``below`` was collected for the depth underneath.
                 state = np.concatenate([state, self.levels[depth + 1].above[below]])
                 part = np.concatenate([part, of])
-                key = np.unique(part * np.int64(len(self.levels[depth])) + state)
+                key = np.sort(part * np.int64(len(self.levels[depth])) + state)
+                key = key[np.concatenate([[True], key[1:] != key[:-1]])]
                 part, state = np.divmod(key, np.int64(len(self.levels[depth])))
             else:
                 order = np.argsort(part, kind="stable")
@@ -170,19 +180,21 @@ class PhraseCounts:
             members.append((state, part))
         members.reverse()
         for part in np.unique(np.concatenate([p for _, p in members])).tolist():
-            levels, new = [], None
+            levels, new, names = [], None, None
             for depth, (state, parts) in enumerate(members):
                 a, b = np.searchsorted(parts, [part, part + 1])
                 own, level = state[a:b], self.levels[depth]
                 above = np.zeros(len(own), np.int64) if new is None else np.searchsorted(new, level.above[own])
                 weight = np.where(owner[depth][own] == part, level.weight[own], 0)
                 levels.append(Level(level.label[own], above, weight))
+                if depth == 1:
+                    names = self.names.taken(np.where(weight > 0, own, -1))
                 new = own
-            alphabet, place = self.alphabet.of(np.concatenate([level.label for level in levels[1:]]))
+            used, place = np.unique(np.concatenate([level.label for level in levels[1:]]), return_inverse=True)
             at = 0
             for level in levels[1:]:
                 level.label, at = place[at : at + len(level)], at + len(level)
-            out[int(part)] = PhraseCounts(self.languages, alphabet, levels)
+            out[int(part)] = PhraseCounts(self.languages, self.alphabet[used], levels, names)
         return out
 
     def packed(self) -> bytes:
@@ -200,11 +212,12 @@ class PhraseCounts:
             ways = _ranges(first[kept], counts[kept])
             stored.append((weight[kept], counts[kept], level.label[ways], target[ways]))
             target = number
-        words = self.alphabet.words
+        named = np.flatnonzero(self.levels[1].weight)
+        words = self.names.words.take(pa.array(named))
         state = {
             "languages": self.languages,
-            "codes": self.alphabet.codes,
-            "checks": self.alphabet.checks,
+            "alphabet": self.alphabet,
+            "checks": self.names.checks[named],
             "lengths": _small(pc.binary_length(words).to_numpy(zero_copy_only=False)),
             "words": b"".join(words.to_pylist()),
             "states": [tuple(map(_small, arrays)) for arrays in stored],
@@ -228,7 +241,11 @@ class PhraseCounts:
             states = target[ways].astype(np.int64)
             weight = leaf if i == len(stored) - 1 else stored[len(stored) - 2 - i][0]
             levels.append(Level(label[ways].astype(np.int64), above, weight[states].astype(np.int64)))
-        return cls(state["languages"], Alphabet(state["codes"], state["checks"], words), levels)
+        rows = np.full(len(levels[1]), -1, np.int64)
+        named = np.flatnonzero(levels[1].weight)
+        rows[named] = np.arange(len(named))
+        names = Names(np.append(state["checks"], U64(0)), words).taken(rows)
+        return cls(state["languages"], state["alphabet"], levels, names)
 
     def phrases(self, depth: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language and words (as a matrix of places in the alphabet) of states of a depth."""
@@ -243,15 +260,24 @@ def hash_text(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode())
 
 
-def _merged(above: np.ndarray, label: np.ndarray, weight: np.ndarray, size: int) -> tuple[Level, np.ndarray]:
-    """One state per state above and label, in that order, weights summed; and each row's state."""
-    if len(above) and int(above.max()) > (1 << 62) // max(size, 1):
+def _merged(above: np.ndarray, label: np.ndarray, weight: np.ndarray | None, size: int) -> tuple[Level, np.ndarray]:
+    """One state per state above and label, in that order, weights (or rows) summed; and each row's state."""
+    size = np.int64(max(size, 1))
+    if len(above) and int(above.max()) > (1 << 62) // int(size):
         raise OverflowError("too many states in one automaton")
-    key, state = np.unique(above * np.int64(max(size, 1)) + label, return_inverse=True)
-    order = np.argsort(state, kind="stable")
-    first = np.searchsorted(state[order], np.arange(len(key)))
-    total = np.add.reduceat(weight[order], first) if len(key) else np.zeros(0, np.int64)
-    merged_above, merged_label = np.divmod(key, np.int64(max(size, 1)))
+    key = above * size + label
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(fresh)
+    if weight is None:
+        total = np.diff(np.append(first, len(key)))
+    else:
+        total = np.add.reduceat(weight[order], first) if len(first) else np.zeros(0, np.int64)
+    state = np.empty(len(key), np.int64)
+    state[order] = np.cumsum(fresh) - 1
+    merged_above, merged_label = np.divmod(key[first], size)
     return Level(merged_label, merged_above, total.astype(np.int64)), state
 
 

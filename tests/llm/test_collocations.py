@@ -99,18 +99,20 @@ def test_many_sends(spark, monkeypatch):
     for whole in parts:
         for part in whole.cut(2, 11).values():
             got.update(states(PhraseCounts.unpacked(part.packed())))
+    f = Counter({(lang, tuple(module.xxhash.xxh64_intdigest(w) for w in words)): n for (lang, words), n in f.items()})
     assert got == f
     assert states(PhraseCounts.united(parts)) == f
 
 
 def states(whole):
-    words = [w.decode() for w in whole.alphabet.words.to_pylist()]
+    for label, word, weight in zip(whole.levels[1].label, whole.names.words.to_pylist(), whole.levels[1].weight):
+        assert module.xxhash.xxh64_intdigest(word, 0) == whole.alphabet[label] if weight else word == b""
     out = Counter()
     for depth in range(1, len(whole.levels)):
         which = np.flatnonzero(whole.levels[depth].weight)
         language, places = whole.phrases(depth, which)
         for lang, row, weight in zip(language, places, whole.levels[depth].weight[which]):
-            out[whole.languages[lang], tuple(words[i] for i in row)] += int(weight)
+            out[whole.languages[lang], tuple(whole.alphabet[row].tolist())] += int(weight)
     return out
 
 
