@@ -38,7 +38,7 @@ _BLOCK_WORDS = 1 << 18
 _MOST_STATES = 1_000_000
 # Packed automata united at a time, and phrases ranked at a time.
 _TOGETHER = 16
-_RANKED = 100_000
+_RANKED = 10_000
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?\x0a\x0b\x0c\x0d"]] = True

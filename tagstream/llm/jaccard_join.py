@@ -16,6 +16,7 @@ so that crowded keys go. What even then meets under crowded keys alone is compar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,49 +37,79 @@ FEW = 32
 BLOCK = 512
 # Classes whose names are broadcast to find their texts, 32 bytes each.
 MAX_BROADCAST_CLASSES = 1_000_000
+# Crowded keys that are broadcast, eight bytes each.
+MAX_BROADCAST_KEYS = 1_000_000
 
 _SETS = "doc_id bigint, text_hash bigint, n bigint, digest binary, sketch binary, keys array<bigint>"
 _SKETCHED = "a bigint, b bigint, n_a bigint, sketch_a binary, n_b bigint, sketch_b binary"
 _EVERY_KEY = "key bigint, c bigint, band int, needed bigint, pieces bigint"
 _PIECE_BYTES = 1 << 19
 _PIECE_ROWS = 1 << 12
+# Digests of sets a task has seen, so that copies bring no further keys.
+_REMEMBERED = 100_000
 
 
 def _described(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Size, digest, sketch and keys of every text."""
+    """Size, digest, sketch and keys of every text; of equal sets in a task only the first has keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for piece in pieces(batch, "text", _PIECE_BYTES, _PIECE_ROWS):
                 sets = Sets.of(piece.column("text"), shingle)
-                keys = sets.keys(percent)
-                ends = np.searchsorted(keys.text, np.arange(len(piece) + 1)).astype(np.int32)
+                keys, digests = sets.keys(percent), sets.digests()
+                new = np.array([not (d in seen or seen.add(d)) for d in digests], bool)
+                own = new[keys.text]
+                ends = np.searchsorted(keys.text[own], np.arange(len(piece) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
                         piece.column("text_hash"),
                         pa.array(sets.sizes, pa.int64()),
-                        pa.array(sets.digests(), pa.binary()),
+                        pa.array(digests, pa.binary()),
                         pa.array(sets.sketches(), pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.key)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.key[own])),
                     ],
                     names=["doc_id", "text_hash", "n", "digest", "sketch", "keys"],
                 )
+                if len(seen) > _REMEMBERED:
+                    seen.clear()
 
     return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, _SETS)
 
 
+def _classes(described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with the number ``c`` of their class, and per class ``c, rep, least``.
+
+    The number is a hash of the digest. A salt under which two digests have one number is found
+    out and replaced by the next.
+    """
+    for salt in count():
+        rows = described.withColumn("c", F.xxhash64("digest", F.lit(salt)))
+        classes = rows.filter("n > 0").groupBy("c").agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("rep"),
+            F.min("doc_id").alias("least"),
+            F.min("digest").alias("x"),
+            F.max("digest").alias("y"),
+        )
+        classes = checkpointed(classes)
+        if classes.filter("x <> y").isEmpty():
+            return rows, classes.drop("x", "y")
+
+
 class _Join:
-    """Classes of equal sets (``c, digest, n, sketch, keys, rep, least``) and what it takes to link them."""
+    """Classes of equal sets (``c, rep, least``), their rows (``c, n, sketch, keys``) and what it takes to link them."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, shingle: int, percent: int, few: int, block: int):
-        self.docs, self.classes, self.shingle, self.percent = docs, classes, shingle, percent
+    def __init__(
+        self, docs: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, percent: int, few: int, block: int
+    ):
+        self.docs, self.rows, self.classes, self.shingle, self.percent = docs, rows, classes, shingle, percent
         self.few, self.block = few, block
         self._known: tuple[DataFrame, DataFrame] | None = None
 
     def links(self) -> DataFrame:
         """Verified links ``a, b`` that connect all classes that links connect."""
-        keys = self.classes.select("c", F.explode("keys").alias("key"))
+        keys = self.rows.select("c", F.explode("keys").alias("key"))
         groups, crowded = self._met(keys)
         found = self._verified(self._to_the_least(groups, crowded))
         found = self._with_those_apart(found, groups)
@@ -106,14 +137,19 @@ class _Join:
 
     def _met(self, keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """Classes that meet under a key, as lists of a few; and ``key, c`` of crowded keys (None: there are none)."""
-        full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > self.few)
+        n, ends = F.count(F.lit(1)).alias("n"), (F.min("c").alias("x"), F.max("c").alias("y"))
+        full = keys.groupBy("key").agg(n, *ends).filter((F.col("n") > self.few) & F.expr("x <> y"))
         full = checkpointed(full.select("key"))
-        crowded = None
-        if not full.isEmpty():
-            crowded = checkpointed(keys.join(full, "key", "left_semi"))
+        n_full, crowded = full.count(), None
+        if n_full:
+            if n_full <= MAX_BROADCAST_KEYS:
+                full = F.broadcast(full)
+            crowded = checkpointed(keys.join(full, "key", "left_semi").select("key", "c").distinct())
             keys = keys.join(full, "key", "left_anti")
-        # Dealt as they are: few keys are met twice, and none by more than a few now.
-        lists = keys.repartition("key").groupBy("key").agg(F.sort_array(F.collect_list("c")).alias("members"))
+        if n_full <= MAX_BROADCAST_KEYS:
+            # Dealt as they are: few keys are met twice, so that reducing before would only cost.
+            keys = keys.repartition("key")
+        lists = keys.groupBy("key").agg(F.sort_array(F.collect_set("c")).alias("members"))
         return checkpointed(lists.filter(F.size("members") > 1).select("members").distinct()), crowded
 
     def _to_the_least(self, groups: DataFrame, crowded: DataFrame | None) -> DataFrame:
@@ -149,13 +185,21 @@ class _Join:
         ends = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
         return rooted.join(ends.filter("x <> y").select("key"), "key", "left_semi").select("key", "c", "root")
 
+    def _sketches(self, wanted: DataFrame) -> DataFrame:
+        """``c, n, sketch`` of the wanted classes (a checkpointed table of ``c``)."""
+        rows = self.rows.select("c", "n", "sketch").join(self._small(wanted), "c", "left_semi")
+        return checkpointed(rows.groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+
+    def _small(self, wanted: DataFrame) -> DataFrame:
+        """Broadcast, if the table of classes is small enough for that."""
+        return F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_CLASSES else wanted
+
     def _texts(self, wanted: DataFrame) -> DataFrame:
         """``c`` and a text of each of the wanted classes (a checkpointed table of ``c``)."""
         named = wanted.join(self.classes.select("c", "rep"), "c").select(
             "c", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")
         )
-        if wanted.count() <= MAX_BROADCAST_CLASSES:
-            named = F.broadcast(named)
+        named = self._small(checkpointed(named))
         same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash"))
         rows = self.docs.withColumn("text_hash", F.xxhash64("text")).join(named, same)
         return rows.select("c", "text")
@@ -199,7 +243,8 @@ class _Join:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that reach the similarity: first by their sketches, then by their tokens."""
         percent = self.percent
-        sketches = self.classes.select("c", "n", "sketch")
+        pairs = checkpointed(pairs)
+        sketches = self._sketches(checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
         near = checkpointed(
             self._both(pairs, sketches, ["n", "sketch"])
             .mapInArrow(_filter(lambda row: _may_be_similar(row, percent)), _SKETCHED)
@@ -234,7 +279,7 @@ class _Join:
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select(
             "key", "c", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        ).join(self.classes.select("c", "n", "sketch"), "c")
+        ).join(self._sketches(checkpointed(rows.select("c").distinct())), "c")
 
         def run(table: pa.Table) -> pa.Table:
             c, root, own, n = (table.column(x).to_numpy() for x in ("c", "root", "own", "n"))
@@ -308,19 +353,13 @@ def similar_documents(
     path = scratch_dir(docs.sparkSession, "jaccard")
     _described(rows, shingle, percent).write.parquet(path)
     described = docs.sparkSession.read.parquet(path)
-    classes = described.filter("n > 0").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("rep"),
-        F.min("doc_id").alias("least"),
-        *[F.first(x).alias(x) for x in ("n", "sketch", "keys")],
-    )
-    classes = checkpointed(classes.withColumn("c", F.monotonically_increasing_id()))
-    found = _Join(rows, classes, shingle, percent, few, block).links()
+    described, classes = _classes(described)
+    found = _Join(rows, described, classes, shingle, percent, few, block).links()
     roots = components(found).withColumnRenamed("node", "c")
-    rooted = classes.select("c", "digest", "least").join(roots, "c", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "c"))
+    rooted = classes.select("c", "least").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("digest", "component_id", F.lit(True).alias("named"))
-    return described.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left").select(
+    named = rooted.join(names, "root").select("c", "component_id")
+    return described.select("doc_id", F.col("n").alias("n_shingles"), "digest", "c").join(named, "c", "left").select(
         "doc_id",
         "n_shingles",
         # The empty set's rows have a name each, their own.
