@@ -214,7 +214,8 @@ def phrase_counts(
     )
     ranges = max(shuffle_partitions(docs.sparkSession), text_bytes(texts) // RANGE_BYTES + 1)
     for seed in count():
-        packed = _packed_parts(texts, longest, ranges, seed).repartition(ranges, "part")
+        # A task per range: hashing the few numbers would deal several to one task.
+        packed = _packed_parts(texts, longest, ranges, seed).repartitionById(ranges, "part")
         states = checkpointed(_frequent(packed, least))
         if not states.filter("clash").isEmpty():
             continue

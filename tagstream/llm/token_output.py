@@ -240,8 +240,9 @@ def write_tokens(
     """Write every text's ids and the end id to ``path``, ascending by identifier.
 
     ``tokenizer`` is a byte-level BPE file. Null texts are empty (the end id alone), null
-    identifiers come first, rows of one identifier are ordered by their text; an empty table
-    gives files without rows.
+    identifiers come first, rows of one identifier are ordered by a hash of their text, then by the
+    text, so that many of them are dealt to many tasks; an empty table gives files without rows.
+    A very long text is encoded alone; its pieces and ids take some 30 bytes per byte of it.
     """
     rows = documents(docs, doc_id, text)
     parts = max(shuffle_partitions(docs.sparkSession), text_bytes(rows) // part_bytes + 1)
@@ -267,9 +268,10 @@ def write_tokens(
                     names=["part", "doc_id", "first", "n_tokens", "ids"],
                 )
 
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(parts, "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")
     (
-        ordered.mapInArrow(run, FILE_SCHEMA)
+        ordered.drop("text_hash").mapInArrow(run, FILE_SCHEMA)
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.stripe.size", stripe_bytes)
         .option("orc.row.index.stride", rows_per_index)

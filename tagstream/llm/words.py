@@ -15,8 +15,9 @@ _IS_BLANK[list(BLANKS)] = True
 
 # Odd multipliers, so that powers can be inverted modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-# Longer words are hashed one by one, which bounds the table of powers.
-LONG_WORD = 1 << 16
+# Longer words are hashed one by one with a keyed digest: polynomials modulo 2**64 collide for
+# some pairs of words of 1024 letters and more, whatever the base.
+LONG_WORD = 1 << 6
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -95,7 +96,7 @@ class Words:
         self.cut = self.ends[which]
 
     def hashes(self, base: int = BASES[0]) -> np.ndarray:
-        """A 64-bit hash per word, equal for equal words of any document."""
+        """A 64-bit hash per word, equal for equal words of any document; independent for another base."""
         lengths = self.ends - self.starts
         if not len(lengths):
             return np.zeros(0, U64)

@@ -15,3 +15,12 @@ def clashing(df):
 
     names = ["bucket", "part", "words", "n_words", "key", "spans", "score", "h", "tokens", "fingerprint", "id", "n"]
     return df.select("*", *[F.lit(n).alias(n) for n in names if n not in df.columns])
+
+
+def alike_words(n):
+    """Two words of ``n`` letters (a power of two) that follow the Thue-Morse pattern and its complement.
+
+    From 1024 letters on they have equal polynomial hashes modulo 2**64 for every odd base.
+    """
+    bits = [i.bit_count() % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from tagstream.llm.substring_dedup import remove_repeats
-from tests.llm.tables import clashing, docs
+from tests.llm.tables import alike_words, clashing, docs
 
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -109,3 +109,15 @@ def test_many_repeated_rows(spark, monkeypatch, broadcast):
         for r in remove_repeats(docs(spark, rows), 5).collect()
     ]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_words_of_like_polynomials(spark):
+    """Documents that share 34 words beside such a pair of words keep all; with the same word all 35 go."""
+    texts = []
+    for power in range(6, 17):
+        one, other = alike_words(1 << power)
+        shared = " ".join(f"s{power}x{i}" for i in range(34))
+        texts += [f"{one} {shared}", f"{other} {shared}", f"{shared} {one}", f"{shared} {one}"]
+    got = found(remove_repeats(docs(spark, texts), 35))
+    assert got == dict(enumerate(brute(texts, 35)))
+    assert [got[i][1] for i in sorted(got)] == [0, 0, 35, 35] * 11

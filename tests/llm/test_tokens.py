@@ -4,13 +4,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tagstream.llm.token_counts import PieceCounts, count_tokens, prove_whole_tokens
 from tagstream.llm.token_output import ByteLevelIds, read_tokens, token_index, write_tokens
-from tests.llm.tables import clashing, docs
+from tests.llm.tables import alike_words, clashing, docs
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -105,9 +106,16 @@ def test_count_query(spark):
     assert [r.doc_id for r in count_tokens(docs(spark, [(None, "a"), (1, "a"), (1, "a")]), WORD).collect()] == [None, 1, 1]
 
 
+def place(row):
+    """By identifier, then by Spark's hash of the text (a null's is the seed), then by the text."""
+    i, t = row
+    code = 42 if t is None else np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)
+    return i is not None, i or 0, code, t is not None, (t or "").encode()
+
+
 def expected(rows):
     tokenizer, start, out = Tokenizer.from_file(BYTE), 0, []
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    for i, t in sorted(rows, key=place):
         own = np.array(ids(tokenizer, t) + [2], "<u4")
         out.append((i, start, len(own), zlib.crc32(own.tobytes())))
         start += len(own)
@@ -130,3 +138,22 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "ids")
     write_tokens(docs(spark, []), path, BYTE, 2)
     assert token_index(spark, path).collect() == []
+
+
+def test_pieces_of_like_polynomials(byte):
+    for power in range(6, 17):
+        one, other = alike_words(1 << power)
+        texts = [f"so {one} it", f"so {other} it", f"{one}\n{other}."]
+        encoder = ByteLevelIds(BYTE)
+        assert [x.tolist() for x in encoder.of_texts(texts)] == [ids(byte[0], t) for t in texts]
+
+
+def test_one_identifier_is_dealt_to_several_tasks(spark, tmp_path):
+    """A third of all rows may share an identifier, or have none."""
+    rows = [(None if i % 3 else 7, f"text number {i}") for i in range(600)]
+    write_tokens(docs(spark, rows), str(tmp_path / "t"), BYTE, 2, part_bytes=1000)
+    parts = read_tokens(spark, str(tmp_path / "t")).groupBy("part").count().collect()
+    assert len(parts) > 4 and max(r["count"] for r in parts) < 300
+    got = token_index(spark, str(tmp_path / "t")).orderBy("start").collect()
+    assert len(got) == 600 and [r.doc_id for r in got] == [None] * 400 + [7] * 200
+    assert [r.start for r in got[1:]] == [a.start + a.n_tokens for a in got[:-1]]
