@@ -123,12 +123,29 @@ def latest_entries(
     latest = last_write_wins(rows, keys, F.col("ver"))
     if not isinstance(db, str):
         latest = latest.withColumn("db", F.lit(db).cast("int"))
+    entries = _entries(latest, prefix, key_columns, *keep)
+    return with_expiry(entries, instant(written_at), ttl_seconds).drop(*keep)
+
+
+def message_entries(
+    readings: DataFrame,
+    written_at: datetime | Column | None = None,
+    ttl_seconds: int | None = None,
+    prefix: str = CACHE_PREFIX,
+    db: int = CACHE_DB,
+    key_columns: tuple[str, ...] = (),
+) -> DataFrame:
+    """A cache entry per usable reading, as it comes; what reads them lets the highest version win."""
+    rows = readings.withColumns({"ver": version(), "db": F.lit(db).cast("int")})
+    return with_expiry(_entries(rows, prefix, key_columns), instant(written_at), ttl_seconds)
+
+
+def _entries(rows: DataFrame, prefix: str, key_columns: tuple[str, ...], *keep: str) -> DataFrame:
     key = cache_key(F.col("time"), prefix, *[F.col(c) for c in key_columns])
-    entries = latest.select(
+    return rows.select(
         "db",
         key.alias("key"),
         J.body_with_epoch(F.col("body"), F.col("time")).alias("value"),
         "ver",
         *keep,
     )
-    return with_expiry(entries, instant(written_at), ttl_seconds).drop(*keep)

@@ -58,6 +58,12 @@ SELECT m.part, m.off FROM m LEFT JOIN positions p ON m.part = p.part
 WHERE m.off >= coalesce(p.next_offset, 0)
 """
 
+_STARTED = f"""{_M},
+ends AS (SELECT part, max(off) + 1 AS next_offset FROM m WHERE ts < {_MIDDLE} GROUP BY part)
+SELECT m.part, m.off FROM m LEFT JOIN ends e ON m.part = e.part
+WHERE m.off >= coalesce(e.next_offset, 0)
+"""
+
 ORACLE: dict[str, str] = {
     "message_source": f"""{_M}
         SELECT 'readings' AS topic, part, off,
@@ -137,10 +143,11 @@ ORACLE: dict[str, str] = {
         WHERE m.off >= coalesce(a.next_offset, 0)""",
     "resume_from_offsets_strict": f"""{_POSITIONS}
         SELECT m.part, m.off FROM m JOIN positions p ON m.part = p.part WHERE m.off >= p.next_offset""",
-    "start_latest": f"""{_M},
-        ends AS (SELECT part, max(off) + 1 AS next_offset FROM m WHERE ts < {_MIDDLE} GROUP BY part)
-        SELECT m.part, m.off FROM m LEFT JOIN ends e ON m.part = e.part
-        WHERE m.off >= coalesce(e.next_offset, 0)""",
+    "resume_pruned_log": _RESUMED,
+    "stream_resume_from_offsets": _RESUMED,
+    "start_latest": _STARTED,
+    "stream_start_latest": _STARTED,
+    "stream_pipelined_write": _LATEST,
     "stream_latest_store": _LATEST,
     "stream_insert_ignore": _FIRST,
     "batch_report": f"""{_M}

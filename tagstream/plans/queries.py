@@ -16,6 +16,7 @@ from tagstream.operators.keyed import current, first_write_wins, insert_ignore,
 from tagstream.operators.messages import (
     cache_key,
     latest_entries,
+    message_entries,
     parse_readings,
     project_messages,
     quarantined,
@@ -29,10 +30,16 @@ from tagstream.operators.tableschema import conform, infer_table_columns, reject
 from tagstream.plans import logs
 from tagstream.plans.logs import dense_log, event_id, long_log, mixed_log, rolled_log, user_log
 from tagstream.session import scratch_dir
-from tagstream.sinks.cache_store import CacheStore
+from tagstream.sinks.cache_store import KEY, CacheStore
+from tagstream.sinks.pipelined import EntryFiles, start_pipelined
 from tagstream.sinks.producer import producer_records as to_records
 from tagstream.sinks.table import ParquetTable
-from tagstream.sources.message_log import stream_message_log
+from tagstream.sources.log_stream import resume_stored_stream, stream_stored_log
+from tagstream.sources.message_log import (
+    resume_stored_log,
+    stream_message_log,
+    write_message_log,
+)
 from tagstream.streaming.jobs import DISCARD, CacheJob, TableJob, quarantine_store
 
 MIDDLE = datetime(2024, 1, 15, tzinfo=timezone.utc)
@@ -280,6 +287,61 @@ def start_at_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _before_middle():
+    return F.col("timestamp") < F.timestamp_seconds(F.lit(int(MIDDLE.timestamp())))
+
+
+def _place(messages: DataFrame) -> DataFrame:
+    return messages.select(F.col("partition").alias("part"), F.col("offset").alias("off"))
+
+
+def _stored_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    write_message_log(dense_log(spark, sf_dir), path, max(8, logs.events(spark, sf_dir).count() // FILE_MESSAGES))
+
+
+def resume_pruned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rest of a stored log; files before the positions are not read."""
+    path = f"{scratch_dir(spark, 'resume_pruned_log')}/log"
+    _stored_log(spark, sf_dir, path)
+    return _place(resume_stored_log(spark, path, _positions_at_middle(spark, sf_dir), "cache"))
+
+
+def _streamed_places(stream: DataFrame, root: str) -> None:
+    """Run a stream over all there is, writing where its messages stood."""
+    writer = _place(stream).writeStream.format("parquet").option("path", f"{root}/out")
+    query = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def stream_resume_from_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at stored positions."""
+    root = scratch_dir(spark, "stream_resume_from_offsets")
+    _stored_log(spark, sf_dir, f"{root}/log")
+    stream = resume_stored_stream(spark, f"{root}/log", _positions_at_middle(spark, sf_dir), "cache")
+    _streamed_places(stream, root)
+    return spark.read.schema("part INT, off BIGINT").parquet(f"{root}/out")
+
+
+def stream_start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream without positions: started on half a log, it reads what arrives after that, also after a restart."""
+    root = scratch_dir(spark, "stream_start_latest")
+    log = dense_log(spark, sf_dir)
+    write_message_log(log.filter(_before_middle()), f"{root}/log", 4)
+    _streamed_places(stream_stored_log(spark, f"{root}/log"), root)
+    write_message_log(log.filter(~_before_middle()), f"{root}/log", 4)
+    _streamed_places(stream_stored_log(spark, f"{root}/log"), root)
+    return spark.read.schema("part INT, off BIGINT").parquet(f"{root}/out")
+
+
+def stream_pipelined_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading written by the tasks of the stream; the files of committed batches are read."""
+    root = scratch_dir(spark, "stream_pipelined_write")
+    entries = message_entries(usable(parse_readings(_log_stream(spark, sf_dir, root))), AFTER)
+    target = EntryFiles(f"{root}/entries")
+    start_pipelined(entries, target, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return current(target.read(spark), KEY, AFTER).select("key", _stored_tag(VALUE, "val"))
+
+
 def _log_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """The log as files of the message schema, streamed in about four batches."""
     files = max(4, logs.events(spark, sf_dir).count() // FILE_MESSAGES)
@@ -381,6 +443,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resume_by_join": resume_from_offsets,
     "resume_from_offsets_two_groups": resume_from_offsets_two_groups,
     "start_latest": start_at_latest,
+    "resume_pruned_log": resume_pruned_log,
+    "stream_resume_from_offsets": stream_resume_from_offsets,
+    "stream_start_latest": stream_start_latest,
+    "stream_pipelined_write": stream_pipelined_write,
     "stream_latest_store": stream_latest_store,
     "stream_latest_by_extra_key": stream_latest_by_extra_key,
     "stream_quarantine": stream_quarantine,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have Spark hand this package to its Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = Path(__file__).parent
+        target = Path(tempfile.mkdtemp(prefix="tagstream-")) / root.name
+        spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", root.parent, root.name))
+        _shipped.add(application)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below the one the cluster names in ``spark.checkpoint.dir``.
 

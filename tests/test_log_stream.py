@@ -1,0 +1,152 @@
+import glob
+import json
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagstream.operators.offsets import resume
+from tagstream.sources.files import shared_folder
+from tagstream.sources.log_stream import LogStreamReader, read_range, resume_stored_stream, stream_stored_log
+from tagstream.sources.message_log import read_message_log, resume_stored_log, write_message_log
+from tests.messages import frame, message
+from tests.test_offsets import POSITION, offsets
+
+TOPICS = ("a", "b:odd name")
+
+
+def messages(spark, begin, end, partitions=(0, 1, 2), topics=TOPICS):
+    return frame(spark, [
+        message(f"{t}{p}{o}", partition=p, offset=o, topic=t, at=o) for t in topics for p in partitions for o in range(begin, end)
+    ])
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_message_log(messages(spark, 0, 40), path, 24)
+    return path
+
+
+def run(spark, stream, tmp_path, name="run"):
+    """What one run over all there is has read, by batch."""
+    out = str(tmp_path / name)
+    query = (
+        stream.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", str(tmp_path / f"{name}-checkpoint")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return sorted((r.topic, r.partition, r.offset) for r in spark.read.parquet(out).collect())
+
+
+def places(begin, end, partitions=(0, 1, 2), topics=TOPICS):
+    return sorted((t, p, o) for t in topics for p in partitions for o in range(begin, end))
+
+
+def test_a_restart_reads_nothing_twice(spark, log, tmp_path):
+    assert run(spark, stream_stored_log(spark, log, start="earliest"), tmp_path) == places(0, 40)
+    assert run(spark, stream_stored_log(spark, log, start="earliest"), tmp_path) == places(0, 40)
+    write_message_log(messages(spark, 40, 55), log, 5)
+    # The checkpoint decides, whatever the start says.
+    assert run(spark, stream_stored_log(spark, log, start="latest"), tmp_path) == places(0, 55)
+
+
+def test_newest(spark, log, tmp_path):
+    assert run(spark, stream_stored_log(spark, log), tmp_path) == []
+    write_message_log(messages(spark, 40, 42), log, 2)
+    assert run(spark, stream_stored_log(spark, log), tmp_path) == places(40, 42)
+
+
+def test_a_partition_added_later_is_read_from_its_start(spark, log, tmp_path):
+    run(spark, stream_stored_log(spark, log), tmp_path)
+    write_message_log(messages(spark, 0, 5, partitions=(7,)), log, 1)
+    write_message_log(messages(spark, 3, 6, topics=("late",)), log, 1)
+    want = sorted(places(0, 5, (7,)) + places(3, 6, topics=("late",)))
+    assert run(spark, stream_stored_log(spark, log), tmp_path) == want
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_stored_positions(spark, log, tmp_path, strict):
+    known = [("g", "a", 0, 33), ("g", "a", 0, 12), ("g", "a", 1, 40), ("g", TOPICS[1], 2, 0), ("h", "a", 2, 39)]
+    stored = spark.createDataFrame(known, POSITION)
+    want = sorted(offsets(resume(read_message_log(spark, log), stored, "g", strict)))
+    assert run(spark, resume_stored_stream(spark, log, stored, "g", strict), tmp_path) == want
+    write_message_log(messages(spark, 40, 41), log, 2)
+    more = places(40, 41) if not strict else [("a", 0, 40), ("a", 1, 40), (TOPICS[1], 2, 40)]
+    assert run(spark, resume_stored_stream(spark, log, stored, "g", strict), tmp_path) == sorted(want + more)
+
+
+def test_no_positions_means_the_newest(spark, log, tmp_path):
+    stored = spark.createDataFrame([("other", "a", 0, 1)], POSITION)
+    assert run(spark, resume_stored_stream(spark, log, stored, "g"), tmp_path) == []
+
+
+def test_columns_as_they_were(spark, log, tmp_path):
+    out = str(tmp_path / "out")
+    stream = stream_stored_log(spark, log, start="earliest")
+    assert stream.schema == read_message_log(spark, log).select(*stream.columns).schema
+    query = stream.writeStream.format("parquet").option("path", out)
+    query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    written = spark.read.parquet(out)
+    assert written.exceptAll(read_message_log(spark, log).select(*written.columns)).isEmpty() and written.count() == 240
+
+
+def test_planned_ranges(spark, log):
+    """Only files that a range of offsets meets, and of these only the row groups."""
+    reader = LogStreamReader({"path": log, "startingOffsets": "earliest"})
+    assert reader.initialOffset() == {}
+    end = reader.latestOffset()
+    assert end == {t: {str(p): 40 for p in (0, 1, 2)} for t in TOPICS}
+    start = json.loads(json.dumps(end))
+    start["a"]["1"] = 37
+    parts = reader.partitions(start, end)
+    assert {(p.topic, p.partition, p.start, p.end) for p in parts} == {("a", 1, 37, 40)}
+    assert sum(len(b) for p in parts for b in read_range(log, p)) == 3
+    assert len(parts) < len(glob.glob(f"{log}/topic=a/partition=1/*.parquet"))
+    assert reader.partitions(end, end) == []
+
+
+def test_a_log_that_is_not_there(spark, tmp_path):
+    reader = LogStreamReader({"path": str(tmp_path / "none")})
+    assert reader.initialOffset() == {} == reader.latestOffset()
+    with pytest.raises(ValueError):
+        stream_stored_log(spark, str(tmp_path), start="middle")
+
+
+def test_folders():
+    for path in ("/tmp/x", "file:/tmp/x", "file:///tmp/x"):
+        assert shared_folder(path)[1] == "/tmp/x"
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("scans", [1, 2, 16])
+def test_pruned_resume(spark, log, strict, scans):
+    known = [("g", "a", 0, 33), ("g", "a", 0, 12), ("g", "a", 1, 40), ("g", TOPICS[1], 2, 0), ("h", "a", 2, 39), ("g", "gone", 0, 3)]
+    stored = spark.createDataFrame(known, POSITION)
+    got = resume_stored_log(spark, log, stored, "g", strict, scans)
+    want = resume(read_message_log(spark, log), stored, "g", strict)
+    assert offsets(got) == offsets(want) and got.count() == want.count() and got.columns == want.columns
+
+
+def test_pruned_resume_without_positions(spark, log):
+    stored = spark.createDataFrame([], POSITION)
+    assert resume_stored_log(spark, log, stored, "g").count() == 240
+    assert resume_stored_log(spark, log, stored, "g", strict=True).count() == 0
+
+
+def test_what_lies_before_is_not_read(spark, log):
+    """Folders are pruned and the bound is pushed; of the files only those are opened that reach it."""
+    stored = spark.createDataFrame([("g", "a", 0, 39), ("g", "a", 1, 20)], POSITION)
+    rest = resume_stored_log(spark, log, stored, "g", strict=True)
+    text = rest._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", text)
+    assert len(scans) == 2 and all("topic" in parts and "partition" in parts for parts, _ in scans)
+    assert {re.search(r"GreaterThanOrEqual\(offset,(\d+)\)", pushed)[1] for _, pushed in scans} == {"39", "20"}
+    read = {r.f for r in rest.select(F.input_file_name().alias("f")).distinct().collect()}
+    there = glob.glob(f"{log}/topic=a/partition=[01]/*.parquet")
+    assert 0 < len(read) < len(there)
+    assert all("topic=a" in f and re.search("partition=[01]", f) for f in read)
+    # Of partition 0 only the last file holds messages from offset 39 on.
+    assert len([f for f in read if "partition=0" in f]) == 1 < len([f for f in there if "partition=0" in f])
+    assert os.path.isdir(f"{log}/topic=b%3Aodd name")

@@ -1,0 +1,153 @@
+import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tagstream.operators.keyed import current
+from tagstream.operators.messages import latest_entries, message_entries, parse_readings, usable
+from tagstream.sinks.cache_store import KEY
+from tagstream.sinks.pipelined import (
+    ENTRIES,
+    EntryFiles,
+    PipelinedWriter,
+    ServerTarget,
+    Written,
+    pipelined_format,
+    start_pipelined,
+)
+from tagstream.sources.message_log import stream_message_log
+from tests.messages import START, frame
+from tests.test_jobs import LOG, write_files
+from tests.test_key_value import file_writer, files
+from tests.test_keyed import at
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_files(spark, path, LOG)
+    return path
+
+
+def entries_of(spark, path, files_per_batch=2):
+    readings = usable(parse_readings(stream_message_log(spark, path, files_per_batch)))
+    return message_entries(readings, START, 600)
+
+
+def run(spark, path, target, tmp_path, **more):
+    query = start_pipelined(entries_of(spark, path), target, str(tmp_path / "checkpoint"), available_now=True, **more)
+    query.awaitTermination()
+
+
+def shown(target, spark):
+    return {r.key: json.loads(r.value) for r in current(target.read(spark), KEY, at(0)).collect()}
+
+
+def expected(spark):
+    rows = latest_entries(usable(parse_readings(frame(spark, LOG))), START, 600).collect()
+    return {r.key: json.loads(r.value) for r in rows}
+
+
+def test_only_commits_are_visible(spark, log, tmp_path):
+    target = EntryFiles(str(tmp_path / "entries"))
+    assert target.read(spark).isEmpty()
+    run(spark, log, target, tmp_path, chunk_rows=3)
+    assert shown(target, spark) == expected(spark)
+    assert target.read(spark).schema == spark.createDataFrame([], ENTRIES).schema
+    committed = sorted(os.listdir(tmp_path / "entries" / "commits"))
+    assert committed == ["0.json", "1.json", "2.json"]
+    named = {n for c in committed for n in json.load(open(tmp_path / "entries" / "commits" / c))}
+    assert named == set(os.listdir(tmp_path / "entries" / "files"))
+    # A file that no commit names is not read.
+    (tmp_path / "entries" / "files" / "lost.parquet").write_bytes(b"unfinished")
+    assert shown(target, spark) == expected(spark)
+
+
+def test_restart_goes_on(spark, log, tmp_path):
+    target = EntryFiles(str(tmp_path / "entries"))
+    run(spark, log, target, tmp_path)
+    n = target.read(spark).count()
+    run(spark, log, target, tmp_path)
+    assert target.read(spark).count() == n == sum("ping" not in str(m[1]) for m in LOG)
+
+
+def test_a_replayed_batch_changes_nothing(spark, log, tmp_path):
+    """The batch was committed by the target, but Spark did not get to note it."""
+    target = EntryFiles(str(tmp_path / "entries"))
+    run(spark, log, target, tmp_path)
+    before, there = shown(target, spark), os.listdir(tmp_path / "entries" / "files")
+    for name in ("2", ".2.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    run(spark, log, target, tmp_path)
+    assert shown(target, spark) == before
+    assert sorted(os.listdir(tmp_path / "entries" / "files")) == sorted(there)
+
+
+class Refusing(EntryFiles):
+    """Fails on a key, after it has written."""
+
+    def open(self):
+        task = super().open()
+        put = task.put
+
+        def refusing(chunk):
+            put(chunk)
+            if any(k.endswith("4") for k in chunk.column("key").to_pylist()):
+                raise OSError("refused")
+
+        task.put = refusing
+        return task
+
+
+def test_a_failing_task(spark, log, tmp_path):
+    """Nothing of its batch is visible or left; what came before is, and a restart writes the batch."""
+    root = str(tmp_path / "entries")
+    with pytest.raises(StreamingQueryException):
+        run(spark, log, Refusing(root), tmp_path, chunk_rows=2)
+    target = EntryFiles(root)
+    assert target.read(spark).isEmpty() and os.listdir(tmp_path / "entries" / "files") == []
+    run(spark, log, target, tmp_path)
+    assert shown(target, spark) == expected(spark)
+
+
+def test_an_empty_partition_opens_nothing(spark, tmp_path):
+    path = str(tmp_path / "log")
+    frame(spark, [m for m in LOG if m[1] == b"ping"]).coalesce(1).write.parquet(path)
+    target = EntryFiles(str(tmp_path / "entries"))
+    run(spark, path, target, tmp_path)
+    assert not (tmp_path / "entries" / "files").exists() and target.read(spark).isEmpty()
+    assert PipelinedWriter(target).write(iter([])) == Written(0, None)
+
+
+def test_messages_of_lost_tasks(tmp_path):
+    """A task that failed tells nothing."""
+    target = EntryFiles(str(tmp_path))
+    writer = PipelinedWriter(target)
+    writer.abort([None, Written(0, None), Written(3, "gone.parquet")], 0)
+    writer.commit([Written(0, None)], 1)
+    assert json.load(open(tmp_path / "commits" / "1.json")) == []
+
+
+def test_to_a_server(spark, log, tmp_path):
+    folder = tmp_path / "server"
+    folder.mkdir()
+    run(spark, log, ServerTarget(file_writer(str(folder))), tmp_path, chunk_rows=4)
+    lines = list(files(folder).values())
+    assert all(own[-1] == "closed" for own in lines)
+    chunks = [json.loads(line) for own in lines for line in own[:-1]]
+    assert max(map(len, chunks)) <= 4 and {ttl for c in chunks for _, _, ttl in c} == {600}
+    assert sum(map(len, chunks)) == sum("ping" not in str(m[1]) for m in LOG)
+
+
+def test_a_name_of_its_own(spark):
+    assert pipelined_format(EntryFiles("x"), name="mine").name() == "mine"
+
+
+def test_entries_per_message(spark):
+    rows = message_entries(usable(parse_readings(frame(spark, LOG))), START, 600)
+    latest = latest_entries(usable(parse_readings(frame(spark, LOG))), START, 600)
+    reduced = current(rows, KEY, at(0)).select(*latest.columns)
+    assert reduced.exceptAll(latest).isEmpty() and reduced.count() == latest.count()
+    assert rows.select(F.count("value")).first()[0] == 54
