@@ -6,7 +6,7 @@ distance, a lower bound of the sets' symmetric difference, rules most chance mee
 rest is verified on the tokens of the whole texts.
 
 Only what decides the components is verified. Every class under a key is first held against the
-smallest one there; then, of the classes that are still apart, each with each, as long as a key
+smallest one there; then those that are not linked to it against all others, as long as a key
 has few. A key of very many classes (a passage that a third of all texts hold, a family of
 thousands of near copies) is never taken apart into pairs: if its classes are not connected by
 then, all their pieces are named, and each class needs only as many keys as cannot all be lost,
@@ -37,8 +37,6 @@ FEW = 32
 BLOCK = 512
 # Classes whose names are broadcast to find their texts, 32 bytes each.
 MAX_BROADCAST_CLASSES = 1_000_000
-# Crowded keys that are broadcast, eight bytes each.
-MAX_BROADCAST_KEYS = 1_000_000
 
 _SETS = "doc_id bigint, text_hash bigint, n bigint, digest binary, sketch binary, keys array<bigint>"
 _SKETCHED = "a bigint, b bigint, n_a bigint, sketch_a binary, n_b bigint, sketch_b binary"
@@ -105,85 +103,70 @@ class _Join:
     ):
         self.docs, self.rows, self.classes, self.shingle, self.percent = docs, rows, classes, shingle, percent
         self.few, self.block = few, block
-        self._known: tuple[DataFrame, DataFrame] | None = None
 
     def links(self) -> DataFrame:
         """Verified links ``a, b`` that connect all classes that links connect."""
-        keys = self.rows.select("c", F.explode("keys").alias("key"))
-        groups, crowded = self._met(keys)
-        found = self._verified(self._to_the_least(groups, crowded))
-        found = self._with_those_apart(found, groups)
-        if crowded is None:
+        met = self._met(self.rows.select("c", F.explode("keys").alias("key")))
+        found = self._verified(met.filter("c <> least").select(F.col("least").alias("a"), F.col("c").alias("b")))
+        tied = found.select(F.col("a").alias("least"), F.col("b").alias("c"), F.lit(True).alias("tied"))
+        met = checkpointed(met.join(tied, ["least", "c"], "left").withColumn("tied", F.expr("tied OR c = least")))
+        found = self._more(found, self._among_few(met))
+        crowded = met.filter(F.col("n") > self.few)
+        if crowded.filter("tied IS NULL").isEmpty():
             return found
         # Only classes under a crowded key that are not connected yet can still lack a link.
-        apart = checkpointed(self._apart(crowded, found).select("c").distinct())
+        roots = components(found).withColumnRenamed("node", "c")
+        apart = checkpointed(_apart(crowded.select("key", "c").distinct(), roots).select("c").distinct())
         if apart.isEmpty():
             return found
         every = checkpointed(self._every_key(apart))
-        groups, crowded = self._met(every.select("c", "key"))
-        found = self._with_those_apart(found, groups)
-        if crowded is None:
-            return found
+        met = self._met(every.select("key", "c"))
+        rooted = checkpointed(_apart(met.select("key", "c", "n"), roots))
+        found = self._more(found, self._among_rooted(rooted.filter(F.col("n") <= self.few)))
         # A class with keys enough that are not crowded has met all its like under these.
+        crowded = met.filter(F.col("n") > self.few).select("key", "c")
         lost = every.join(crowded, ["key", "c"]).groupBy("c", "band").agg(
             F.count(F.lit(1)).alias("n"), F.first("needed").alias("needed"), F.first("pieces").alias("pieces")
         )
         lacking = lost.filter(F.col("pieces") - F.col("n") < F.col("needed")).select("c", "band")
         rows = every.join(lacking, ["c", "band"]).select("key", "c").join(crowded, ["key", "c"])
-        rows = checkpointed(self._apart(rows, found))
+        rows = checkpointed(_apart(rows, roots))
         if rows.isEmpty():
             return found
-        return found.unionByName(self._verified(self._by_blocks(rows))).distinct()
-
-    def _met(self, keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """Classes that meet under a key, as lists of a few; and ``key, c`` of crowded keys (None: there are none)."""
-        n, ends = F.count(F.lit(1)).alias("n"), (F.min("c").alias("x"), F.max("c").alias("y"))
-        full = keys.groupBy("key").agg(n, *ends).filter((F.col("n") > self.few) & F.expr("x <> y"))
-        full = checkpointed(full.select("key"))
-        n_full, crowded = full.count(), None
-        if n_full:
-            if n_full <= MAX_BROADCAST_KEYS:
-                full = F.broadcast(full)
-            crowded = checkpointed(keys.join(full, "key", "left_semi").select("key", "c").distinct())
-            keys = keys.join(full, "key", "left_anti")
-        if n_full <= MAX_BROADCAST_KEYS:
-            # Dealt as they are: few keys are met twice, so that reducing before would only cost.
-            keys = keys.repartition("key")
-        lists = keys.groupBy("key").agg(F.sort_array(F.collect_set("c")).alias("members"))
-        return checkpointed(lists.filter(F.size("members") > 1).select("members").distinct()), crowded
-
-    def _to_the_least(self, groups: DataFrame, crowded: DataFrame | None) -> DataFrame:
-        pairs = groups.select(F.array_min("members").alias("a"), F.explode("members").alias("b"))
-        if crowded is not None:
-            least = crowded.groupBy("key").agg(F.min("c").alias("a"))
-            pairs = pairs.unionByName(crowded.join(least, "key").select("a", F.col("c").alias("b")))
-        return pairs.filter("a <> b").distinct()
-
-    def _rooted(self, rows: DataFrame, found: DataFrame) -> DataFrame:
-        """Rows with ``c`` and the ``root`` of its component."""
-        if self._known is None or self._known[0] is not found:
-            self._known = found, components(found).withColumnRenamed("node", "c")
-        return rows.join(self._known[1], "c", "left").withColumn("root", F.coalesce("root", "c"))
-
-    def _with_those_apart(self, found: DataFrame, groups: DataFrame) -> DataFrame:
-        """The links, and those between members of a list that are not connected by them."""
-        lists = groups.withColumn("list", F.xxhash64("members"))
-        rows = self._rooted(lists.select("list", F.explode("members").alias("c")), found)
-        again = rows.groupBy("list").agg(
-            F.collect_list(F.struct("c", "root")).alias("m"), F.min("root").alias("x"), F.max("root").alias("y")
+        return self._more(found, self._by_blocks(rows))
+
+    def _met(self, keys: DataFrame) -> DataFrame:
+        """``key, c, n, least`` of the keys under which classes meet: how many (copies in other tasks count), and the smallest."""
+        ends = keys.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.min("c").alias("least"), F.max("c").alias("most")
         )
-        both = again.filter("x <> y").select(F.explode("m").alias("p"), "m").select("p", F.explode("m").alias("q"))
-        pairs = both.filter("p.c < q.c AND p.root <> q.root").select(F.col("p.c").alias("a"), F.col("q.c").alias("b"))
+        shared = checkpointed(ends.filter("least <> most").drop("most"))
+        return checkpointed(keys.join(shared, "key").select("key", "c", "n", "least"))
+
+    def _more(self, found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The links, and those of the pairs that are verified."""
         pairs = checkpointed(pairs.distinct())
         if pairs.isEmpty():
             return found
         return checkpointed(found.unionByName(self._verified(pairs)).distinct())
 
-    def _apart(self, rows: DataFrame, found: DataFrame) -> DataFrame:
-        """``key, c, root`` of the keys whose classes are not all connected."""
-        rooted = self._rooted(rows, found)
-        ends = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        return rooted.join(ends.filter("x <> y").select("key"), "key", "left_semi").select("key", "c", "root")
+    def _among_few(self, met: DataFrame) -> DataFrame:
+        """Pairs under keys of a few classes, unless both are linked to the smallest there."""
+        member = F.struct("c", F.coalesce("tied", F.lit(False)).alias("tied"))
+        lists = met.filter(F.col("n") <= self.few).groupBy("key").agg(
+            F.sort_array(F.collect_set(member)).alias("m"), F.max(F.col("tied").isNull()).alias("open")
+        )
+        lists = lists.filter("open").select("m").distinct()
+        both = lists.select(F.explode(F.expr("filter(m, x -> NOT x.tied)")).alias("p"), "m")
+        both = both.select(F.col("p.c").alias("p"), F.explode("m.c").alias("q")).filter("p <> q")
+        return both.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+
+    def _among_rooted(self, rows: DataFrame) -> DataFrame:
+        """Pairs of classes of different components under keys of a few classes."""
+        lists = rows.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("c", "root"))).alias("m"))
+        both = lists.select("m").distinct().select(F.explode("m").alias("p"), "m").select("p", F.explode("m").alias("q"))
+        apart = both.filter("p.c < q.c AND p.root <> q.root")
+        return apart.select(F.col("p.c").alias("a"), F.col("q.c").alias("b"))
 
     def _sketches(self, wanted: DataFrame) -> DataFrame:
         """``c, n, sketch`` of the wanted classes (a checkpointed table of ``c``)."""
@@ -243,7 +226,7 @@ class _Join:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that reach the similarity: first by their sketches, then by their tokens."""
         percent = self.percent
-        pairs = checkpointed(pairs)
+        pairs = checkpointed(pairs.distinct())
         sketches = self._sketches(checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
         near = checkpointed(
             self._both(pairs, sketches, ["n", "sketch"])
@@ -302,6 +285,13 @@ class _Join:
         return checkpointed(dealt.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct())
 
 
+def _apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows, with the ``root`` of their ``c``, of the keys whose classes are not all connected."""
+    rooted = rows.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    ends = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    return rooted.join(ends.filter("x <> y").select("key"), "key", "left_semi").select(*rows.columns, "root")
+
+
 def _filter(keep):
     """The rows for which ``keep`` holds, given one column as a list after the other."""
 
