@@ -6,12 +6,13 @@ import re
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.constants import TIME_PATTERN
+from tagstream.functions.plan import with_column_once
 
-_LENIENT = r"^\s*(\d+)-(\d+)-(\d+)\s+(\d+):(\d+):(\d+)"
+_LENIENT = r"^\s*(\d+-\d+-\d+\s+\d+:\d+:\d+)"
 DAY = 86_400
 # Wall clocks from year 0 to the end of 9999, as seconds of 1970 on.
 _FIRST, _LAST = -62_167_219_200, 253_402_300_799
@@ -27,11 +28,14 @@ def parse_time(text: Column, zone: str = "UTC", lenient: bool = False) -> Column
     """Instant of a wall-clock text in ``zone``; NULL where the text does not fit.
 
     ``lenient`` rolls over fields out of range (month 13, hour 25), accepts short
-    fields and leading blanks, and ignores what follows the seconds.
+    fields and leading blanks, and ignores what follows the seconds. For whole tables
+    ``with_epoch`` is cheaper.
     """
     check_zone(zone)
     if lenient:
-        return F.to_utc_timestamp(F.timestamp_seconds(_wall_seconds(text)), zone)
+        # Bound by a function, so that the text is taken apart once.
+        wall = F.transform(F.array(time_fields(text)), _wall_seconds)[0]
+        return F.to_utc_timestamp(F.timestamp_seconds(wall), zone)
     return F.try_to_timestamp(F.concat(text, F.lit(f" {zone}")), F.lit(f"{TIME_PATTERN} VV"))
 
 
@@ -39,9 +43,26 @@ def epoch_seconds(text: Column, zone: str = "UTC", lenient: bool = False) -> Col
     return F.unix_timestamp(parse_time(text, zone, lenient))
 
 
-def _wall_seconds(text: Column) -> Column:
+def with_epoch(df: DataFrame, name: str, text: Column, zone: str = "UTC", lenient: bool = False) -> DataFrame:
+    """Add ``epoch_seconds`` of a text; the text is taken apart once per row, within generated code."""
+    check_zone(zone)
+    if not lenient:
+        return with_column_once(df, name, epoch_seconds(text, zone))
+    fields, wall = f"_{name}_fields", f"_{name}_wall"
+    df = with_column_once(df, fields, time_fields(text))
+    df = with_column_once(df, wall, _wall_seconds(F.col(fields)))
+    epoch = F.unix_timestamp(F.to_utc_timestamp(F.timestamp_seconds(wall), zone))
+    return with_column_once(df, name, epoch).drop(fields, wall)
+
+
+def time_fields(text: Column) -> Column:
+    """The six numbers as an array, NULL where one is too long for a number; another text gives fewer than six."""
+    return F.split(F.regexp_extract(text, _LENIENT, 1), r"[-:\s]+").try_cast("array<bigint>")
+
+
+def _wall_seconds(fields: Column) -> Column:
     """Seconds of the wall clock since 1970, however large each field is; NULL outside the years 0 to 9999."""
-    year, month, day, hour, minute, second = (_field(text, group) for group in range(1, 7))
+    year, month, day, hour, minute, second = (_field(fields, place) for place in range(6))
     months = year * 12 + month - 1
     of_year, of_month = F.floor(months / 12), months % 12 + 1
     first = F.when(
@@ -51,9 +72,9 @@ def _wall_seconds(text: Column) -> Column:
     return F.when(seconds.between(_FIRST, _LAST), seconds)
 
 
-def _field(text: Column, group: int) -> Column:
+def _field(fields: Column, place: int) -> Column:
     """One of the six numbers; one so large that the time is out of range anyway is NULL."""
-    value = F.regexp_extract(text, _LENIENT, group).try_cast("bigint")
+    value = F.get(fields, F.lit(place))
     return F.when(value <= 10**12, value)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagstream.constants import CACHE_DB, CACHE_PREFIX, TIME_FIELD
 from tagstream.functions import json as J
 from tagstream.functions.plan import with_column_once
-from tagstream.functions.time import epoch_seconds, instant
+from tagstream.functions.time import instant, with_epoch
 from tagstream.operators.keyed import last_write_wins, version, with_expiry
 from tagstream.session import check_session
 
@@ -46,7 +46,7 @@ def parse_readings(
     readings = project_messages(messages, handler)
     readings = with_column_once(readings, "body", J.parse_body(F.col("value")))
     readings = with_column_once(readings, "time_text", J.get_tag(body, TIME_FIELD, "string"))
-    readings = with_column_once(readings, "time", epoch_seconds(text, zone, lenient))
+    readings = with_epoch(readings, "time", text, zone, lenient)
     reason = (
         F.when(epoch.isNotNull(), F.lit(None).cast("string"))
         .when(body.isNull(), "not_json")

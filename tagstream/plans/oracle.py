@@ -149,7 +149,11 @@ ORACLE: dict[str, str] = {
     "stream_start_latest": _STARTED,
     "stream_pipelined_write": _LATEST,
     "stream_latest_store": _LATEST,
+    "stream_live_keys": _LATEST,
     "stream_insert_ignore": _FIRST,
+    "stream_first_arrival": f"""{_M}
+        SELECT hour_s AS time, value AS val FROM m
+        QUALIFY row_number() OVER (PARTITION BY hour_s ORDER BY (event_id * 7 // 3) % 4, part, off) = 1""",
     "batch_report": f"""{_M}
         SELECT day_n AS batch, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS report_time, count(*) AS n_in,
                count(*) FILTER (WHERE NOT poison) AS n_good, count(*) FILTER (WHERE poison) AS n_bad

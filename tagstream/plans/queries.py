@@ -40,6 +40,8 @@ from tagstream.sources.message_log import (
     stream_message_log,
     write_message_log,
 )
+from tagstream.streaming.arrival import start_first_arrivals
+from tagstream.streaming.expiry import live_entries, start_state_cache, use_state_on_disk
 from tagstream.streaming.jobs import DISCARD, CacheJob, TableJob, quarantine_store
 
 MIDDLE = datetime(2024, 1, 15, tzinfo=timezone.utc)
@@ -48,6 +50,8 @@ VALUE = "VALUE.AV"
 DAY_SECONDS = 86_400
 # Messages per file of a streamed log.
 FILE_MESSAGES = 25_000
+# In which part of a log a message arrives.
+ARRIVAL = "(offset * 4 + partition) * 7 div 3"
 
 
 def _tag(name: str, alias: str, data_type: str = "double"):
@@ -397,6 +401,31 @@ def stream_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view().select("time", F.col(f"`{VALUE}`").alias("val"))
 
 
+def stream_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log arrives in four parts that each hold messages of the whole time: what came first stays."""
+    root = scratch_dir(spark, "stream_first_arrival")
+    log = dense_log(spark, sf_dir).withColumn("part_of_log", F.expr(f"({ARRIVAL}) % 4"))
+    files = max(1, logs.events(spark, sf_dir).count() // (4 * FILE_MESSAGES))
+    for part in range(4):
+        rows = log.filter(F.col("part_of_log") == part).drop("part_of_log")
+        rows.repartition(files, "offset").write.mode("append").parquet(f"{root}/log")
+    table = ParquetTable(spark, f"{root}/table")
+    start_first_arrivals(
+        stream_message_log(spark, f"{root}/log", files), table, f"{root}/checkpoint", [VALUE], available_now=True
+    ).awaitTermination()
+    return table.view().select("time", F.col(f"`{VALUE}`").alias("val"))
+
+
+def stream_live_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last reading per key in the state store, where each lives for a month after it was written."""
+    root = scratch_dir(spark, "stream_live_keys")
+    use_state_on_disk(spark)
+    start_state_cache(
+        _log_stream(spark, sf_dir, root), f"{root}/checkpoint", 30 * DAY_SECONDS, available_now=True
+    ).awaitTermination()
+    return live_entries(spark, f"{root}/checkpoint").select("key", _stored_tag(VALUE, "val"))
+
+
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = parse_readings(
         mixed_log(spark, sf_dir),
@@ -451,6 +480,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest_by_extra_key": stream_latest_by_extra_key,
     "stream_quarantine": stream_quarantine,
     "stream_insert_ignore": stream_insert_ignore,
+    "stream_first_arrival": stream_first_arrival,
+    "stream_live_keys": stream_live_keys,
     "batch_report": batch_report,
     "producer_records": producer_records,
 }

@@ -97,6 +97,9 @@ class BatchStore:
     def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
         rows = rows.withColumns({KIND: F.lit(kind), BATCH: F.lit(batch_id).cast("bigint")})
         by = [*self.partition_by, KIND, BATCH]
+        if self.partition_by:
+            # A folder's few rows become one file, those of a large one several.
+            rows = rows.hint("rebalance", *self.partition_by)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*by).parquet(self.root)
 

@@ -77,6 +77,10 @@ class ParquetTable:
                 return
             others = (F.col(KIND) == BASE) | (F.col(BATCH) != batch_id)
             rows = insert_ignore(rows, self._store().read(days).filter(others), self.keys)
+        self.append(rows, batch_id)
+
+    def append(self, rows: DataFrame, batch_id: int) -> None:
+        """Store a batch of rows as they are, a file for a day's few rows."""
         self._store().write(rows.withColumn("day", day_of(F.col(TIME_FIELD))), batch_id)
 
     def view(self) -> DataFrame:
@@ -174,9 +178,22 @@ class JdbcTable:
         return [TIME_FIELD, *self.key_columns]
 
     def day_predicates(self, days: list[int]) -> list[str]:
-        """A condition per covered day: a time far off reads its own day and not those between."""
+        """Conditions that cover these days and no other, one per connection, ``parallelism`` at most.
+
+        Days that follow each other are one range, and the ranges are dealt to the conditions.
+        """
         time = self.quote(column_name(TIME_FIELD))
-        return [f"{time} >= {d * DAY} AND {time} < {(d + 1) * DAY}" for d in sorted(days)]
+        ranges: list[list[int]] = []
+        for day in sorted(set(days)):
+            if ranges and ranges[-1][1] == day:
+                ranges[-1][1] = day + 1
+            else:
+                ranges.append([day, day + 1])
+        if len(ranges) < self.parallelism:
+            ranges = _split(ranges, self.parallelism)
+        texts = [f"{time} >= {a * DAY} AND {time} < {b * DAY}" for a, b in ranges]
+        dealt = [texts[i :: self.parallelism] for i in range(min(self.parallelism, len(texts)))]
+        return [own[0] if len(own) == 1 else " OR ".join(f"({t})" for t in own) for own in dealt]
 
     def _stored_keys(self, days: list[int]) -> DataFrame:
         names = [column_name(k) for k in self.keys]
@@ -193,6 +210,18 @@ class JdbcTable:
         return self.spark.read.format("jdbc").options(**self.options, dbtable=table, **extra).load()
 
 
+def _split(ranges: list[list[int]], most: int) -> list[list[int]]:
+    """The longest ranges of days halved, until there are ``most`` ranges or each is one day."""
+    ranges = [list(r) for r in ranges]
+    while len(ranges) < most:
+        longest = max(range(len(ranges)), key=lambda i: ranges[i][1] - ranges[i][0], default=None)
+        if longest is None or ranges[longest][1] - ranges[longest][0] == 1:
+            break
+        a, b = ranges[longest]
+        ranges[longest : longest + 1] = [[a, (a + b) // 2], [(a + b) // 2, b]]
+    return ranges
+
+
 def column_name(tag: str) -> str:
     """A tag as a word of letters, digits and underscores; ``tag_name`` reverses it.
 

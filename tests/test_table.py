@@ -2,6 +2,7 @@ import json
 import re
 from datetime import timedelta
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -240,6 +241,45 @@ def test_jdbc_reads_the_days_of_the_batch_only(spark):
         "`time` >= 0 AND `time` < 86400", "`time` >= 777600 AND `time` < 864000"]
 
 
+@pytest.mark.parametrize("days", [[5], [3, 4, 5], list(range(40)), [*range(100, 103), *range(0, 60, 2)], [7, 7, 9], [-3, -2, 8]])
+@pytest.mark.parametrize("parallelism", [1, 2, 8])
+def test_jdbc_conditions_cover_the_days_and_no_other(spark, days, parallelism):
+    table = JdbcTable(spark, "t", {"url": "jdbc:x"}, parallelism=parallelism)
+    conditions = table.day_predicates(days)
+    assert 1 <= len(conditions) <= parallelism
+    # Consecutive days are shared out too, as far as there are connections.
+    assert len(conditions) >= min(parallelism, len(set(days)))
+    con = duckdb.connect()
+    con.execute('CREATE TABLE t AS SELECT d, unnest([d * 86400, d * 86400 + 86399]) AS "time" FROM range(-10, 200) r(d)')
+    seen = [r[0] for c in conditions for r in con.execute(f"SELECT d FROM t WHERE {c.replace('`', chr(34))}").fetchall()]
+    assert sorted(seen) == sorted([*set(days)] * 2)
+
+
+def test_a_days_rows_are_one_file_and_a_large_days_several(spark, tmp_path):
+    """Many small days from many tasks; a day that outgrows a partition's size is split."""
+    table = ParquetTable(spark, str(tmp_path / "t"))
+    table.create(SCHEMA)
+    small = rows(spark, *[(d * DAY + s, 1.0, s) for d in range(20) for s in range(3)]).repartition(8)
+    table.insert_new(small, 0, list(range(20)))
+    assert len(table._store().read().inputFiles()) == 20
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        hot = spark.range(40_000).select(
+            F.expr("struct(timestamp_seconds(id) AS timestamp, 0 AS partition, id AS offset)").alias("ver"),
+            F.expr(f"IF(id % 50 = 0, {DAY} * (50 + id % 7), {DAY} * 40) + id").alias("time"),
+            F.expr("struct(rand(1) AS `v.a`)").alias("tags"),
+        )
+        table.insert_new(hot.repartition(8), 1, list(range(40, 60)))
+    finally:
+        spark.conf.set(size, before)
+    files = [f for f in table._store().read().inputFiles() if "_batch_id=1/" in f]
+    days = [f.split("day=")[1].split("/")[0] for f in files]
+    assert days.count("40") > 1 and all(days.count(d) == 1 for d in set(days) - {"40"})
+    assert table._store().read().count() == 40_060
+
+
 def test_jdbc_options_hide_the_password(spark):
     table = JdbcTable(spark, "t", {"url": "jdbc:x", "password": "secret"})
     assert "secret" not in repr(table)
