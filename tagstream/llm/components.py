@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tagstream.llm.runtime import checkpointed
 
+# Few links are few tasks: a round's shuffles start from as many partitions as its links need.
+LINKS_PER_PARTITION = 200_000
+
 
 def _distinct_links(df: DataFrame) -> DataFrame:
     return df.filter("a <> b").distinct()
@@ -44,7 +47,8 @@ def components(links: DataFrame) -> DataFrame:
     links = checkpointed(_distinct_links(links.select(larger.alias("a"), smaller.alias("b"))))
     mark = _mark(links)
     while mark[0]:
-        links = checkpointed(_small_star(_large_star(links)))
+        parts = mark[0] // LINKS_PER_PARTITION + 1
+        links = checkpointed(_small_star(_large_star(links.coalesce(parts)).coalesce(parts)))
         before, mark = mark, _mark(links)
         if mark == before:
             break

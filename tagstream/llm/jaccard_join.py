@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tagstream.llm.components import components
 from tagstream.llm.parity import Sets, folded, hamming, most_different, n_pieces, similar
-from tagstream.llm.runtime import checkpointed, documents
+from tagstream.llm.runtime import checkpointed, documents, fitted
 from tagstream.llm.words import U64, pieces
 from tagstream.session import scratch_dir
 
@@ -109,46 +109,43 @@ class _Join:
         met = self._met(self.rows.select("c", F.explode("keys").alias("key")))
         found = self._verified(met.filter("c <> least").select(F.col("least").alias("a"), F.col("c").alias("b")))
         tied = found.select(F.col("a").alias("least"), F.col("b").alias("c"), F.lit(True).alias("tied"))
-        met = checkpointed(met.join(tied, ["least", "c"], "left").withColumn("tied", F.expr("tied OR c = least")))
+        met = fitted(met.join(tied, ["least", "c"], "left").withColumn("tied", F.expr("tied OR c = least")))
         found = self._more(found, self._among_few(met))
         crowded = met.filter(F.col("n") > self.few)
         if crowded.filter("tied IS NULL").isEmpty():
             return found
         # Only classes under a crowded key that are not connected yet can still lack a link.
         roots = components(found).withColumnRenamed("node", "c")
-        apart = checkpointed(_apart(crowded.select("key", "c").distinct(), roots).select("c").distinct())
+        apart = fitted(_apart(crowded.select("key", "c").distinct(), roots).select("c").distinct())
         if apart.isEmpty():
             return found
-        every = checkpointed(self._every_key(apart))
-        met = self._met(every.select("key", "c"))
-        rooted = checkpointed(_apart(met.select("key", "c", "n"), roots))
-        found = self._more(found, self._among_rooted(rooted.filter(F.col("n") <= self.few)))
+        met = self._met(self._every_key(apart))
+        rooted = _apart(met.filter(F.col("n") <= self.few).select("key", "c"), roots)
+        found = self._more(found, self._among_rooted(rooted))
         # A class with keys enough that are not crowded has met all its like under these.
-        crowded = met.filter(F.col("n") > self.few).select("key", "c")
-        lost = every.join(crowded, ["key", "c"]).groupBy("c", "band").agg(
-            F.count(F.lit(1)).alias("n"), F.first("needed").alias("needed"), F.first("pieces").alias("pieces")
-        )
-        lacking = lost.filter(F.col("pieces") - F.col("n") < F.col("needed")).select("c", "band")
-        rows = every.join(lacking, ["c", "band"]).select("key", "c").join(crowded, ["key", "c"])
-        rows = checkpointed(_apart(rows, roots))
+        crowded = met.filter(F.col("n") > self.few)
+        lost = crowded.groupBy("c", "band", "needed", "pieces").agg(F.count(F.lit(1)).alias("lost"))
+        lacking = lost.filter("pieces - lost < needed").select("c", "band")
+        rows = crowded.select("key", "c", "band").join(lacking, ["c", "band"], "left_semi").select("key", "c")
+        rows = fitted(_apart(rows, roots))
         if rows.isEmpty():
             return found
         return self._more(found, self._by_blocks(rows))
 
     def _met(self, keys: DataFrame) -> DataFrame:
-        """``key, c, n, least`` of the keys under which classes meet: how many (copies in other tasks count), and the smallest."""
+        """Of the rows (``key, c`` and more) those of shared keys, with ``n`` and ``least``: how many rows, the smallest class."""
         ends = keys.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"), F.min("c").alias("least"), F.max("c").alias("most")
         )
-        shared = checkpointed(ends.filter("least <> most").drop("most"))
-        return checkpointed(keys.join(shared, "key").select("key", "c", "n", "least"))
+        shared = fitted(ends.filter("least <> most").drop("most"))
+        return fitted(keys.join(shared, "key"))
 
     def _more(self, found: DataFrame, pairs: DataFrame) -> DataFrame:
         """The links, and those of the pairs that are verified."""
-        pairs = checkpointed(pairs.distinct())
+        pairs = fitted(pairs.distinct())
         if pairs.isEmpty():
             return found
-        return checkpointed(found.unionByName(self._verified(pairs)).distinct())
+        return fitted(found.unionByName(self._verified(pairs)).distinct())
 
     def _among_few(self, met: DataFrame) -> DataFrame:
         """Pairs under keys of a few classes, unless both are linked to the smallest there."""
@@ -171,7 +168,7 @@ class _Join:
     def _sketches(self, wanted: DataFrame) -> DataFrame:
         """``c, n, sketch`` of the wanted classes (a checkpointed table of ``c``)."""
         rows = self.rows.select("c", "n", "sketch").join(self._small(wanted), "c", "left_semi")
-        return checkpointed(rows.groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+        return fitted(rows.groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
 
     def _small(self, wanted: DataFrame) -> DataFrame:
         """Broadcast, if the table of classes is small enough for that."""
@@ -182,7 +179,7 @@ class _Join:
         named = wanted.join(self.classes.select("c", "rep"), "c").select(
             "c", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")
         )
-        named = self._small(checkpointed(named))
+        named = self._small(fitted(named))
         same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash"))
         rows = self.docs.withColumn("text_hash", F.xxhash64("text")).join(named, same)
         return rows.select("c", "text")
@@ -226,9 +223,9 @@ class _Join:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that reach the similarity: first by their sketches, then by their tokens."""
         percent = self.percent
-        pairs = checkpointed(pairs.distinct())
-        sketches = self._sketches(checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
-        near = checkpointed(
+        pairs = fitted(pairs.distinct())
+        sketches = self._sketches(fitted(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
+        near = fitted(
             self._both(pairs, sketches, ["n", "sketch"])
             .mapInArrow(_filter(lambda row: _may_be_similar(row, percent)), _SKETCHED)
             .select("a", "b")
@@ -236,11 +233,11 @@ class _Join:
         if near.isEmpty():
             return near
         wanted = near.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-        tokens = checkpointed(self._tokens(checkpointed(wanted)))
+        tokens = fitted(self._tokens(fitted(wanted)), 5_000)
         verified = self._both(near, tokens, ["tokens"]).mapInArrow(
             _filter(lambda row: _is_similar(row, percent)), "a bigint, b bigint, tokens_a binary, tokens_b binary"
         )
-        return checkpointed(verified.select("a", "b"))
+        return fitted(verified.select("a", "b"))
 
     def _both(self, pairs: DataFrame, described: DataFrame, columns: list[str]) -> DataFrame:
         """Pairs with what is known of either. Many pairs name one least class ``a``, so ``b`` comes first."""
@@ -262,7 +259,7 @@ class _Join:
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select(
             "key", "c", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        ).join(self._sketches(checkpointed(rows.select("c").distinct())), "c")
+        ).join(self._sketches(fitted(rows.select("c").distinct())), "c")
 
         def run(table: pa.Table) -> pa.Table:
             c, root, own, n = (table.column(x).to_numpy() for x in ("c", "root", "own", "n"))

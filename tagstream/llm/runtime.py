@@ -2,30 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tagstream
 from tagstream.functions.plan import quoted
-from tagstream.session import scratch_dir
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Have Spark hand this package to its Python workers, once per application."""
-    application = spark.sparkContext.applicationId
-    if application not in _shipped:
-        root = Path(tagstream.__file__).parent
-        target = Path(tempfile.mkdtemp(prefix="tagstream-")) / root.name
-        spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", root.parent, root.name))
-        _shipped.add(application)
-
+from tagstream.session import scratch_dir, ship_package
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with files in the shared folder, so that a lost executor costs nothing."""
@@ -35,6 +16,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fitted(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
+    """Checkpointed, in no more partitions than its rows need: what follows starts from these."""
+    kept = checkpointed(df)
+    return kept.coalesce(kept.count() // rows_per_partition + 1)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
