@@ -1,11 +1,15 @@
 """License notices by the places of their words, weighted by rarity.
 
-Templates are short notices. A word weighs by its rarity over the whole corpus. For each notice
-the words that a file holds least often are looked up, as many as cannot all be missing from a
-find; where they stand (give or take a few words) the notice may start. At each such start all
-words of the notice are looked up. What enough of its weight stands at, and holds its mandatory
-key phrases, is a find. This leaves out no start that would pass, however long the file is and
-whatever else it holds.
+Templates are short notices. A word weighs by its rarity over the whole corpus, and has postings:
+the notices that hold it, and where. A file's licence words are looked up by falling rarity, and
+each posting votes for the start that its place in the file would give the notice, give or take a
+few words. A notice is looked up until the words that are missing or were looked up weigh more
+than a find may lack: then every find starts where one of them has voted. At these starts the
+postings of all words of the notice are intersected by position. What enough of its weight
+stands at, and holds its mandatory key phrases, is a find. This leaves out no start that would
+pass, however long the file is and whatever else it holds.
+
+A key phrase that is part of another licence's longer name, where that name stands, does not count.
 
 Only the texts of TEMPLATES and BODIES are sought: notices as they stand in a file's head, and
 titles and opening passages of the usual licences. Other licences get no label but a phrase's.
@@ -199,6 +203,25 @@ class Index:
             for text in texts
         ]
         self.vocabulary = frozenset(w for _, words, _ in self.notices for w in words)
+        self.postings: dict[bytes, list[tuple[int, int]]] = {w: [] for w in self.vocabulary}
+        for notice, (_, words, _) in enumerate(self.notices):
+            for at, word in enumerate(words):
+                self.postings[word].append((notice, at))
+        names: dict[str, list[list[bytes]]] = {}
+        for label, _, keys in self.notices:
+            names.setdefault(label, []).extend(keys)
+        # Longer names that hold a key phrase that is a name, and are none of the same licence's.
+        self.longer = {
+            (label, tuple(key)): [
+                (at, other)
+                for others in names.values()
+                for other in others
+                if b"license" in key and len(other) > len(key) and other not in names[label]
+                for at in _places(other, key)
+            ]
+            for label, _, keys in self.notices
+            for key in keys
+        }
         self.weigh(Counter(), 0)
 
     def weigh(self, frequencies: Mapping[bytes, int], n: int) -> None:
@@ -213,24 +236,39 @@ class Index:
         near = [n for n, (r, t) in enumerate(zip(reach, self.totals)) if 0 < LEAST_SHARE * t <= r + ROUNDING * t]
         if not near:
             return []
-        sought = {w for n in near for w in self.notices[n][1]}
-        places: dict[bytes, list[int]] = {w: [] for w in sought}
+        places: dict[bytes, list[int]] = {w: [] for w in own}
         for place, word in enumerate(words):
-            if word in sought:
+            if word in own:
                 places[word].append(place)
         arrays = {w: np.array(p, np.int64) for w, p in places.items()}
         found = []
-        for notice in near:
-            found += self._found(words, notice, arrays)
+        for notice, voted in self._votes(near, arrays).items():
+            found += self._found(words, notice, voted, arrays)
         best: dict[tuple[str, int, int], float] = {}
         for label, begin, end, score in found:
             best[label, begin, end] = max(score, best.get((label, begin, end), 0.0))
         return sorted((label, begin, end, score) for (label, begin, end), score in best.items())
 
-    def _found(self, words: list[bytes], notice: int, places: Mapping[bytes, np.ndarray]):
+    def _votes(self, near: list[int], places: Mapping[bytes, np.ndarray]) -> dict[int, list[np.ndarray]]:
+        """Starts that the file's rarest words give each of the notices."""
+        voted: dict[int, list[np.ndarray]] = {n: [] for n in near}
+        # What is missing from a find weighs 1 - LEAST_SHARE at most, so of words that weigh more one is there.
+        seen = {n: sum(self.idf[w] for w in self.notices[n][1] if w not in places) for n in near}
+        still = set(near)
+        for word in sorted(places, key=lambda w: (-self.idf[w], w)):
+            for notice, at in self.postings[word]:
+                if notice in still:
+                    voted[notice].append(places[word] - at)
+                    seen[notice] += self.idf[word]
+            still = {n for n in still if seen[n] <= (1 - LEAST_SHARE + ROUNDING) * self.totals[n]}
+            if not still:
+                break
+        return voted
+
+    def _found(self, words: list[bytes], notice: int, voted: list[np.ndarray], places: Mapping[bytes, np.ndarray]):
         """Finds of one notice. Of starts within SLACK words of each other the one with most weight exactly
         there is taken, and those with VOTE_SHARE of it; every start that passes is one of these or near one."""
-        starts, exact, held = self._starts(notice, places)
+        starts, exact, held = self._starts(notice, voted, places)
         enough, kept, found = VOTE_SHARE * self.totals[notice], set(), []
         for i in np.lexsort((starts, -held, -exact)):
             start = int(starts[i])
@@ -242,21 +280,18 @@ class Index:
                     kept.add(start)
         return found
 
-    def _starts(self, notice: int, places: Mapping[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where enough of the notice's weight stands: start, weight exactly there, weight within SLACK words."""
+    def _starts(
+        self, notice: int, voted: list[np.ndarray], places: Mapping[bytes, np.ndarray]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the starts voted for those at which enough of the notice stands: start, weight exactly there,
+        weight within SLACK words."""
         template, total = self.notices[notice][1], self.totals[notice]
-        # What is missing from a find weighs 1 - LEAST_SHARE at most, so of words that weigh more one is there.
-        weight, starts = 0.0, []
-        for at in sorted(range(len(template)), key=lambda at: len(places[template[at]])):
-            if weight > (1 - LEAST_SHARE + ROUNDING) * total:
-                break
-            weight += self.idf[template[at]]
-            starts.append((places[template[at]] - at)[:, None] + np.arange(-SLACK, SLACK + 1))
-        starts = np.unique(np.concatenate(starts))
+        starts = [v[:, None] + np.arange(-SLACK, SLACK + 1) for v in voted]
+        starts = np.unique(np.concatenate([s.ravel() for s in starts])) if starts else np.zeros(0, np.int64)
         exact, held = np.zeros(len(starts)), np.zeros(len(starts))
         for at, word in enumerate(template):
-            own = places[word]
-            if len(own):
+            own = places.get(word)
+            if own is not None and len(starts):
                 low = np.searchsorted(own, starts + at - SLACK)
                 held += self.idf[word] * (np.searchsorted(own, starts + at + SLACK, side="right") > low)
                 exact += self.idf[word] * (own[np.minimum(np.searchsorted(own, starts + at), len(own) - 1)] == starts + at)
@@ -266,7 +301,6 @@ class Index:
     def _verified(self, words: list[bytes], notice: int, start: int) -> list[tuple[str, int, int, float]]:
         label, template, keys = self.notices[notice]
         begin, end = max(0, start - SLACK), start + len(template) + SLACK
-        window = words[begin:end]
         held, places = 0.0, []
         for at, word in enumerate(template):
             near = range(max(0, start + at - SLACK), min(len(words), start + at + SLACK + 1))
@@ -275,13 +309,22 @@ class Index:
                 held += self.idf[word]
                 places.append(place)
         share = held / self.totals[notice] if self.totals[notice] else 0.0
-        if share < LEAST_SHARE or not all(_contains(window, k) for k in keys):
+        if share < LEAST_SHARE or not all(self._names(words, begin, end, label, k) for k in keys):
             return []
         return [(label, min(places), max(places), min(share, 1.0))]
 
+    def _names(self, words: list[bytes], begin: int, end: int, label: str, key: list[bytes]) -> bool:
+        """Whether the key phrase stands between the two places, and not as a part of a longer name."""
+        longer = self.longer[label, tuple(key)]
+        for i in _places(words[begin:end], key):
+            i += begin
+            if not any(i >= at and words[i - at : i - at + len(other)] == other for at, other in longer):
+                return True
+        return False
+
 
-def _contains(words: list[bytes], phrase: list[bytes]) -> bool:
-    return any(words[i : i + len(phrase)] == phrase for i in range(len(words) - len(phrase) + 1))
+def _places(words: list[bytes], phrase: list[bytes]) -> list[int]:
+    return [i for i in range(len(words) - len(phrase) + 1) if words[i : i + len(phrase)] == phrase]
 
 
 def _word_frequencies(rows: DataFrame, index: Index) -> tuple[dict[bytes, int], int]:
