@@ -7,9 +7,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagstream.llm.words import _IS_BLANK as _BLANKS
 from tagstream.llm.words import BASES, U64, Words, pieces, text_buffer
 
 Counts = Callable[[pa.Array], np.ndarray]
@@ -18,6 +20,11 @@ _MULTIPLIER = U64(0xFF51AFD7ED558CCD)
 _BLANK = 32
 # Shape of a word that repeats another; no byte of UTF-8.
 _REPEATED = 255
+# A longer text is counted in blocks, each with so many words before it, so that no n-gram and no
+# repeated word is lost between them; words longer than the second bound lose their beginning there.
+BLOCK_BYTES = 1 << 20
+_CONTEXT_WORDS = 16
+_CONTEXT_BYTES = 1 << 16
 
 
 def _gram_counts(codes: np.ndarray, first: np.ndarray, orders: range, size: int) -> np.ndarray:
@@ -40,6 +47,62 @@ def _gram_counts(codes: np.ndarray, first: np.ndarray, orders: range, size: int)
     return counted.reshape(n_docs, size).astype(np.float32)
 
 
+def _by_blocks(counts: Counts) -> Counts:
+    """The same counts, with memory for a block of a very long text and not for all of it."""
+
+    def run(column: pa.Array) -> np.ndarray:
+        data, offsets = text_buffer(column)
+        long = np.flatnonzero(np.diff(offsets) > BLOCK_BYTES)
+        if not len(long):
+            return counts(column)
+        short = np.ones(len(column), bool)
+        short[long] = False
+        out = counts(pc.if_else(pa.array(short), column, None))
+        for i in long.tolist():
+            out[i] = _long_counts(counts, data[offsets[i] : offsets[i + 1]])
+        return out
+
+    return run
+
+
+def _long_counts(counts: Counts, text: np.ndarray) -> np.ndarray:
+    total, at, context = None, 0, b""
+    while at < len(text):
+        end = _end_of_block(text, at)
+        block = context + text[at:end].tobytes()
+        one = counts(pa.array([block.decode(errors="replace")]))[0].astype(np.float64)
+        if context:
+            # What lies within the words before was counted with them.
+            one -= counts(pa.array([context.decode(errors="replace")]))[0]
+        total = one if total is None else total + one
+        head = block.rsplit(None, _CONTEXT_WORDS)
+        context = block[len(head[0]) :] if len(head) > _CONTEXT_WORDS else block
+        context = _from_a_letter(context[-_CONTEXT_BYTES:])
+        at = end
+    return total.astype(np.float32)
+
+
+def _end_of_block(text: np.ndarray, at: int) -> int:
+    """Before the block's last blank, or within a word that fills it."""
+    end = at + BLOCK_BYTES
+    if end >= len(text):
+        return len(text)
+    blanks = np.flatnonzero(_BLANKS[text[at + 1 : end]])
+    if len(blanks):
+        return at + 1 + int(blanks[-1])
+    while end > at + 1 and text[end] & 0xC0 == 0x80:
+        end -= 1
+    return end
+
+
+def _from_a_letter(data: bytes) -> bytes:
+    """Without the end of a character whose beginning is missing."""
+    begin = 0
+    while begin < min(4, len(data)) and data[begin] & 0xC0 == 0x80:
+        begin += 1
+    return data[begin:]
+
+
 @cache
 def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
@@ -59,7 +122,7 @@ def character_counts(size: int, orders: range = range(1, 4)) -> Counts:
         first = np.cumsum([0] + [len(t) for t in texts])
         return _gram_counts(*_collapsed(codes, first, codes == _BLANK), orders, size)
 
-    return run
+    return _by_blocks(run)
 
 
 def _collapsed(codes: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +162,7 @@ def shape_counts(size: int, orders: range = range(1, 5)) -> Counts:
         codes[np.cumsum(inside[:-1], dtype=np.int8) > 0] = _REPEATED
         return _gram_counts(*_collapsed(codes, first, np.ones(len(codes), bool)), orders, size)
 
-    return run
+    return _by_blocks(run)
 
 
 def document_frequencies(rows: DataFrame, counts: Counts, size: int) -> tuple[np.ndarray, int]:

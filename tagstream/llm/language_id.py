@@ -93,7 +93,9 @@ def _sample(learnable: DataFrame, max_rows: int) -> DataFrame:
     known = learnable.sparkSession.createDataFrame(shares, "lang string, share double")
     place = (F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))).alias("place")
     chosen = learnable.join(F.broadcast(known), "lang")
-    return chosen.withColumn("place", place).filter("place < share").drop("share").limit(2 * max_rows)
+    chosen = chosen.withColumn("place", place).filter("place < share").drop("share")
+    # Only identifiers that repeat can exceed the bound; which of their rows stay is not left to chance.
+    return chosen.orderBy("place", "lang", F.xxhash64("text"), "text").limit(2 * max_rows)
 
 
 def _sparse(size: int):
@@ -184,7 +186,9 @@ def identify(
 
     A null or letterless text gives ``und`` and score 0, and so does every text if nothing can
     be learned. Rows without an identifier are in no fold: they are predicted and not learned
-    from, as are rows without a language. Repeated rows are predicted each.
+    from, as are rows without a language. Repeated rows are predicted each, an empty table gives no
+    rows. Of equally likely languages the first by name is taken. A very long text is counted in
+    blocks, in a few times its own size.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(

@@ -45,8 +45,7 @@ class Model:
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Share of label 1 among the nearest, weighted by the similarity; the base rate for no vector."""
         cosines = self.latent(counts) @ self.vectors.T
-        k = min(NEIGHBOURS, len(self.labels))
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+        near = nearest(cosines, min(NEIGHBOURS, len(self.labels)))
         weights = np.maximum(np.take_along_axis(cosines, near, 1), 0.0).astype(np.float64) ** SHARPNESS
         total = weights.sum(axis=1)
         votes = (weights * self.labels[near]).sum(axis=1)
@@ -54,6 +53,15 @@ class Model:
         return np.clip(np.where(total > 0, votes / np.where(total > 0, total, 1), base), 0, 1)
 
 
+def nearest(cosines: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` largest values of each row; of equal ones the first."""
+    least = -np.partition(-cosines, k - 1, axis=1)[:, k - 1 : k]
+    more, equal = cosines > least, cosines == least
+    wanted = k - more.sum(axis=1, keepdims=True)
+    chosen = more | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= wanted))
+    return np.nonzero(chosen)[1].reshape(len(cosines), k)
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
     return vectors / np.where(length > 1e-9, length, 1)
@@ -75,8 +83,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     ids = labels.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
-    # An identifier that repeats must not exceed the bound.
-    return rows.limit(2 * max_rows)
+    # An identifier that repeats must not exceed the bound, nor leave the choice to chance.
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(2 * max_rows)
 
 
 def train(
@@ -158,7 +166,9 @@ def classify(
     """``doc_id, held_out, score, predicted`` per document.
 
     A null or empty text has no vector and gets the labels' base rate; without any label every
-    score is 0.5. Rows without an identifier are in no fold. Repeated rows are scored each.
+    score is 0.5. Rows without an identifier are in no fold. Repeated rows are scored each, an empty
+    table gives no rows. Of equally near neighbours the one of the smaller identifier votes. A very long text is
+    counted in blocks, in memory that does not grow with it.
     """
     model = learn_quality(docs, labels, folds, held_out, max_rows)
     held = F.coalesce(remainder(F.col("doc_id"), folds) == held_out, F.lit(False))
@@ -173,7 +183,11 @@ def classify(
 def good_documents(
     docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM, text: str = "text"
 ) -> DataFrame:
-    """The documents not rejected, all their columns as they were."""
+    """The documents not rejected, all their columns as they were.
+
+    Null and empty texts are scored like any other (with the labels' base rate); without a model all
+    stay. Repeated rows stay or go together; an empty table stays empty. Very long texts as in ``classify``.
+    """
     ship_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -1,11 +1,14 @@
+import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
-from tagstream.llm import language_id, quality
+from tagstream.llm import features, language_id, quality
 from tagstream.llm.features import character_counts, document_frequencies, shape_counts
 from tagstream.llm.language_id import Ftrl, best_temperature, identify, softmax
 from tagstream.llm.quality import classify, good_documents, leading_axes, learn_quality
@@ -197,3 +200,132 @@ def test_document_frequencies(spark):
     counts = character_counts(1 << 10)
     frequencies, n = document_frequencies(docs(spark, texts), counts, 1 << 10)
     assert n == 4 and (frequencies == (counts(pa.array(texts)) > 0).sum(axis=0)).all()
+
+
+@pytest.mark.parametrize("make", [character_counts, shape_counts])
+@pytest.mark.parametrize("block", [97, 400, 4000])
+def test_blocks_count_as_the_whole(make, block, monkeypatch):
+    rng = random.Random(block)
+    words = ["ab", "AB!", "\u00c9t\u00e9", "x1", "12", "\u03a3\u03a3", "...", "same", "\U0001f600"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n", "  ", "\t"]) for _ in range(rng.randint(1, 900))) for _ in range(12)]
+    whole = make(1 << 10)(pa.array(texts))
+    monkeypatch.setattr(features, "BLOCK_BYTES", block)
+    assert (make(1 << 10)(pa.array(texts)) == whole).all()
+    assert (make(1 << 10)(pa.array([None, texts[0], ""])) == make(1 << 10)(pa.array([None, texts[0], ""]))).all()
+
+
+@pytest.mark.parametrize("make", [character_counts, shape_counts])
+def test_a_text_of_50_megabytes(make):
+    """Memory for the text and for blocks of it, not 90 bytes for each of its bytes."""
+    column = pa.array(["Some words of a very long text, " * 1_600_000])
+    assert column.nbytes > 50e6
+    tracemalloc.start()
+    counts = make(1 << 12)(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 and counts.sum() > 100e6
+
+
+def test_one_word_that_fills_blocks(monkeypatch):
+    monkeypatch.setattr(features, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(features, "_CONTEXT_BYTES", 64)
+    for text in ("x" * 1000, "\u00e9" * 777, "\u4e2d" * 500 + " end"):
+        for make in (character_counts, shape_counts):
+            assert make(1 << 8)(pa.array([text])).sum() > 0
+
+
+def test_equal_neighbours_vote_in_their_order():
+    rng = np.random.default_rng(2)
+    cosines = rng.integers(0, 4, (300, 30)).astype(np.float32)
+    for k in (1, 5, 29, 30):
+        got = quality.nearest(cosines, k)
+        want = np.sort(np.argsort(-cosines, axis=1, kind="stable")[:, :k], axis=1)
+        assert (np.sort(got, axis=1) == want).all()
+
+
+def slow_features(text, size):
+    """Counts of hashed character 1- to 3-grams, one gram at a time."""
+    line, counts = slow_characters(text), {}
+    for n in (1, 2, 3):
+        for i in range(len(line) - n + 1):
+            gram = 0
+            for c in line[i : i + n]:
+                gram = (gram * 0x1000193 + ord(c) + 1) % 2**64
+            code = gram * 0xFF51AFD7ED558CCD * (2 * n + 1) % 2**64
+            cell = code >> (64 - size.bit_length() + 1)
+            counts[cell] = counts.get(cell, 0) + 1
+    return counts
+
+
+def slow_identify(rows, size, epochs=3, alpha=1.0, beta=1.0, l1=0.02, l2=0.001):
+    """The model and its predictions from the papers' formulas, coordinate by coordinate."""
+    learnable = [
+        (i, t, lang) for i, t, lang in rows
+        if i is not None and zlib.crc32(str(i).encode()) % 4 != 2 and t is not None and lang is not None
+    ]
+    held = {}
+    for _, t, _ in learnable:
+        for f in slow_features(t, size):
+            held[f] = held.get(f, 0) + 1
+    idf = lambda f: math.log((1 + len(learnable)) / (1 + held.get(f, 0))) + 1
+
+    def vector(text):
+        values = {f: math.log1p(c) * idf(f) for f, c in slow_features(text, size).items()}
+        length = math.sqrt(sum(v * v for v in values.values()))
+        return {**{f: v / length for f, v in values.items()}, size: 1.0}
+
+    def place(row):
+        code = xxhash.xxh64_intdigest(row[0].to_bytes(8, "little", signed=True), 42)
+        return (code & (1 << 53) - 1) / (1 << 53), row[2]
+
+    def soft(logits, t=1.0):
+        powers = [math.exp((x - max(logits)) / t) for x in logits]
+        return [p / sum(powers) for p in powers]
+
+    names = sorted({lang for *_, lang in learnable})
+    z, n = {}, {}
+
+    def weight(f, k):
+        own = z.get((f, k), 0.0)
+        if abs(own) <= l1:
+            return 0.0
+        return -(own - math.copysign(l1, own)) / ((beta + math.sqrt(n.get((f, k), 0.0))) / alpha + l2)
+
+    sample = [(vector(t), names.index(lang)) for _, t, lang in sorted(learnable, key=place)]
+    for _ in range(epochs):
+        for x, label in (s for i, s in enumerate(sample) if i % 5 != 4):
+            old = {(f, k): weight(f, k) for f in x for k in range(len(names))}
+            p = soft([sum(old[f, k] * v for f, v in x.items()) for k in range(len(names))])
+            for (f, k), w in old.items():
+                g = (p[k] - (k == label)) * x[f]
+                grown = n.get((f, k), 0.0) + g * g
+                sigma = (math.sqrt(grown) - math.sqrt(n.get((f, k), 0.0))) / alpha
+                z[f, k] = z.get((f, k), 0.0) + g - sigma * w
+                n[f, k] = grown
+    final = {key: weight(*key) for key in z}
+    logits = lambda x: [sum(final.get((f, k), 0.0) * v for f, v in x.items()) for k in range(len(names))]
+    apart = [(logits(x), label) for x, label in sample[4::5]]
+    grid = [math.exp(math.log(0.02) + (math.log(20) - math.log(0.02)) * i / 139) for i in range(140)]
+    loss = lambda t: -sum(math.log(max(soft(x, t)[label], 1e-12)) for x, label in apart)
+    t = min(grid, key=loss)
+    return {i: soft(logits(vector(text)), t) for i, text, _ in rows if any(map(str.isalpha, text or ""))}, names
+
+
+def test_languages_as_recomputed(spark, monkeypatch):
+    """Every probability against a plain recomputation of frequencies, leader and temperature."""
+    rng, size = random.Random(12), 1 << 9
+    rows = []
+    for i in range(70):
+        lang = rng.choice(["aa", "bb"])
+        letters = ALPHABETS[lang] + (ALPHABETS["bb"] if rng.random() < 0.4 else "")
+        # A fifth is marked wrongly, so that no text is certain.
+        rows.append((i * 7 - 30, sentence(rng, letters, rng.randint(1, 12)), lang if i % 5 else "aa"))
+    monkeypatch.setattr(language_id, "SIZE", size)
+    monkeypatch.setattr(language_id.train, "__defaults__", (size, language_id.MAX_ROWS, 3))
+    frame = spark.createDataFrame(rows + [(1000, "never seen \u00e9 abc", None), (1001, "9", "aa")], "doc_id bigint, text string, lang string")
+    want, names = slow_identify(rows + [(1000, "never seen \u00e9 abc", None), (1001, "9", "aa")], size)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify(frame).collect()}
+    assert got.pop(1001) == ("und", 0.0) and got.keys() == want.keys()
+    for i, p in want.items():
+        assert got[i] == (names[p.index(max(p))], pytest.approx(max(p), abs=2e-3))
+    assert len({round(s, 3) for _, s in got.values()}) > 10
