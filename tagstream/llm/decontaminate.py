@@ -32,6 +32,8 @@ CONTAINMENT = 0.8
 SHORT_ITEM = 24
 # The items' signatures are broadcast up to this many hashes (24 bytes each), else joined by a shuffle.
 MAX_BROADCAST_HASHES = 1_000_000
+# Documents that share a hash with an item, 24 bytes each: up to so many are broadcast to their texts.
+MAX_BROADCAST_CANDIDATES = 1_000_000
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -77,6 +79,20 @@ def signature(hashes: str, bits: Column) -> Column:
     return F.filter(hashes, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1))))
 
 
+def marked(hashes: str, bits: Column) -> Column:
+    """All hashes as ``h, least``: whether a hash is the least of its bin."""
+
+    def bin_of(h: Column) -> Column:
+        return F.call_function("shiftright", h, 64 - bits)
+
+    return F.transform(
+        hashes,
+        lambda h, i: F.struct(
+            h.alias("h"), ((i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1)))).alias("least")
+        ),
+    )
+
+
 def item_hashes(items: DataFrame, short_item: int) -> DataFrame:
     """``item_key, h, from_class``: classes in which h is in the item's signature; NULL for short items."""
     exploded = items.select("item_key", "hashes", F.posexplode("hashes").alias("i", "h"))
@@ -98,13 +114,15 @@ def contained_items(
     item_text: str = "text",
     short_item: int = SHORT_ITEM,
     max_broadcast: int = MAX_BROADCAST_HASHES,
+    max_candidates: int = MAX_BROADCAST_CANDIDATES,
 ) -> DataFrame:
     """``doc_id, text_hash, item_id, n_shared, n_item, containment`` per item held by a document.
 
     A text of fewer words than a shingle is one shingle. Null and empty texts hold nothing and
     are held by none. Null identifiers are carried through; rows that repeat an identifier
-    and text give one row; of several texts of one item the best counts; an empty table gives
-    an empty result.
+    and text give one row; of several texts of one item the best counts (equal ones are one row); an
+    empty table gives an empty result. A very long text is one row's arrays of words and hashes, some
+    40 bytes per word.
     """
     rows = documents(docs, doc_id, text).withColumn("text_hash", F.xxhash64("text"))
     own = documents(items, item_id, item_text).withColumn("item_key", F.xxhash64("doc_id", "text"))
@@ -114,16 +132,20 @@ def contained_items(
 
     signed = shingle_hashes(rows, "hashes", "text", size).filter(F.size("hashes") > 0)
     signed = signed.select("doc_id", "text_hash", "hashes", size_class(F.size("hashes")).alias("bits"))
-    minima = signed.select("doc_id", "text_hash", "bits", F.explode(signature("hashes", F.col("bits"))).alias("h"))
-    candidates = _meet(minima, index.filter("from_class IS NOT NULL"), n_hashes, max_broadcast)
-    candidates = candidates.filter("bits >= from_class").select("doc_id", "text_hash", "item_key")
     if all_short:
-        every = signed.select("doc_id", "text_hash", F.explode("hashes").alias("h"))
-        short = _meet(every, index.filter("from_class IS NULL"), n_hashes, max_broadcast)
-        candidates = candidates.unionByName(short.select("doc_id", "text_hash", "item_key"))
-    candidates = candidates.distinct().select(
-        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "item_key"
+        # Short items want every hash, so that all are looked up at once, marked if they are a bin's least.
+        looked_up = signed.select("doc_id", "text_hash", "bits", F.inline(marked("hashes", F.col("bits"))))
+        met = _meet(looked_up, index, n_hashes, max_broadcast)
+        met = met.filter("from_class IS NULL OR (least AND bits >= from_class)")
+    else:
+        minima = signed.select("doc_id", "text_hash", "bits", F.explode(signature("hashes", F.col("bits"))).alias("h"))
+        met = _meet(minima, index, n_hashes, max_broadcast).filter("bits >= from_class")
+    candidates = checkpointed(
+        met.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "item_key").distinct()
     )
+    # The texts stay where they are if the documents found are few.
+    if candidates.count() <= max_candidates:
+        candidates = F.broadcast(candidates)
     held = rows.join(candidates, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
     held = shingle_texts(held, "doc_shingles", "text", size).select(
         "doc_id", "text_hash", "item_key", "doc_shingles"

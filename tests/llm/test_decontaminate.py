@@ -57,7 +57,7 @@ def case(seed):
 @pytest.mark.parametrize("broadcast", [1_000_000, 0])
 def test_as_brute_force(spark, broadcast):
     rows, items = case(broadcast)
-    got = contained_items(clashing(docs(spark, rows)), frame(spark, items), max_broadcast=broadcast)
+    got = contained_items(clashing(docs(spark, rows)), frame(spark, items), max_broadcast=broadcast, max_candidates=broadcast)
     assert found(got) == brute(rows, items)
 
 
