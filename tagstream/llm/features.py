@@ -18,6 +18,8 @@ Counts = Callable[[pa.Array], np.ndarray]
 
 _MULTIPLIER = U64(0xFF51AFD7ED558CCD)
 _BLANK = 32
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 # Shape of a word that repeats another; no byte of UTF-8.
 _REPEATED = 255
 # A longer text is counted in blocks, each with so many words before it, so that no n-gram and no
@@ -165,6 +167,21 @@ def shape_counts(size: int, orders: range = range(1, 5)) -> Counts:
     return _by_blocks(run)
 
 
+def word_counts(size: int) -> Counts:
+    """Counts of lower-cased (A-Z) words by a hash; ``size`` is a power of two."""
+    shift = U64(64 - size.bit_length() + 1)
+
+    def run(column: pa.Array) -> np.ndarray:
+        words = Words(column)
+        words.data = _LOWER[words.data]
+        doc = np.repeat(np.arange(len(column)), words.counts)
+        cells = (words.hashes(BASES[0]) >> shift).astype(np.int64) + doc * size
+        counted = np.bincount(cells, minlength=len(column) * size)
+        return counted.reshape(len(column), size).astype(np.float32)
+
+    return _by_blocks(run)
+
+
 def document_frequencies(rows: DataFrame, counts: Counts, size: int) -> tuple[np.ndarray, int]:
     """In how many of all texts each feature occurs, and the number of texts.
 
