@@ -1,29 +1,25 @@
-"""Parquet folder that keeps one directory per batch.
+"""Parquet folder with a folder per batch, written by Spark and read as one table.
 
-Writing a batch again replaces its directories, so a replayed batch changes
-nothing. Readers reduce the rows by key and version, so a row present twice
-(a batch folded while its own directory still exists) changes nothing either.
-That makes folding safe without any commit file: write first, delete after.
-
-``partition_by`` columns come first in the path, so that a reader who knows their
-values lists only those folders.
+Writing a batch again replaces its folder, so a replayed batch changes nothing. Nothing is
+folded or deleted in place: a copy that holds less is an ordinary read, reduction and write to
+another path (``copied``), to which readers and the job move when it is complete.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KIND, BATCH = "_kind", "_batch_id"
-DELTA, BASE = "delta", "base"
-
-Stored = tuple[str, str, int]
+BATCH = "_batch_id"
+# The batch that a copy's rows belong to, which no stream writes again.
+COPIED = -1
 
 
 class BatchStore:
-    """``schema`` lists the data columns; ``partition_by`` adds one ``name: type`` above the batches."""
+    """``schema`` lists the data columns; ``partition_by`` adds one ``name: type`` below the batches."""
 
     def __init__(
         self, spark: SparkSession, root: str, schema: str, partition_by: dict[str, str] | None = None
@@ -33,88 +29,37 @@ class BatchStore:
         self.partition_by = dict(partition_by or {})
         if len(self.partition_by) > 1:
             raise ValueError("at most one partition column")
-        layout = {**self.partition_by, KIND: "STRING", BATCH: "BIGINT"}
+        self.data = schema
+        layout = {**self.partition_by, BATCH: "BIGINT"}
         self.schema = ", ".join([schema] + [f"{n} {t}" for n, t in layout.items()])
-        self._fs().mkdirs(self._path(self.root))
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        self._write(rows, DELTA, batch_id)
-
-    def read(self, parts: Iterable | None = None) -> DataFrame:
-        """All rows, or those of the given values of the partition column, with ``_kind`` and ``_batch_id``."""
-        reader = self.spark.read.schema(self.schema)
-        if parts is None:
-            return reader.parquet(self.root)
-        (column,) = self.partition_by
-        wanted = {f"{column}={p}" for p in parts}
-        paths = [f"{self.root}/{p}" for p in self._names(self.root) if p in wanted]
-        return self._read_paths(paths)
-
-    def _read_paths(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*paths)
-
-    def stored(self) -> list[Stored]:
-        """Every directory there is: the folder above it, its kind, its batch."""
-        above = self._names(self.root) if self.partition_by else [""]
-        return sorted(
-            (part, kind, int(name.split("=")[1]))
-            for part in above
-            for kind in (DELTA, BASE)
-            for name in self._names(self._folder(part, kind))
-        )
-
-    def batches(self, kind: str = DELTA) -> list[int]:
-        return sorted({batch for _, k, batch in self.stored() if k == kind})
-
-    def read_stored(self, stored: list[Stored]) -> DataFrame:
-        return self._read_paths([self._folder(*s) for s in stored])
-
-    def fold(
-        self, reduce_rows: Callable[[DataFrame], DataFrame], upto: int | None = None, full: bool = False
-    ) -> int | None:
-        """Replace batches up to ``upto`` (and, if ``full``, earlier folds) by one reduced batch.
-
-        Returns the fold's number, or None if there was nothing to fold.
-        """
-        there = self.stored()
-        deltas = [s for s in there if s[1] == DELTA and (upto is None or s[2] <= upto)]
-        bases = [s for s in there if s[1] == BASE]
-        if not deltas and not (full and len({s[2] for s in bases}) > 1):
-            return None
-        folded = deltas + (bases if full else [])
-        number = max((s[2] for s in bases), default=-1) + 1
-        rows = self.read_stored(folded).drop(KIND, BATCH)
-        self._write(reduce_rows(rows), BASE, number)
-        self.drop(folded)
-        return number
-
-    def drop(self, stored: list[Stored]) -> None:
-        for s in stored:
-            self._fs().delete(self._path(self._folder(*s)), True)
-
-    def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        rows = rows.withColumns({KIND: F.lit(kind), BATCH: F.lit(batch_id).cast("bigint")})
-        by = [*self.partition_by, KIND, BATCH]
         if self.partition_by:
             # A folder's few rows become one file, those of a large one several.
             rows = rows.hint("rebalance", *self.partition_by)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*by).parquet(self.root)
-
-    def _folder(self, part: str, kind: str, batch_id: int | None = None) -> str:
-        levels = [self.root, part, f"{KIND}={kind}", "" if batch_id is None else f"{BATCH}={batch_id}"]
-        return "/".join(level for level in levels if level)
+        writer = rows.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(f"{self.root}/{BATCH}={batch_id}")
 
-    def _names(self, folder: str) -> list[str]:
-        path = self._path(folder)
-        if not self._fs().exists(path):
-            return []
-        return [n for s in self._fs().listStatus(path) if "=" in (n := s.getPath().getName())]
+    def read(self, parts: Iterable | None = None) -> DataFrame:
+        """All rows, or those of the given values of the partition column, with ``_batch_id``.
 
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        Of other values no folder is read.
+        """
+        try:
+            rows = self.spark.read.schema(self.schema).parquet(self.root)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = self.spark.createDataFrame([], self.schema)
+        if parts is None:
+            return rows
+        (column,) = self.partition_by
+        return rows.filter(F.col(column).isin(list(parts)))
 
-    def _fs(self):
-        return self._path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def copied(self, root: str, reduce_rows: Callable[[DataFrame], DataFrame]) -> "BatchStore":
+        """A store at ``root`` with the reduced rows of this one as its only batch."""
+        copy = BatchStore(self.spark, root, self.data, self.partition_by)
+        copy.write(reduce_rows(self.read().drop(BATCH)), COPIED)
+        return copy

@@ -5,11 +5,9 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tagstream.functions.time import instant
-from tagstream.operators.keyed import current, last_write_wins, needed, superseded_dropped
-from tagstream.sinks.batch_store import BATCH, KIND, BatchStore
+from tagstream.operators.keyed import current, superseded_dropped
+from tagstream.sinks.batch_store import BATCH, BatchStore
 
 ENTRY_SCHEMA = (
     "key STRING, value STRING, "
@@ -29,33 +27,15 @@ class CacheStore:
 
     def view(self, as_of: datetime | Column | None = None, db: int | None = None) -> DataFrame:
         """The live entries: the latest write per key with its own expiry."""
-        rows = self.batches.read(None if db is None else [db]).drop(KIND, BATCH)
+        rows = self.batches.read(None if db is None else [db]).drop(BATCH)
         return current(rows, KEY, as_of).select("db", "key", "value", "written_at", "expires_at", "ver")
 
-    def compact(self, as_of: datetime | Column | None = None, upto: int | None = None, full: bool = False):
-        """Fold small batches together, leaving out what is expired or superseded.
+    def copied(self, root: str, as_of: datetime | Column | None = None) -> "CacheStore":
+        """A store at ``root`` with what views at or after ``as_of`` need, in one batch.
 
-        A view as of a time before the compaction is no longer exact afterwards. With
-        ``upto`` or without ``full`` other batches remain, so that nothing that hides one of
-        their writes may go: only superseded writes do.
+        Of the writes made by then that is the highest version per key, unless it has expired and
+        nothing of its key lives; and the writes of a clock ahead. A view as of a time before is not
+        exact there.
         """
-
-        def reduce_rows(rows: DataFrame) -> DataFrame:
-            if full and upto is None:
-                return superseded_dropped(rows, KEY, as_of)
-            made = F.col("written_at") <= instant(as_of)
-            return last_write_wins(rows.filter(made), KEY, F.col("ver")).unionByName(rows.filter(~made))
-
-        return self.batches.fold(reduce_rows, upto, full)
-
-    def purge(self, as_of: datetime | Column | None = None) -> int:
-        """Delete directories that no view at or after ``as_of`` needs; returns how many.
-
-        What is written meanwhile is not judged: the directories are listed first.
-        """
-        listed = self.batches.stored()
-        rows = needed(self.batches.read_stored(listed), KEY, as_of)
-        alive = {(f"db={r['db']}", r[KIND], r[BATCH]) for r in rows.select("db", KIND, BATCH).distinct().collect()}
-        dead = [s for s in listed if s not in alive]
-        self.batches.drop(dead)
-        return len(dead)
+        self.batches.copied(root, lambda rows: superseded_dropped(rows, KEY, as_of))
+        return CacheStore(self.batches.spark, root)

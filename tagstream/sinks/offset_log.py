@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.operators.offsets import commit_offsets
-from tagstream.sinks.batch_store import BATCH, KIND, BatchStore
+from tagstream.sinks.batch_store import BATCH, BatchStore
 
 RANGE_SCHEMA = "batch_id BIGINT, topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT, n BIGINT"
 
@@ -23,11 +23,7 @@ class OffsetLog:
         self.batches.write(ranges.select(F.lit(batch_id).cast("bigint").alias("batch_id"), *columns), batch_id)
 
     def ranges(self) -> DataFrame:
-        return self.batches.read().drop(KIND, BATCH).distinct()
-
-    def compact(self, upto: int | None = None) -> int | None:
-        """Fold the small batches together; no range is lost."""
-        return self.batches.fold(lambda rows: rows.distinct(), upto)
+        return self.batches.read().drop(BATCH).distinct()
 
     def positions(self) -> DataFrame:
         """The next offset per partition; a replayed or repeated range changes nothing."""

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tagstream.constants import NUMBER_SCALE, TIME_FIELD
 from tagstream.functions.plan import quoted
 from tagstream.operators.keyed import first_write_wins, insert_ignore
-from tagstream.sinks.batch_store import BASE, BATCH, KIND, BatchStore
+from tagstream.sinks.batch_store import BATCH, BatchStore
 
 DAY = 86_400
 VERSION_TYPE = "STRUCT<timestamp: TIMESTAMP, partition: INT, offset: BIGINT>"
@@ -29,7 +29,7 @@ class ParquetTable:
 
     Rows come as ``conform`` makes them, reduced to one per key (the time and ``key_columns``).
     ``keep="event"`` shows the earliest message per key whatever the arrival order: batches are
-    appended as they are, and a reader or a fold keeps the earliest. ``keep="arrival"`` never
+    appended as they are, and a reader keeps the earliest. ``keep="arrival"`` never
     stores a second row of a key, like a primary key: a batch is held against the stored rows
     of its days.
     """
@@ -66,17 +66,17 @@ class ParquetTable:
         return self.keep == "arrival"
 
     def insert_new(self, rows: DataFrame, batch_id: int, days: list[int] | None = None) -> None:
-        """Append rows whose key is not stored yet; ``days`` are those the rows cover.
+        """Append rows whose key is not stored yet; ``days`` are those the rows cover (None: any).
 
-        Only the folders of these days are listed and read, so one reading with a time far off
-        does not pull in the days between. The batch's own rows are left out, so a replay
-        writes the same rows again.
+        Only the folders of these days are read, so one reading with a time far off does not
+        pull in the days between. The batch's own rows are left out, so a replay writes the same
+        rows again.
         """
+        if self.looks_up and days == []:
+            return
         if self.looks_up:
-            if not days:
-                return
-            others = (F.col(KIND) == BASE) | (F.col(BATCH) != batch_id)
-            rows = insert_ignore(rows, self._store().read(days).filter(others), self.keys)
+            others = self._store().read(days).filter(F.col(BATCH) != batch_id)
+            rows = insert_ignore(rows, others, self.keys)
         self.append(rows, batch_id)
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
@@ -87,17 +87,18 @@ class ParquetTable:
         schema = self.schema()
         if schema is None:
             raise LookupError(f"no table at {self.root} yet: no usable reading has come")
-        rows = self._store().read().drop(KIND, BATCH, "day")
+        rows = self._store().read().drop(BATCH, "day")
         first = first_write_wins(rows, self.keys, F.col("ver"))
         own = set(self.keys)
         return first.selectExpr(*[quoted(f.name) if f.name in own else f"tags.{quoted(f.name)}" for f in schema.fields])
 
-    def compact(self, upto: int | None = None, full: bool = False):
-        if self.schema() is None:
-            return None
-        return self._store().fold(
-            lambda rows: first_write_wins(rows, [*self.keys, "day"], F.col("ver")), upto, full
-        )
+    def copied(self, root: str) -> "ParquetTable":
+        """The table at ``root`` with one row per key, in one batch."""
+        copy = ParquetTable(self.spark, root, self.keep, self.key_columns)
+        copy.create(self.schema())
+        keys = [*self.keys, "day"]
+        self._store().copied(f"{copy.root}/data", lambda rows: first_write_wins(rows, keys, F.col("ver")))
+        return copy
 
     def _store(self) -> BatchStore:
         fields = {f.name: f.dataType.simpleString() for f in self.schema().fields}
@@ -161,7 +162,7 @@ class JdbcTable:
     looks_up = True
 
     def insert_new(self, rows: DataFrame, batch_id: int, days: list[int] | None = None) -> None:
-        if not days:
+        if days == []:
             return
         wide = rows.select(*[quoted(k) for k in self.keys], *(["tags.*"] if "tags" in rows.columns else []))
         named = wide.select([F.col(quoted(c)).alias(column_name(c)) for c in wide.columns])
@@ -195,7 +196,9 @@ class JdbcTable:
         dealt = [texts[i :: self.parallelism] for i in range(min(self.parallelism, len(texts)))]
         return [own[0] if len(own) == 1 else " OR ".join(f"({t})" for t in own) for own in dealt]
 
-    def _stored_keys(self, days: list[int]) -> DataFrame:
+    def _stored_keys(self, days: list[int] | None) -> DataFrame:
+        if days is None:
+            return self._reader(self.table).select(*[column_name(k) for k in self.keys])
         names = [column_name(k) for k in self.keys]
         properties = {k: v for k, v in self.options.items() if k != "url"}
         found = self.spark.read.jdbc(

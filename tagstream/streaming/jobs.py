@@ -33,12 +33,13 @@ from tagstream.operators.tableschema import (
 )
 from tagstream.session import configure
 from tagstream.sinks.batch_store import BatchStore
-from tagstream.sinks.cache_store import CacheStore
 from tagstream.sinks.offset_log import OffsetLog
 from tagstream.sinks.table import JdbcTable, ParquetTable, day_of, tags_of
 from tagstream.streaming.report import BatchReport, OnReport, log_report
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+# Days whose stored rows are looked up by name.
+MOST_DAYS = 10_000
 # Column with the time of the batch.
 STAMP = "batch_time"
 
@@ -87,15 +88,12 @@ class _Job:
     clock: Callable[[], datetime] | None = None
     on_report: OnReport = log_report
     name: str | None = None
-    compact_every: int | None = None
     key_columns: dict[str, Column] = field(default_factory=dict)
 
     def __post_init__(self):
         check_zone(self.zone)
         if self.mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
-        if self.compact_every is not None and self.compact_every < 1:
-            raise ValueError("compact_every must be positive")
         self._must_have("quarantine", self.quarantine)
 
     def _must_have(self, what: str, store: BatchStore | Discard | None) -> None:
@@ -141,8 +139,6 @@ class _Job:
                 readings.unpersist()
         if not counts["n_in"]:
             return
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self._compact(written_at)
         self.on_report(BatchReport(batch_id=batch_id, written_at=written_at, **counts))
 
     def _looks_again(self) -> bool:
@@ -151,12 +147,6 @@ class _Job:
     def _write(self, readings: DataFrame, batch_id: int) -> tuple[datetime | None, dict[str, int]]:
         raise NotImplementedError
 
-    def _compact(self, written_at: datetime) -> None:
-        """Fold the batches since the last time; a row twice is one row."""
-        for store in (self.quarantine, self.offsets and self.offsets.batches):
-            if isinstance(store, BatchStore):
-                store.fold(lambda rows: rows.distinct())
-
 
 def _observe(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
     seen = Observation()
@@ -200,13 +190,6 @@ class CacheJob(_Job):
         self.target.write(entries, batch_id)
         return _stamp(seen), _count(seen) | _count(kept)
 
-    def _compact(self, written_at: datetime) -> None:
-        super()._compact(written_at)
-        if isinstance(self.target, CacheStore):
-            # What lives is bounded by the time to live, so that earlier folds can be folded too.
-            self.target.compact(as_of=written_at, full=self.ttl_seconds is not None)
-            self.target.purge(as_of=written_at)
-
 
 @dataclass(kw_only=True)
 class TableJob(_Job):
@@ -229,13 +212,6 @@ class TableJob(_Job):
         if self.target is not None and list(self.key_columns) != list(self.target.key_columns):
             raise ValueError("the job and its table must have the same key columns")
 
-    def _compact(self, written_at: datetime) -> None:
-        super()._compact(written_at)
-        if isinstance(self.rejects, BatchStore):
-            self.rejects.fold(lambda rows: rows.distinct())
-        if isinstance(self.target, ParquetTable):
-            self.target.compact()
-
     def _looks_again(self) -> bool:
         return super()._looks_again() or isinstance(self.rejects, BatchStore) or self.target.schema() is None
 
@@ -259,7 +235,7 @@ class TableJob(_Job):
         keys = [TIME_FIELD, *self.key_columns]
         firsts, kept = _observe(
             first_write_wins(rows.drop("n_rejected"), keys, F.col("ver")),
-            n_keys=F.count(F.lit(1)), days=F.collect_set(day_of(F.col(TIME_FIELD))),
+            n_keys=F.count(F.lit(1)),
         )
         if schema is None:
             firsts.write.format("noop").mode("overwrite").save()
@@ -270,7 +246,7 @@ class TableJob(_Job):
             firsts = firsts.persist()
             try:
                 firsts.write.format("noop").mode("overwrite").save()
-                self.target.insert_new(firsts, batch_id, sorted(kept.get["days"] or []))
+                self.target.insert_new(firsts, batch_id, _days(firsts))
             finally:
                 firsts.unpersist()
         counts = _count(seen) | _count(refused) | _count(kept)
@@ -279,5 +255,11 @@ class TableJob(_Job):
         return _stamp(seen), counts
 
 
+def _days(rows: DataFrame) -> list[int] | None:
+    """The days that the rows cover; None if they are so many that naming them would not help."""
+    days = rows.select(day_of(F.col(TIME_FIELD)).alias("day")).distinct().limit(MOST_DAYS + 1).collect()
+    return None if len(days) > MOST_DAYS else sorted(r["day"] for r in days)
+
+
 def _type_of(name: str) -> T.DataType:
     return T.StructType.fromDDL(f"x {name}").fields[0].dataType

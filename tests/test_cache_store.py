@@ -1,6 +1,6 @@
 import pytest
+from pyspark.sql import functions as F
 
-from tagstream.sinks.batch_store import BASE, DELTA
 from tagstream.sinks.cache_store import CacheStore
 from tests.test_keyed import ENTRY, at, entry
 
@@ -20,8 +20,6 @@ def values(store, second, db=None):
 
 def test_empty_store(store):
     assert values(store, 0) == {}
-    assert store.compact(at(0)) is None
-    assert store.purge(at(0)) == 0
 
 
 def test_namespaces_are_separate(store):
@@ -45,78 +43,39 @@ def test_batches_out_of_order_keep_the_highest_version(store):
     assert values(store, 5) == {(1, "a"): "v9"}
 
 
-def test_compaction_changes_no_view(store):
+def test_a_copy_changes_no_view(store, tmp_path):
     put(store, 0, entry(1, "a", 0, 9, 10), entry(1, "b", 0, 1, 600), entry(2, "a", 0, 2, 600))
     put(store, 1, entry(1, "a", 3, 2, 600))
     put(store, 2, entry(1, "b", 6, 5, 600))
     seconds = (6, 9, 10, 599, 600, 603, 605)
-    before = [values(store, s) for s in seconds]
-    assert store.compact(at(6), upto=1) == 0
-    assert store.batches.batches(DELTA) == [2] and store.batches.batches(BASE) == [0]
-    assert [values(store, s) for s in seconds] == before
-    assert store.compact(at(6), full=True) == 1
-    assert store.batches.batches(DELTA) == [] and store.batches.batches(BASE) == [1]
-    assert [values(store, s) for s in seconds] == before
-    assert store.compact(at(6), full=True) is None
-    assert values(store, 606) == {}
-
-
-def test_compaction_keeps_writes_of_a_clock_ahead(store):
-    put(store, 0, entry(1, "a", 100, 1, 600))
-    store.compact(at(50))
-    assert store.purge(at(50)) == 0
-    assert values(store, 100) == {(1, "a"): "v1"}
+    copy = store.copied(str(tmp_path / "copy"), at(6))
+    assert [values(copy, s) for s in seconds] == [values(store, s) for s in seconds]
+    assert copy.batches.read().count() < store.batches.read().count() == 5
+    # The job goes on in the copy; a batch that is written again replaces itself and not what was copied.
+    for _ in range(2):
+        put(copy, 2, entry(1, "c", 7, 6, 600))
+    assert values(copy, 8) == values(store, 8) | {(1, "c"): "v6"}
 
 
-def test_compaction_that_died_before_deleting(store, monkeypatch):
-    put(store, 0, entry(1, "a", 0, 1, 600))
-    put(store, 1, entry(1, "a", 3, 2, 600))
-    before = values(store, 5)
-    with monkeypatch.context() as m:
-        m.setattr(store.batches, "drop", lambda *a: (_ for _ in ()).throw(OSError("lost")))
-        with pytest.raises(OSError):
-            store.compact(at(5))
-    assert store.batches.batches(DELTA) == [0, 1] and store.batches.batches(BASE) == [0]
-    assert values(store, 5) == before
-    store.compact(at(5), full=True)
-    assert store.batches.read().count() == 1 and values(store, 5) == before
-
-
-def test_purge_drops_expired_directories_only(store):
-    put(store, 0, entry(1, "a", 0, 1, 10))
-    put(store, 1, entry(1, "b", 5, 2, 10), entry(1, "c", 5, 3, None))
-    put(store, 2, entry(1, "d", 8, 4, 10))
-    assert store.purge(at(9)) == 0
-    assert store.purge(at(18)) == 2
-    assert store.batches.batches() == [1]
-    assert values(store, 18) == {(1, "c"): "v3"}
+def test_a_copy_keeps_writes_of_a_clock_ahead(store, tmp_path):
+    put(store, 0, entry(1, "a", 100, 1, 600))
+    copy = store.copied(str(tmp_path / "copy"), at(50))
+    assert values(copy, 100) == {(1, "a"): "v1"}
 
 
-def test_purge_keeps_what_hides_a_living_write(store):
-    put(store, 0, entry(1, "a", 0, 2, 600))
+def test_a_copy_drops_what_expired_but_not_what_hides_a_living_write(store, tmp_path):
+    put(store, 0, entry(1, "a", 0, 2, 600), entry(1, "b", 0, 3, 10))
     put(store, 1, entry(1, "a", 500, 1, 600))
-    assert store.purge(at(650)) == 0 and values(store, 650) == {}
-    assert store.purge(at(1100)) == 2 and values(store, 1100) == {}
-
-
-def test_a_write_during_a_purge_survives(store, monkeypatch):
-    put(store, 0, entry(1, "a", 0, 1, 10))
-    listed = store.batches.stored
-
-    def list_then_write():
-        found = listed()
-        put(store, 1, entry(1, "b", 20, 2, 600))
-        return found
-
-    monkeypatch.setattr(store.batches, "stored", list_then_write)
-    assert store.purge(at(20)) == 1
-    assert values(store, 20) == {(1, "b"): "v2"}
+    copy = store.copied(str(tmp_path / "copy"), at(650))
+    assert values(copy, 650) == {} and {r.key for r in copy.batches.read().collect()} == {"a"}
+    assert copy.copied(str(tmp_path / "again"), at(1100)).batches.read().count() == 0
 
 
 def test_view_reads_only_its_namespace(store):
     put(store, 0, entry(1, "a", 0, 1, 10), entry(2, "a", 0, 2, 10))
-    files = store.view(at(5), db=1).inputFiles()
-    assert files and all("db=1" in f for f in files)
+    assert "PartitionFilters: [isnotnull(db" in store.view(at(5), db=1)._jdf.queryExecution().executedPlan().toString()
+    files = {r.f for r in store.batches.read([1]).select(F.input_file_name().alias("f")).collect()}
+    assert files and all("db=1/" in f for f in files)
 
 
 def test_a_namespace_without_entries(store):

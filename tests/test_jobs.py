@@ -73,7 +73,7 @@ def forget_last_commit(checkpoint):
 def test_cache_stream_equals_batch(spark, source, tmp_path, files_per_batch):
     store = CacheStore(spark, str(tmp_path / "cache"))
     job = cache_job(
-        spark=spark, checkpoint=str(tmp_path / "c"), target=store, clock=lambda: START, compact_every=2)
+        spark=spark, checkpoint=str(tmp_path / "c"), target=store, clock=lambda: START)
     run(job, spark, source, files_per_batch)
     want = latest_entries(usable(parse_readings(frame(spark, LOG))), START, 600).collect()
     assert cached(store) == {r.key: json.loads(r.value) for r in want}
@@ -159,7 +159,7 @@ def test_no_quarantine_pass_without_bad_messages(spark, tmp_path):
     job = cache_job(spark=spark, checkpoint=str(tmp_path / "c"),
                    target=CacheStore(spark, str(tmp_path / "cache")), quarantine=bad)
     run(job, spark, path)
-    assert bad.batches() == []
+    assert bad.read().isEmpty() and not (tmp_path / "bad").exists()
 
 
 def test_failfast_stops_the_stream(spark, source, tmp_path):
@@ -220,7 +220,7 @@ def test_interval_trigger(spark, source, tmp_path):
 
 
 @pytest.mark.parametrize("wrong", [
-    {"zone": "Mars/Base"}, {"mode": "LOOSE"}, {"ttl_seconds": 0}, {"compact_every": 0}])
+    {"zone": "Mars/Base"}, {"mode": "LOOSE"}, {"ttl_seconds": 0}])
 def test_options_are_checked_before_the_start(spark, wrong):
     with pytest.raises((ValueError, KeyError)):
         cache_job(spark=spark, checkpoint="c", target=None, **wrong)
@@ -228,20 +228,38 @@ def test_options_are_checked_before_the_start(spark, wrong):
         table_job(spark=spark, checkpoint="c", target=None, columns="last")
 
 
-def test_compaction_in_the_stream(spark, source, tmp_path):
-    clock = iter(at(s) for s in (0, 300, 700))
-    store = CacheStore(spark, str(tmp_path / "cache"))
-    audit = OffsetLog(spark, str(tmp_path / "offsets"), "g")
-    job = cache_job(spark=spark, checkpoint=str(tmp_path / "c1"), target=store, offsets=audit,
-                   clock=lambda: next(clock), compact_every=1)
-    run(job, spark, source)
-    assert store.batches.batches() == [] and len(store.batches.batches("base")) == 1
-    assert len(cached(store, 700)) == 7 and audit.positions().count() == 3
-    table = ParquetTable(spark, str(tmp_path / "table"))
-    run(table_job(spark=spark, checkpoint=str(tmp_path / "c2"), target=table, compact_every=2), spark, source)
-    rows = conform(usable(parse_readings(frame(spark, LOG))), ["v.a"])
-    want = first_write_wins(rows, ["time"], F.col("ver")).select("time", "tags.`v.a`").collect()
-    assert sorted(map(tuple, table.view().collect())) == sorted(map(tuple, want))
+def test_a_job_goes_on_in_a_copy(spark, source, tmp_path):
+    """The store is copied between two runs; the checkpoint stays, and readers see no difference."""
+    store, checkpoint = CacheStore(spark, str(tmp_path / "cache")), str(tmp_path / "c1")
+    run(cache_job(spark=spark, checkpoint=checkpoint, target=store, clock=lambda: START), spark, source)
+    copy = store.copied(str(tmp_path / "copy"), at(0))
+    write_files(spark, source, [message(body(i, 100 + i), offset=90 + i, at=100 + i) for i in range(3)])
+    for target in (store, copy):
+        run(cache_job(spark=spark, checkpoint=checkpoint, target=target, clock=lambda: START), spark, source)
+        forget_last_commit(checkpoint)
+    assert cached(copy) == cached(store) and cached(copy)["sfhd_origin_1704067202"]["v.a"] == 102
+    assert copy.batches.read().count() < store.batches.read().count()
+
+
+@pytest.mark.parametrize("most", [2, 10_000])
+def test_a_table_batch_of_very_many_days(spark, tmp_path, monkeypatch, most):
+    """Beyond a bound the days are not named; what is stored is looked up all the same."""
+    monkeypatch.setattr("tagstream.streaming.jobs.MOST_DAYS", most)
+    path, table = str(tmp_path / "log"), ParquetTable(spark, str(tmp_path / "table"), "arrival")
+    day = lambda d, v: json.dumps({"time": f"2024-01-{d:02d} 00:00:00", "v.a": v})
+    write_files(spark, path, [message(day(d, d), offset=d, at=d) for d in range(1, 9)], size=8)
+    run(table_job(spark=spark, checkpoint=str(tmp_path / "c"), target=table), spark, path)
+    write_files(spark, path, [message(day(d, 100 + d), offset=20 + d, at=20 + d) for d in range(5, 12)], size=7)
+    run(table_job(spark=spark, checkpoint=str(tmp_path / "c"), target=table), spark, path)
+    assert sorted(r["v.a"] for r in table.view().collect()) == [1, 2, 3, 4, 5, 6, 7, 8, 109, 110, 111]
+
+
+def test_a_streams_small_days_are_one_file_each(spark, tmp_path):
+    path, table = str(tmp_path / "log"), ParquetTable(spark, str(tmp_path / "table"))
+    days = [message(json.dumps({"time": f"2024-01-{1 + i % 20:02d} 00:00:{i:02d}", "v.a": i}), offset=i, at=i) for i in range(60)]
+    frame(spark, days).repartition(8).write.parquet(path)
+    run(table_job(spark=spark, checkpoint=str(tmp_path / "c"), target=table), spark, path, 100)
+    assert len(table._store().read().inputFiles()) == 20 and table.view().count() == 60
 
 
 def test_log_report(caplog):

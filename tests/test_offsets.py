@@ -97,9 +97,7 @@ def test_ranges_commit_and_log(spark, log, tmp_path):
     audit.append(offset_ranges(topic.filter("offset between 4 and 8 and partition < 2")), 1)
     assert {(r.group, r.topic, r.partition, r.next_offset) for r in audit.positions().collect()} == {
         ("g", "a", 0, 9), ("g", "a", 1, 9), ("g", "a", 2, 4), ("g", "a", 3, 4)}
-    before = {tuple(r) for r in audit.ranges().collect()}
-    assert audit.compact() == 0 and audit.batches.batches() == []
-    assert {tuple(r) for r in audit.ranges().collect()} == before and audit.positions().count() == 4
+    assert audit.ranges().count() == 6 and audit.positions().count() == 4
     ranges = audit.ranges().filter("batch_id = 1 and partition = 0").first()
     assert (ranges.from_offset, ranges.until_offset, ranges.n) == (4, 9, 5)
     assert offsets(resume(topic, audit.positions(), "g", strict=True)) == offsets(
