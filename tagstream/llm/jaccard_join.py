@@ -122,12 +122,14 @@ class _Join:
         met = self._met(self._every_key(apart))
         rooted = _apart(met.filter(F.col("n") <= self.few).select("key", "c"), roots)
         found = self._more(found, self._among_rooted(rooted))
-        # A class with keys enough that are not crowded has met all its like under these.
-        crowded = met.filter(F.col("n") > self.few)
-        lost = crowded.groupBy("c", "band", "needed", "pieces").agg(F.count(F.lit(1)).alias("lost"))
-        lacking = lost.filter("pieces - lost < needed").select("c", "band")
-        rows = crowded.select("key", "c", "band").join(lacking, ["c", "band"], "left_semi").select("key", "c")
-        rows = fitted(_apart(rows, roots))
+        # Crowded keys come last in the order of a class's keys, the fuller the later: a class with keys
+        # enough before them has met all its like, and another needs as many as it lacks.
+        crowded = met.filter(F.col("n") > self.few).groupBy("c", "band", "needed", "pieces").agg(
+            F.sort_array(F.collect_list(F.struct("n", "key"))).alias("last")
+        )
+        lacking = (F.col("needed") - (F.col("pieces") - F.size("last"))).cast("int")
+        rows = crowded.filter(lacking > 0).select("c", F.explode(F.slice("last", F.lit(1), lacking)).alias("k"))
+        rows = fitted(_apart(rows.select("k.key", "c"), roots))
         if rows.isEmpty():
             return found
         return self._more(found, self._by_blocks(rows))
