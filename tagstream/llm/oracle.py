@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHINGLES = """
     SELECT {id}, unnest(list_distinct(CASE
         WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
@@ -62,6 +63,23 @@ ORACLE: dict[str, str] = {
                                 ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
                sha256(text) AS restored_sha256
         FROM p""",
+    "op12_jaccard_join": f"""
+        WITH RECURSIVE d AS (
+          SELECT row_number() OVER () AS rid, doc_id, {_WORDS.replace("coalesce(text, '')", _LOWER)} AS w FROM documents),
+        s AS (
+          SELECT rid, unnest(list_distinct(CASE
+              WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END)) AS shingle
+          FROM d),
+        n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+        p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b USING (shingle) GROUP BY a.rid, b.rid),
+        l AS (
+          SELECT x, y FROM p JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y
+          WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+        r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        c AS (SELECT r.x AS rid, min(d.doc_id) AS component_id FROM r JOIN d ON d.rid = r.y GROUP BY r.x)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n > 0 THEN component_id ELSE doc_id END AS component_id
+        FROM d LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)""",
     "op13_collocations": r"""
         WITH p AS (
           SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
