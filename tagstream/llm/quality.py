@@ -67,6 +67,14 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(length > 1e-9, length, 1)
 
 
+def rows_of(column: pa.ChunkedArray, size: int) -> np.ndarray:
+    """Rows of half-precision bytes as one matrix, without a second copy of all of them."""
+    matrix = np.empty((len(column), size), np.float32)
+    for i, row in enumerate(column):
+        matrix[i] = np.frombuffer(row.as_buffer(), np.float16)
+    return matrix
+
+
 def leading_axes(matrix: np.ndarray, dimensions: int, rounds: int = 4) -> np.ndarray:
     """Leading right singular vectors by subspace iteration from a fixed start."""
     width = min(dimensions + 16, *matrix.shape)
@@ -112,9 +120,10 @@ def train(
     if not len(sample):
         return None
     sample = sample.sort_by([("doc_id", "ascending"), ("row", "ascending")])
-    matrix = np.stack([np.frombuffer(r.as_buffer(), np.float16) for r in sample["row"]]).astype(np.float32)
+    labels, matrix = sample["label"].to_numpy().astype(np.float64), rows_of(sample["row"], size)
+    del sample
     axes = leading_axes(matrix, dimensions)
-    return Model(idf, axes, unit(matrix @ axes), sample["label"].to_numpy().astype(np.float64))
+    return Model(idf, axes, unit(matrix @ axes), labels)
 
 
 def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
