@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,21 +20,33 @@ TIME_TYPE = "bigint"
 NUMBER_TYPE = "double"
 
 
+def tag_types(readings: DataFrame) -> dict[str, str]:
+    """Every tag of the readings with the type of all its values: one reduction, merged on the map side.
+
+    A tag with values of several kinds is a ``variant``, one that is always null ``void``. The time
+    field is among them.
+    """
+    merged = readings.agg(F.schema_of_variant_agg("body")).first()[0]
+    # Spark's own name for an object's type, outside of quoted names.
+    struct = re.sub(r"(`(?:[^`]|``)*`)|\bOBJECT<", lambda m: m[1] or "STRUCT<", merged)
+    found = T.StructType.fromDDL(f"body {struct}").fields[0].dataType
+    return {f.name: f.dataType.simpleString() for f in found.fields} if isinstance(found, T.StructType) else {}
+
+
 def infer_table_columns(readings: DataFrame, mode: str = "first") -> DataFrame:
     """``column_name, column_type`` from the first reading, or from the union of all.
 
-    The union first reduces to distinct sets of names, so it does not explode
-    every reading. Column names are case-insensitive, as in SQL: of names that
-    differ only in case the lowest is kept.
+    The union is the schema that all bodies merge to, so no reading is exploded and no set of
+    names is shuffled. Column names are case-insensitive, as in SQL: of names that differ only in case
+    the lowest is kept.
     """
     if mode not in ("first", "union"):
         raise ValueError("mode must be 'first' or 'union'")
+    if mode == "union":
+        return _columns(readings, tag_types(readings))
     names = J.tag_names(F.col("body")).alias("names")
-    if mode == "first":
-        sets = readings.select("body", version().alias("ver")).orderBy("ver").limit(1).select(names)
-    else:
-        sets = readings.select(names).distinct()
-    tags = sets.select(F.explode("names").alias("tag"))
+    first = readings.select("body", version().alias("ver")).orderBy("ver").limit(1).select(names)
+    tags = first.select(F.explode("names").alias("tag"))
     folded = F.lower("tag")
     return (
         tags.filter((folded != TIME_FIELD) | (F.col("tag") == TIME_FIELD))
@@ -41,6 +56,15 @@ def infer_table_columns(readings: DataFrame, mode: str = "first") -> DataFrame:
     )
 
 
+def _columns(readings: DataFrame, tags: Iterable[str]) -> DataFrame:
+    lowest: dict[str, str] = {}
+    for tag in sorted(tags):
+        if tag == TIME_FIELD or tag.lower() != TIME_FIELD:
+            lowest.setdefault(tag.lower(), tag)
+    rows = [(tag, TIME_TYPE if tag == TIME_FIELD else NUMBER_TYPE) for tag in lowest.values()]
+    return readings.sparkSession.createDataFrame(rows, "column_name string, column_type string")
+
+
 def _column_type(name: Column) -> Column:
     return F.when(name == TIME_FIELD, TIME_TYPE).otherwise(NUMBER_TYPE)
 

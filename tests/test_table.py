@@ -17,6 +17,7 @@ from tagstream.operators.tableschema import (
     infer_table_columns,
     rejected_tags,
     table_schema,
+    tag_types,
 )
 from tagstream.sinks.table import (
     JdbcTable,
@@ -57,6 +58,32 @@ def test_names_equal_but_for_case(spark):
 HELPERS = ["_day", "_kind", "_batch_id", "ver", "day", "tags", "n_rejected", "n_tags", "body", "batch_time", "stored", "alive"]
 
 
+def test_types_of_all_tags(spark):
+    odd = readings(
+        spark, '{"time": "2024-01-01 00:00:00", "a.b": 1, "O<B>: X,": {"OBJECT<": 2}, "q`r": null, "": true}',
+        '{"time": "2024-01-01 00:00:01", "a.b": "text", "A.B": 1.5, "l": [1, "x"], "\u00e9 `c` d": "t"}',
+    )
+    assert tag_types(odd) == {
+        "time": "string", "a.b": "variant", "O<B>: X,": "struct<OBJECT<:bigint>", "q`r": "void", "": "boolean",
+        "A.B": "decimal(2,1)", "l": "array<variant>", "\u00e9 `c` d": "string",
+    }
+    assert tag_types(odd.limit(0)) == {}
+    names = [r.column_name for r in infer_table_columns(odd, "union").collect()]
+    assert sorted(names) == sorted(["time", "A.B", "O<B>: X,", "q`r", "", "l", "\u00e9 `c` d"])
+
+
+def test_five_thousand_tags(spark):
+    """Dealt over readings of a hundred each, names that differ in case among them."""
+    time = '"time": "2024-01-01 00:00:00"'
+    own = [f"Tag.{i}" for i in range(5000)] + [f"tAG.{i}" for i in range(0, 5000, 50)]
+    bodies = ["{" + ", ".join([time, *[f'"{t}": {i}' for t in own[i : i + 100]]]) + "}" for i in range(0, len(own), 100)]
+    log = readings(spark, *bodies).repartition(5)
+    got = {r.column_name: r.column_type for r in infer_table_columns(log, "union").collect()}
+    assert got == {f"Tag.{i}": "double" for i in range(5000)} | {"time": "bigint"}
+    plan = log.agg(F.schema_of_variant_agg("body"))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_schema_of_variant_agg" in plan
+
+
 def test_tags_called_like_our_own_columns(spark, tmp_path):
     body = json.dumps({"time": "2017-08-01 10:00:00", **{t: i for i, t in enumerate(HELPERS)}})
     log = readings(spark, body)
