@@ -41,6 +41,44 @@ def _pick(df: DataFrame, keys: list[str], by, ver: Column) -> DataFrame:
     return df.groupBy(*key_columns).agg(winner).select(*key_columns, "_winner.*")
 
 
+# Digits of a packed version below the message's microseconds.
+_OFFSET, _PARTITION = 10**15, 10**5
+
+
+def packed_version(timestamp: str = "timestamp", partition: str = "partition", offset: str = "offset") -> Column:
+    """``version`` as one decimal, which a hash aggregate keeps in place; an error for numbers it cannot hold."""
+    fits = (
+        F.col(offset).between(0, _OFFSET - 1)
+        & F.col(partition).between(0, _PARTITION - 1)
+        & (F.unix_micros(timestamp) >= 0)
+    )
+    packed = F.expr(
+        f"cast(unix_micros({quoted(timestamp)}) AS decimal(17,0)) * {_PARTITION}BD * {_OFFSET}BD"
+        f" + cast({quoted(partition)} AS decimal(20,0)) * {_OFFSET}BD + cast({quoted(offset)} AS decimal(20,0))"
+    ).cast("decimal(38,0)")
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("a version that does not fit")).cast("decimal(38,0)"))
+
+
+def winning_places(rows: DataFrame, keys: list[str], last: bool = True) -> DataFrame:
+    """Per key the ``timestamp``, ``partition`` and ``offset`` of its highest (or lowest) version.
+
+    Nothing but keys and a number of fixed width is aggregated and shuffled, so that no body is
+    sorted; ``rows`` carry the three columns.
+    """
+    pick = F.max if last else F.min
+    best = rows.groupBy(*[quoted(k) for k in keys]).agg(pick(packed_version()).alias("_v"))
+    place = "cast(_v % {0}BD AS bigint)".format(_OFFSET)
+    # An integral division gives a long, so what is above goes first.
+    partition = f"cast((_v % {_OFFSET * _PARTITION}BD) div {_OFFSET}BD AS int)"
+    micros = f"_v div {_OFFSET * _PARTITION}BD"
+    return best.select(
+        *[quoted(k) for k in keys],
+        F.expr(f"timestamp_micros({micros})").alias("timestamp"),
+        F.expr(partition).alias("partition"),
+        F.expr(place).alias("offset"),
+    )
+
+
 def insert_ignore(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """New rows whose key is not stored yet. ``new`` should hold one row per key."""
     return new.join(stored.select(*keys), keys, "left_anti")

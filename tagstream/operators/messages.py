@@ -12,7 +12,7 @@ from tagstream.constants import CACHE_DB, CACHE_PREFIX, TIME_FIELD
 from tagstream.functions import json as J
 from tagstream.functions.plan import with_column_once
 from tagstream.functions.time import instant, with_epoch
-from tagstream.operators.keyed import last_write_wins, version, with_expiry
+from tagstream.operators.keyed import last_write_wins, version, winning_places, with_expiry
 from tagstream.session import check_session
 
 LINEAGE = ("topic", "partition", "offset", "timestamp")
@@ -127,6 +127,20 @@ def latest_entries(
     return with_expiry(entries, instant(written_at), ttl_seconds).drop(*keep)
 
 
+def latest_messages(
+    messages: DataFrame, zone: str = "UTC", lenient: bool = False, last: bool = True
+) -> DataFrame:
+    """The raw messages of one topic that are the last (or first) usable ones of their second.
+
+    Of every message only the second and a packed version are aggregated, in a hash aggregate; the
+    winners' bodies are fetched by a join on partition, offset and timestamp, which reads the log a second
+    time. That pays where bodies are large; ``latest_entries`` carries the bodies along and reads once.
+    """
+    usable_rows = usable(parse_readings(messages, zone, lenient))
+    places = winning_places(usable_rows.select("time", *LINEAGE[1:]), ["time"], last).drop("time")
+    return messages.join(places, ["timestamp", "partition", "offset"], "left_semi")
+
+
 def message_entries(
     readings: DataFrame,
     written_at: datetime | Column | None = None,

@@ -76,6 +76,7 @@ ORACLE: dict[str, str] = {
     "event_epoch_seconds_lenient": f"{_M} SELECT event_id, second_s AS time FROM m",
     "event_epoch_seconds_long_fields": f"{_M} SELECT event_id, second_s AS time FROM m",
     "latest_by_key": _LATEST,
+    "latest_by_packed_version": _LATEST,
     "rewrite_time_field": _ENTRIES,
     "reading_entries": _ENTRIES,
     "quarantine_bad_messages": _POISON,
@@ -151,6 +152,9 @@ ORACLE: dict[str, str] = {
     "stream_latest_store": _LATEST,
     "stream_live_keys": _LATEST,
     "stream_insert_ignore": _FIRST,
+    "stream_first_batch": f"""{_M}
+        SELECT hour_s AS time, value AS val FROM m
+        QUALIFY row_number() OVER (PARTITION BY hour_s ORDER BY (event_id * 7 // 3) % 4, event_id) = 1""",
     "stream_first_arrival": f"""{_M}
         SELECT hour_s AS time, value AS val FROM m
         QUALIFY row_number() OVER (PARTITION BY hour_s ORDER BY (event_id * 7 // 3) % 4, part, off) = 1""",

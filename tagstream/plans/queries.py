@@ -16,6 +16,7 @@ from tagstream.operators.keyed import current, first_write_wins, insert_ignore,
 from tagstream.operators.messages import (
     cache_key,
     latest_entries,
+    latest_messages,
     message_entries,
     parse_readings,
     project_messages,
@@ -106,6 +107,12 @@ def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("key", _stored_tag(VALUE, "val"))
 
 
+def latest_by_packed_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with bodies fetched for the winners only."""
+    winners = usable(parse_readings(latest_messages(dense_log(spark, sf_dir))))
+    return winners.select(cache_key(F.col("time")).alias("key"), _tag(VALUE, "val"))
+
+
 def rewrite_time_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rewritten text, read again and taken apart."""
     rewritten = rewrite_time(usable(parse_readings(dense_log(spark, sf_dir)))).select(
@@ -401,18 +408,31 @@ def stream_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view().select("time", F.col(f"`{VALUE}`").alias("val"))
 
 
-def stream_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log arrives in four parts that each hold messages of the whole time: what came first stays."""
-    root = scratch_dir(spark, "stream_first_arrival")
+def _arriving_in_parts(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The log in four parts that each hold messages of the whole time, streamed one after the other."""
     log = dense_log(spark, sf_dir).withColumn("part_of_log", F.expr(f"({ARRIVAL}) % 4"))
     files = max(1, logs.events(spark, sf_dir).count() // (4 * FILE_MESSAGES))
     for part in range(4):
         rows = log.filter(F.col("part_of_log") == part).drop("part_of_log")
-        rows.repartition(files, "offset").write.mode("append").parquet(f"{root}/log")
+        rows.repartition(files, "offset").write.mode("append").parquet(path)
+    return stream_message_log(spark, path, files)
+
+
+def stream_first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table job that looks stored rows up: a key's row is of the first part that has the key."""
+    root = scratch_dir(spark, "stream_first_batch")
+    table = ParquetTable(spark, f"{root}/table", keep="arrival")
+    job = TableJob(spark=spark, checkpoint=f"{root}/checkpoint", target=table, quarantine=DISCARD, rejects=DISCARD)
+    job.start(_arriving_in_parts(spark, sf_dir, f"{root}/log"), available_now=True).awaitTermination()
+    return table.view().select("time", F.col(f"`{VALUE}`").alias("val"))
+
+
+def stream_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came first stays, by the stream's state: of the first part, the lowest partition and offset."""
+    root = scratch_dir(spark, "stream_first_arrival")
     table = ParquetTable(spark, f"{root}/table")
-    start_first_arrivals(
-        stream_message_log(spark, f"{root}/log", files), table, f"{root}/checkpoint", [VALUE], available_now=True
-    ).awaitTermination()
+    stream = _arriving_in_parts(spark, sf_dir, f"{root}/log")
+    start_first_arrivals(stream, table, f"{root}/checkpoint", [VALUE], available_now=True).awaitTermination()
     return table.view().select("time", F.col(f"`{VALUE}`").alias("val"))
 
 
@@ -449,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_epoch_seconds_lenient": event_epoch_seconds_lenient,
     "event_epoch_seconds_long_fields": event_epoch_seconds_long_fields,
     "latest_by_key": latest_by_key,
+    "latest_by_packed_version": latest_by_packed_version,
     "rewrite_time_field": rewrite_time_field,
     "reading_entries": tag_entries,
     "quarantine_bad_messages": quarantine_bad_messages,
@@ -480,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest_by_extra_key": stream_latest_by_extra_key,
     "stream_quarantine": stream_quarantine,
     "stream_insert_ignore": stream_insert_ignore,
+    "stream_first_batch": stream_first_batch,
     "stream_first_arrival": stream_first_arrival,
     "stream_live_keys": stream_live_keys,
     "batch_report": batch_report,

@@ -1,7 +1,10 @@
+import random
 from datetime import timedelta, timezone
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tagstream.operators.keyed import (
@@ -12,6 +15,7 @@ from tagstream.operators.keyed import (
     needed,
     superseded_dropped,
     version,
+    winning_places,
     with_expiry,
 )
 from tests.messages import START
@@ -134,3 +138,27 @@ def test_in_order_writes_leave_one_row_per_key(spark):
 def test_with_expiry(spark):
     df = with_expiry(spark.range(1), F.lit(START), 90).first()
     assert (df.expires_at - df.written_at).total_seconds() == 90
+
+
+@pytest.mark.parametrize("last", [True, False])
+def test_packed_versions_order_as_the_struct(spark, last):
+    rng = random.Random(4)
+    rows = [
+        (rng.randrange(5), rng.randrange(3), rng.randrange(4), rng.choice([0, 1, 10**15 - 1, 7]))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, "k int, s int, partition int, offset bigint").withColumn(
+        "timestamp", F.expr("timestamp_micros(1704067200123456 + s)")
+    )
+    got = {(r.k, r.timestamp.microsecond - 123456, r.partition, r.offset) for r in winning_places(df, ["k"], last).collect()}
+    pick = max if last else min
+    assert got == {pick(r for r in rows if r[0] == k) for k in range(5)}
+    text = winning_places(df, ["k"], last)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("HashAggregate(") == 2 and "SortAggregate" not in text and "ObjectHash" not in text
+
+
+@pytest.mark.parametrize("row", [(0, 10**15), (10**5, 0), (-1, 0), (0, -1)])
+def test_versions_that_cannot_be_packed(spark, row):
+    df = spark.createDataFrame([(1, *row)], "k int, partition int, offset bigint").withColumn("timestamp", F.current_timestamp())
+    with pytest.raises(PySparkException):
+        winning_places(df, ["k"]).collect()
