@@ -33,9 +33,9 @@ def parse_time(text: Column, zone: str = "UTC", lenient: bool = False) -> Column
     """
     check_zone(zone)
     if lenient:
-        # Bound by a function, so that the text is taken apart once.
-        wall = F.transform(F.array(time_fields(text)), _wall_seconds)[0]
-        return F.to_utc_timestamp(F.timestamp_seconds(wall), zone)
+        # Bound by functions, so that the text is taken apart once.
+        wall = F.transform(F.array(time_fields(text)), lambda f: _wall_seconds(f, _months(f)))
+        return F.transform(wall, lambda w: F.to_utc_timestamp(F.timestamp_seconds(_in_range(w)), zone))[0]
     return F.try_to_timestamp(F.concat(text, F.lit(f" {zone}")), F.lit(f"{TIME_PATTERN} VV"))
 
 
@@ -48,28 +48,38 @@ def with_epoch(df: DataFrame, name: str, text: Column, zone: str = "UTC", lenien
     check_zone(zone)
     if not lenient:
         return with_column_once(df, name, epoch_seconds(text, zone))
-    fields, wall = f"_{name}_fields", f"_{name}_wall"
+    fields, months, wall = (f"_{name}_{part}" for part in ("fields", "months", "wall"))
     df = with_column_once(df, fields, time_fields(text))
-    df = with_column_once(df, wall, _wall_seconds(F.col(fields)))
-    epoch = F.unix_timestamp(F.to_utc_timestamp(F.timestamp_seconds(wall), zone))
-    return with_column_once(df, name, epoch).drop(fields, wall)
+    df = with_column_once(df, months, _months(F.col(fields)))
+    df = with_column_once(df, wall, _wall_seconds(F.col(fields), F.col(months)))
+    epoch = _in_range(F.col(wall))
+    if zone != "UTC":
+        epoch = F.unix_timestamp(F.to_utc_timestamp(F.timestamp_seconds(epoch), zone))
+    return with_column_once(df, name, epoch).drop(fields, months, wall)
 
 
 def time_fields(text: Column) -> Column:
     """The six numbers as an array, NULL where one is too long for a number; another text gives fewer than six."""
-    return F.split(F.regexp_extract(text, _LENIENT, 1), r"[-:\s]+").try_cast("array<bigint>")
-
-
-def _wall_seconds(fields: Column) -> Column:
-    """Seconds of the wall clock since 1970, however large each field is; NULL outside the years 0 to 9999."""
-    year, month, day, hour, minute, second = (_field(fields, place) for place in range(6))
-    months = year * 12 + month - 1
-    of_year, of_month = F.floor(months / 12), months % 12 + 1
-    first = F.when(
-        of_year.between(0, 9999), F.unix_date(F.make_date(of_year.cast("int"), of_month.cast("int"), F.lit(1)))
-    )
-    seconds = (first + day - 1) * DAY + hour * 3600 + minute * 60 + second
-    return F.when(seconds.between(_FIRST, _LAST), seconds)
+    # One character parts the numbers: such a split needs no pattern.
+    parted = F.translate(F.regexp_replace(F.regexp_extract(text, _LENIENT, 1), r"\s+", "-"), ":", "-")
+    return F.split(parted, "-").try_cast("array<bigint>")
+
+
+def _months(fields: Column) -> Column:
+    """Months since the beginning of year 0."""
+    return _field(fields, 0) * 12 + _field(fields, 1) - 1
+
+
+def _wall_seconds(fields: Column, months: Column) -> Column:
+    """Seconds of the wall clock since 1970, however large each field is; NULL for a month outside the years 0 to 9999."""
+    day, hour, minute, second = (_field(fields, place) for place in range(2, 6))
+    year_0 = F.lit("0000-01-01").cast("date")
+    first = F.when(months.between(0, 119_999), F.unix_date(F.add_months(year_0, months.cast("int"))))
+    return (first + day - 1) * DAY + hour * 3600 + minute * 60 + second
+
+
+def _in_range(wall: Column) -> Column:
+    return F.when(wall.between(_FIRST, _LAST), wall)
 
 
 def _field(fields: Column, place: int) -> Column:
