@@ -173,7 +173,11 @@ def _meet(doc_hashes: DataFrame, index: DataFrame, n_hashes: int, max_broadcast:
 
 
 def without_items(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold none of the items found."""
+    """The documents that hold none of the items found.
+
+    Null identifiers and texts are matched like values, repeated rows stay or go together, an empty table
+    stays empty.
+    """
     own_id, own_hash = unused_name(docs, "id"), unused_name(docs, "hash")
     bad = found.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
     same = F.col(quoted(doc_id)).cast("bigint").eqNullSafe(bad[own_id]) & (

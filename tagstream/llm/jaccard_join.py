@@ -35,6 +35,8 @@ PERCENT = 80
 FEW = 32
 # Classes of one block, where crowded keys are compared by blocks.
 BLOCK = 512
+# Nearest sketches by which families of near copies are connected before that.
+NEAREST = 4
 # Classes whose names are broadcast to find their texts, 32 bytes each.
 MAX_BROADCAST_CLASSES = 1_000_000
 
@@ -128,7 +130,14 @@ class _Join:
             F.sort_array(F.collect_list(F.struct("n", "key"))).alias("last")
         )
         lacking = (F.col("needed") - (F.col("pieces") - F.size("last"))).cast("int")
-        rows = crowded.filter(lacking > 0).select("c", F.explode(F.slice("last", F.lit(1), lacking)).alias("k"))
+        lost = crowded.filter(lacking > 0)
+        # Families of near copies fall together first: each class under its fullest key, by its nearest.
+        fullest = lost.groupBy("c").agg(F.max(F.element_at("last", -1)).alias("k")).select("k.key", "c")
+        apart = fitted(_apart(fullest, roots))
+        if not apart.isEmpty():
+            found = self._more(found, self._nearest_in_blocks(apart))
+            roots = components(found).withColumnRenamed("node", "c")
+        rows = lost.select("c", F.explode(F.slice("last", F.lit(1), lacking)).alias("k"))
         rows = fitted(_apart(rows.select("k.key", "c"), roots))
         if rows.isEmpty():
             return found
@@ -248,42 +257,80 @@ class _Join:
             pairs = pairs.join(own, end)
         return pairs.select("a", "b", *[f"{x}_{end}" for end in ("a", "b") for x in columns])
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """The rows with ``n`` and ``sketch`` of their class and the number of ``blocks`` of their key."""
+        counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+        blocks = (F.floor((F.col("rows") - 1) / self.block) + 1).cast("int").alias("blocks")
+        sketches = self._sketches(fitted(rows.select("c").distinct()))
+        return rows.join(counts, "key").select("key", "c", "root", blocks).join(sketches, "c")
+
+    def _nearest_in_blocks(self, rows: DataFrame) -> DataFrame:
+        """Of every class the pairs with the few of other components whose sketches are nearest, in two
+        random blocks of its key: not all pairs, but enough to connect what is close together."""
+        percent = self.percent
+        dealt = self._dealt(rows).withColumn("seed", F.explode(F.array(F.lit(1), F.lit(2))))
+        dealt = dealt.withColumn("i", F.pmod(F.xxhash64("c", "seed"), F.col("blocks")).cast("int"))
+
+        def run(table: pa.Table) -> pa.Table:
+            c, allowed, differ = _compared(table, percent)
+            found = []
+            for x in range(len(c)):
+                others = np.flatnonzero(allowed(x))
+                others = others[np.argsort(differ(x)[others], kind="stable")[:NEAREST]]
+                found.append(np.stack([np.full(len(others), c[x]), c[others]]))
+            return _pairs(found)
+
+        return dealt.groupBy("key", "seed", "i").applyInArrow(run, "a bigint, b bigint").distinct()
+
     def _by_blocks(self, rows: DataFrame) -> DataFrame:
         """Pairs of classes of different components under crowded keys, as far as their sketches allow.
 
         A key's classes are dealt into blocks, and a group holds two blocks of a key.
         """
         percent = self.percent
-        counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        blocks = F.floor((F.col("n") - 1) / self.block) + 1
-        dealt = rows.join(counts, "key").select("key", "c", "root", blocks.cast("int").alias("blocks"))
+        dealt = self._dealt(rows)
         dealt = dealt.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select(
-            "key", "c", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        ).join(self._sketches(fitted(rows.select("c").distinct())), "c")
+            "key", "c", "root", "own", "n", "sketch",
+            F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        )
 
         def run(table: pa.Table) -> pa.Table:
-            c, root, own, n = (table.column(x).to_numpy() for x in ("c", "root", "own", "n"))
-            sketches = [np.frombuffer(s, np.uint8) for s in table.column("sketch").to_pylist()]
-            width = min(map(len, sketches))
-            bits = np.stack([folded(s, width) for s in sketches])
-            i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-            one, two = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            found = []
-            for x in one.tolist():
-                others = two if i != j else two[two > x]
-                others = others[root[others] != root[x]]
-                differ = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
-                low, high = np.minimum(n[others], n[x]), np.maximum(n[others], n[x])
-                allowed = (100 * low >= percent * high) & (differ <= most_different(low, high, percent))
-                found.append(np.stack([np.full(allowed.sum(), c[x]), c[others[allowed]]]))
-            pairs = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), np.int64)
-            return pa.table({"a": pairs[0], "b": pairs[1]})
+            own, i, j = table.column("own").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+            c, allowed, _ = _compared(table, percent)
+            one, later, found = own == i, np.arange(len(c)), []
+            for x in np.flatnonzero(one).tolist():
+                others = np.flatnonzero(allowed(x) & ((own == j) if i != j else (later > x)))
+                found.append(np.stack([np.full(len(others), c[x]), c[others]]))
+            return _pairs(found)
 
         return checkpointed(dealt.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct())
 
 
+def _compared(table: pa.Table, percent: int):
+    """A group's classes, and for each which others of other components their sketches allow, and their distances."""
+    c, root, n = (table.column(x).to_numpy() for x in ("c", "root", "n"))
+    sketches = [np.frombuffer(s, np.uint8) for s in table.column("sketch").to_pylist()]
+    width = min(map(len, sketches))
+    bits = np.stack([folded(s, width) for s in sketches])
+
+    def differ(x: int) -> np.ndarray:
+        return np.bitwise_count(bits ^ bits[x]).sum(axis=1, dtype=np.int64)
+
+    def allowed(x: int) -> np.ndarray:
+        low, high = np.minimum(n, n[x]), np.maximum(n, n[x])
+        near = (100 * low >= percent * high) & (root != root[x])
+        return near & (differ(x) <= most_different(low, high, percent))
+
+    return c, allowed, differ
+
+
+def _pairs(found: list[np.ndarray]) -> pa.Table:
+    pairs = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
+
+
 def _apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows, with the ``root`` of their ``c``, of the keys whose classes are not all connected."""
     rooted = rows.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))

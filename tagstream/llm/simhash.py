@@ -179,7 +179,12 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand first in their component: one row of each."""
+    """The rows of ``docs`` that stand first in their component: one row of each.
+
+    First is the smallest identifier (a null one comes last), then the smaller fingerprint, then the smaller hash
+    of the text; of repeated rows one stays. Null and empty texts are rows like any other; an empty table
+    stays empty.
+    """
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h", "text_hash")
     winners = found.groupBy("root").agg(F.min(first).alias("w"))
     own_id, own_hash = unused_name(docs, "id"), unused_name(docs, "hash")

@@ -286,7 +286,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, from the files: ``doc_id, start, n_tokens, ids_crc32``."""
+    """Per document, from the files: ``doc_id, start, n_tokens, ids_crc32``.
+
+    A row of the files is a row here, null identifiers and repeated rows included; files without rows give
+    none. A very long text's ids are one row's list.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
