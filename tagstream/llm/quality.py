@@ -106,11 +106,13 @@ def train(
     counts = shape_counts(size)
     frequencies, n = document_frequencies(docs, counts, size)
     idf = inverse_frequencies(frequencies, n)
+    # Features that no document has are zero in every vector, so they are left out of the fit.
+    used = np.flatnonzero(frequencies) if frequencies.any() else np.arange(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
-                rows = tf_idf(counts(piece.column("text")), idf).astype(np.float16)
+                rows = tf_idf(counts(piece.column("text")), idf)[:, used].astype(np.float16)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), piece.column("label"), pa.array([r.tobytes() for r in rows], pa.binary())],
                     names=["doc_id", "label", "row"],
@@ -120,10 +122,11 @@ def train(
     if not len(sample):
         return None
     sample = sample.sort_by([("doc_id", "ascending"), ("row", "ascending")])
-    labels, matrix = sample["label"].to_numpy().astype(np.float64), rows_of(sample["row"], size)
-    del sample
-    axes = leading_axes(matrix, dimensions)
-    return Model(idf, axes, unit(matrix @ axes), labels)
+    labels, matrix = sample["label"].to_numpy().astype(np.float64), rows_of(sample["row"], len(used))
+    own = leading_axes(matrix, dimensions)
+    axes = np.zeros((size, own.shape[1]), np.float32)
+    axes[used] = own
+    return Model(idf, axes, unit(matrix @ own), labels)
 
 
 def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
