@@ -297,7 +297,8 @@ def remove_repeats(
 
     A word goes if a run of ``window`` words that covers it stands anywhere else too, in the
     same document included. A null or empty text has no words; a null identifier is carried
-    through; repeated rows are copies of each other; an empty table gives an empty result.
+    through; repeated rows are copies of each other; an empty table gives an empty result. A very long
+    text is part of one bucket, whose arrays take some 25 bytes per byte of text.
     """
     if window < 2:
         raise ValueError("the window must have at least two words")

@@ -86,7 +86,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     """``doc_id``, ``n_bytes`` and ``n_tokens`` per row, as the library counts whole texts.
 
     Holds for vocabularies whose pre-tokens end at blanks and which drop the blanks. A null
-    text counts as empty; a null identifier is carried through; repeated rows count each.
+    text counts as empty; a null identifier is carried through; repeated rows count each; an empty table
+    gives no rows. A very long text is taken apart at its blanks, piece by piece.
     """
     rows = documents(docs, doc_id, text)
     whole = docs.sparkSession.sparkContext.broadcast(prove_whole_tokens(tokenizer))
