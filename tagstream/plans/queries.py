@@ -441,7 +441,7 @@ def stream_live_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_live_keys")
     use_state_on_disk(spark)
     start_state_cache(
-        _log_stream(spark, sf_dir, root), f"{root}/checkpoint", 30 * DAY_SECONDS, available_now=True
+        _log_stream(spark, sf_dir, root), f"{root}/checkpoint", 30 * DAY_SECONDS, available_now=True, partitions=4
     ).awaitTermination()
     return live_entries(spark, f"{root}/checkpoint").select("key", _stored_tag(VALUE, "val"))
 

@@ -23,6 +23,7 @@ from tagstream.session import ship_package
 STATE = "entry"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 # Versions as plain numbers: the message's time in microseconds, its partition and offset.
@@ -63,10 +64,12 @@ def start_state_cache(
     lenient: bool = False,
     batch_seconds: float = BATCH_SECONDS,
     available_now: bool = False,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep the last reading per key in the query's state; the query itself writes nothing else.
 
-    The session needs a state store that can forget by time (``use_state_on_disk``).
+    The session needs a state store that can forget by time (``use_state_on_disk``). The state has as many
+    ``partitions`` as the query's first start says, else as the session's shuffles have.
     """
     if ttl_seconds is not None and ttl_seconds <= 0:
         raise ValueError("ttl_seconds must be positive, or None to keep entries")
@@ -81,16 +84,21 @@ def start_state_cache(
         timeMode="ProcessingTime",
     )
     writer = kept.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
-    if not available_now:
-        return writer.trigger(processingTime=f"{batch_seconds} seconds").start()
-    # Time alone would bring batch after batch, and the query would never be done with what there is.
+    own = {} if partitions is None else {SHUFFLE_PARTITIONS: str(partitions)}
+    if available_now:
+        # Time alone would bring batch after batch, and the query would never be done with what there is.
+        own[EMPTY_BATCHES] = "false"
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{batch_seconds} seconds"}
+    # A query keeps the settings of its start.
     conf = messages.sparkSession.conf
-    before = conf.get(EMPTY_BATCHES)
-    conf.set(EMPTY_BATCHES, "false")
+    before = {name: conf.get(name) for name in own}
+    for name, value in own.items():
+        conf.set(name, value)
     try:
-        return writer.trigger(availableNow=True).start()
+        return writer.trigger(**trigger).start()
     finally:
-        conf.set(EMPTY_BATCHES, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def use_state_on_disk(spark: SparkSession) -> None:

@@ -73,7 +73,10 @@ def test_rewrite_arms_anew_and_what_expired_is_gone(spark, tmp_path, on_disk):
 
 def test_entries_without_an_end(spark, tmp_path, on_disk):
     add(spark, str(tmp_path / "log"), message(body(1, 1), offset=0), message(body(1, 2), partition=1, offset=0))
-    keep(spark, tmp_path, None)
+    stream, before = stream_message_log(spark, str(tmp_path / "log")), spark.conf.get("spark.sql.shuffle.partitions")
+    start_state_cache(stream, str(tmp_path / "c"), None, available_now=True, partitions=3).awaitTermination()
+    assert len([p for p in (tmp_path / "c" / "state" / "0").iterdir() if p.name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
     (row,) = live_entries(spark, str(tmp_path / "c")).collect()
     assert row.expires_at is None and row.ver.partition == 1 and row.db == 1
     with pytest.raises(ValueError):
