@@ -3,10 +3,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tagstream.llm import topics
 from tagstream.llm.features import word_counts
-from tagstream.llm.topics import clusters, learn_topics, with_topics
+from tagstream.llm.runtime import documents
+from tagstream.llm.topics import clusters, clusters_of_rows, entries, latent_vectors, leading_axes, learn_topics, with_topics
 from tests.llm.tables import clashing, docs
 
 SUBJECTS = {
@@ -25,6 +27,64 @@ def texts(seed=1, n=240):
     ]
 
 
+def with_a_rare_subject(spark, common, n=3000, rare=12):
+    """Texts on as many common subjects; those on another are the last of all by a hash of identifier and text."""
+    rng = random.Random(8)
+    words = [[f"subject{s}-{w}" for w in range(10)] for s in range(common + 1)]
+    rows = [(i, " ".join(rng.choices(words[i % common], k=rng.randint(30, 60)))) for i in range(n)]
+    last = docs(spark, [(n + i, " ".join(rng.choices(words[common], k=40))) for i in range(n)])
+    last = last.orderBy(F.xxhash64("doc_id", "text").desc()).limit(rare).collect()
+    return docs(spark, rows + [(r.doc_id, r.text) for r in last]), {r.doc_id for r in last}
+
+
+def test_no_document_is_left_out_of_the_fit(spark):
+    frame, rare = with_a_rare_subject(spark, 2)
+    model = learn_topics(frame, topics=3)
+    by_topic = {}
+    for r in with_topics(frame, model, "t", "n").collect():
+        by_topic.setdefault(r.t, set()).add(r.doc_id)
+    assert len(by_topic) == 3 and rare in by_topic.values()
+
+
+def test_the_fit_agrees_with_a_plain_one(spark):
+    """Axes and clusters of a table in many parts, against the singular vectors of the whole matrix."""
+    _, own = texts(5, 200)
+    own += [None, "", own[0]]
+    counts = word_counts(topics.SIZE)
+    matrix = counts(pa.array(own)).astype(float)
+    idf = np.log((1 + len(own)) / (1 + (matrix > 0).sum(axis=0))) + 1
+    frame = docs(spark, own)
+    parts = [learn_topics(f, topics=3) for f in (frame.coalesce(1), frame.repartition(7, "text"))]
+    assert all((getattr(parts[0], a) == getattr(parts[1], a)).all() for a in ("idf", "axes", "centres"))
+    assert parts[0].idf == pytest.approx(idf, rel=1e-6)
+    matrix = np.log1p(matrix) * idf
+    matrix = matrix[matrix.any(axis=1)]
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    wanted = np.linalg.svd(matrix, full_matrices=False)[2][:3]
+    assert np.abs(np.einsum("ij,ji->i", wanted, parts[0].axes[:, :3])) == pytest.approx(1, abs=1e-3)
+    latent = matrix @ parts[0].axes
+    latent /= np.linalg.norm(latent, axis=1, keepdims=True)
+    assert parts[0].centres == pytest.approx(clusters(latent, 3), abs=1e-3)
+
+
+def test_rows_in_several_parts_and_blocks(spark, monkeypatch):
+    """A round adds up its tasks, and each task its blocks of rows."""
+    _, own = texts(6, 90)
+    counts = word_counts(topics.SIZE)(pa.array(own + [""]))
+    idf = np.ones(topics.SIZE, np.float32)
+    rows = [(e,) for e in entries(counts).to_pylist()]
+    many = documents(docs(spark, []))  # has the package sent to the workers
+    assert many.count() == 0
+    many, one = (spark.createDataFrame(rows, "counts binary").repartition(n) for n in (5, 1))
+    axes = leading_axes(many, idf, 90, 6)
+    assert (axes == leading_axes(one, idf, 90, 6)).all() and axes.shape == (topics.SIZE, 6)
+    assert axes.T @ axes == pytest.approx(np.eye(6), abs=1e-4)
+    found = clusters_of_rows(latent_vectors(many, idf, axes), 6, 4)
+    monkeypatch.setattr(topics, "BLOCK_ROWS", 7)
+    vectors = np.concatenate([np.frombuffer(r.vector, "<i4")[None] for r in latent_vectors(one, idf, axes).collect()])
+    assert len(vectors) == 90 and (clusters(vectors / topics.LATENT_UNIT, 4) == found).all()
+
+
 def test_planted_subjects_are_found(spark):
     subjects, own = texts()
     frame = docs(spark, own)
