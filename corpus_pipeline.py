@@ -51,9 +51,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of documents with damped shares of the large sources, languages and topics.
 
-    Null sources and languages are values of their own. Texts without words have no tokens and go. Rows
-    that repeat identifier and text share their draw, an empty table stays empty, very long texts are
-    looked at in blocks.
+    Shares, topics and probabilities come from all documents. Null sources and languages are values of
+    their own. Texts without words have no tokens and go. Rows that repeat identifier and text share their
+    draw, an empty table stays empty, very long texts are looked at in blocks.
     """
     return sampled(docs)
 

@@ -39,7 +39,8 @@ CENTRE_UNIT = float(1 << 26)
 # Latent vectors nearer than that to a centre are no start of another.
 SAME = 1 - 1e-6
 ENTRY = np.dtype([("feature", "<u2"), ("weight", "<f2")])
-BLOCK_ROWS = 1024
+# Rows looked at together: dense rows of words take 16 KB each, latent vectors far less.
+BLOCK_ROWS = {"counts": 128, "vector": 2048}
 COUNTED_ROWS_PER_PARTITION = 20_000
 # The topic of texts without words.
 NO_TOPIC = "none"
@@ -95,8 +96,8 @@ def word_vectors(column: pa.Array, idf: np.ndarray) -> np.ndarray:
 
 def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Array]:
     for batch in batches:
-        for begin in range(0, len(batch), BLOCK_ROWS):
-            yield batch.column(column).slice(begin, BLOCK_ROWS)
+        for begin in range(0, len(batch), BLOCK_ROWS[column]):
+            yield batch.column(column).slice(begin, BLOCK_ROWS[column])
 
 
 def added(rows: DataFrame, column: str, shape: tuple[int, int], step: Callable[[pa.Array], np.ndarray]) -> np.ndarray:

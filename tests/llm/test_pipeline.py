@@ -12,6 +12,7 @@ from tagstream.llm.quality import classify
 from tests.llm.tables import DOCS, clashing
 from tests.llm.test_decontaminate import shingles
 from tests.llm.test_simhash import groups, slow_fingerprint
+from tests.llm.test_topics import with_a_rare_subject
 
 DATA = "/root/testdata/sf0.001"
 
@@ -69,3 +70,10 @@ def test_stages_take_odd_tables(spark, tmp_path):
             if name != "token_output":
                 assert docs.columns == columns
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_source_mixing_takes_its_topics_from_all_documents(spark):
+    """A rare subject has a topic of its own, whose damped share holds all of its documents."""
+    frame, rare = with_a_rare_subject(spark, 8)
+    kept = {r.doc_id for r in corpus_pipeline.source_mixing(spark, frame, "").collect()}
+    assert rare <= kept and 0.4 * frame.count() < len(kept) < 0.8 * frame.count()

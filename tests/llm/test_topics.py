@@ -67,22 +67,21 @@ def test_the_fit_agrees_with_a_plain_one(spark):
     assert parts[0].centres == pytest.approx(clusters(latent, 3), abs=1e-3)
 
 
-def test_rows_in_several_parts_and_blocks(spark, monkeypatch):
+def test_rows_in_several_parts_and_blocks(spark):
     """A round adds up its tasks, and each task its blocks of rows."""
-    _, own = texts(6, 90)
+    _, own = texts(6, 300)
     counts = word_counts(topics.SIZE)(pa.array(own + [""]))
     idf = np.ones(topics.SIZE, np.float32)
     rows = [(e,) for e in entries(counts).to_pylist()]
     many = documents(docs(spark, []))  # has the package sent to the workers
     assert many.count() == 0
     many, one = (spark.createDataFrame(rows, "counts binary").repartition(n) for n in (5, 1))
-    axes = leading_axes(many, idf, 90, 6)
-    assert (axes == leading_axes(one, idf, 90, 6)).all() and axes.shape == (topics.SIZE, 6)
+    axes = leading_axes(many, idf, 300, 6)
+    assert (axes == leading_axes(one, idf, 300, 6)).all() and axes.shape == (topics.SIZE, 6)
     assert axes.T @ axes == pytest.approx(np.eye(6), abs=1e-4)
     found = clusters_of_rows(latent_vectors(many, idf, axes), 6, 4)
-    monkeypatch.setattr(topics, "BLOCK_ROWS", 7)
     vectors = np.concatenate([np.frombuffer(r.vector, "<i4")[None] for r in latent_vectors(one, idf, axes).collect()])
-    assert len(vectors) == 90 and (clusters(vectors / topics.LATENT_UNIT, 4) == found).all()
+    assert len(vectors) == 300 > topics.BLOCK_ROWS["counts"] and (clusters(vectors / topics.LATENT_UNIT, 4) == found).all()
 
 
 def test_planted_subjects_are_found(spark):
